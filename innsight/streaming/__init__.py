@@ -1,0 +1,6 @@
+"""Streaming.
+
+The report is a batch job: its sources (including the tables named "realtime") are read as snapshots,
+and it has no watermark, trigger, late-data rule or stateful operator. Nothing is streamed here; the
+batch operators can be applied per micro-batch with ``foreachBatch`` if a source ever arrives as a stream.
+"""
