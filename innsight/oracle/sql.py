@@ -1 +1,563 @@
-ORACLE_SQL = {}
+"""DuckDB oracle SQL for every registered query.
+
+Written independently of the Spark code, in the shape of the original report's SQL: the calendar range join
+is the literal ``d >= checkin AND d < checkout`` join, channels are one CASE ladder, latest rows come from
+``row_number()``, JSON is read with DuckDB's JSON functions, and exclusive tax is summed straight from
+``lineitem`` rather than through the JSON text. The lodging fixture views (FIXTURES.md section B) are inlined
+as CTEs over the pre-registered driver tables. Only the parameter values and the fixed lists are shared.
+"""
+
+from __future__ import annotations
+
+from ..functions import rules as R
+from ..params import DEFAULT_PARAMS as P
+
+DM1 = f"DATE '{P.window_start.isoformat()}'"
+DM2 = f"DATE '{P.window_end.isoformat()}'"
+AS_OF = f"DATE '{P.as_of.isoformat()}'"
+FLOOR = f"'{P.booking_month_floor}'"
+
+
+def _lst(values) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+def _epoch(x: str) -> str:
+    return f"CAST(date_diff('day', DATE '1970-01-01', {x}) AS INTEGER)"
+
+
+def m6(expr: str) -> str:
+    return f"CAST(round({expr}, 6) AS DECIMAL(38,6))"
+
+
+def big(expr: str) -> str:
+    return f"CAST({expr} AS BIGINT)"
+
+
+def q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+# -- fixture views ---------------------------------------------------------------------------------------
+FIXTURES = f"""
+hotel_dim AS (
+  SELECT c_custkey AS hotel_id, 'P' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS property_code,
+    CASE WHEN c_custkey % 40 = 0 THEN 'Training ' WHEN c_custkey % 40 = 1 THEN 'QA Test ' ELSE '' END || c_name AS hotel_name,
+    c_mktsegment AS product, CAST(c_nationkey AS INTEGER) AS country_id, n_name AS country_name, r_name AS city_name,
+    'Z' || CAST(c_custkey % 5 AS VARCHAR) AS zone_name, CAST(c_custkey % 7 AS INTEGER) AS cluster_id,
+    CASE WHEN c_custkey % 9 = 0 THEN 1 ELSE 2 END AS status_id
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+bookings AS (
+  SELECT o_orderkey AS id, o_custkey AS hotel_id,
+    CASE o_orderkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 4 WHEN 5 THEN 13 WHEN 6 THEN 1 ELSE 5 END AS status,
+    CASE o_orderkey % 11 WHEN 0 THEN 1 WHEN 1 THEN 10 WHEN 2 THEN 64 WHEN 3 THEN 71 WHEN 4 THEN 13 WHEN 5 THEN 14
+      WHEN 6 THEN 2 WHEN 7 THEN 3 WHEN 8 THEN 4 WHEN 9 THEN 5 ELSE 6 END AS source,
+    CAST(22 + o_orderkey % 2 AS INTEGER) AS sub_source,
+    CAST(CASE WHEN o_orderkey % 17 = 0 THEN 90 WHEN o_orderkey % 7 = 4 THEN NULL ELSE o_orderkey % 10 END AS INTEGER) AS ota_id,
+    CAST(CASE WHEN o_orderkey % 19 = 0 THEN 306 WHEN o_orderkey % 13 = 0 THEN 7 ELSE NULL END AS INTEGER) AS micro_market_id,
+    CAST(1 + o_orderkey % 3 AS INTEGER) AS rooms,
+    CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+    CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) - 10 AS DECIMAL(18,2)) END AS selling_amount,
+    CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(5.25 AS DECIMAL(18,2)) END AS discount,
+    CAST(o_orderdate AS DATE) AS checkin,
+    CAST(o_orderdate AS DATE) + CAST(o_orderkey % 6 AS INTEGER) AS checkout,
+    CAST(o_orderdate AS DATE) - CAST(o_orderkey % 30 AS INTEGER) AS created_date,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'null' WHEN o_orderkey % 7 = 1 THEN NULL
+      ELSE CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 - 1 AS INTEGER) AS VARCHAR) || ' '
+        || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':30:00.000' END AS cancellation_time,
+    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ' 20:00:00' AS updated_at,
+    strftime(CAST(o_orderdate AS DATE), '%Y%m') AS inserted_at
+  FROM orders),
+hotel_date_summary AS (
+  SELECT 'P' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS property_code,
+    CAST(o_orderdate AS DATE) + CAST(l_linenumber % 4 AS INTEGER) AS d,
+    CAST(l_linenumber % 6 AS INTEGER) AS hotel_status, CAST(l_quantity AS INTEGER) AS sellable_rooms,
+    CAST(l_quantity AS INTEGER) + 5 AS total_contracted_rooms
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+status_changes AS (
+  SELECT 'P' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS property_code,
+    CASE WHEN event_id % 2 = 0 THEN 'Blocked' ELSE 'On Hold' END AS old_status,
+    CASE event_type WHEN 'signup' THEN 'Live' WHEN 'error' THEN 'Blocked' WHEN 'view' THEN 'On Hold'
+      WHEN 'click' THEN 'Active' ELSE 'In Progress' END AS new_status, ts AS changed_at
+  FROM events),
+hotel_policies AS (
+  SELECT o_custkey AS hotel_id, o_orderkey AS policy_row, CAST(2 + o_orderkey % 3 AS INTEGER) AS policy_id,
+    CAST(o_orderkey % 2 AS INTEGER) AS status,
+    CASE o_orderkey % 7 WHEN 0 THEN '{{"prepaid":{{"advance":100}}}}' WHEN 1 THEN '{{"prepaid":{{"advance":40}}}}'
+      WHEN 2 THEN '{{"cash_at_hotel":true}}' WHEN 3 THEN '{{"pay_before_free_cancellation_ends":true}}'
+      WHEN 4 THEN '{{"pay_after_free_cancellation_ends":true}}' WHEN 5 THEN '{{"prepaid":{{"advance":0}}}}' ELSE '{{}}' END AS metadata,
+    {_epoch("CAST(o_orderdate AS DATE)")} AS start_day, {_epoch("CAST(o_orderdate AS DATE)")} + 90 AS end_day,
+    o_orderdate AS updated_at
+  FROM orders),
+default_policies AS (
+  SELECT CAST(n_nationkey AS INTEGER) AS country_id, 3 AS policy_id, 1 AS status,
+    CASE WHEN n_nationkey % 2 = 0 THEN '{{"cash_at_hotel":true}}' ELSE '{{"pay_before_free_cancellation_ends":true}}' END AS metadata
+  FROM nation),
+hotel_restrictions AS (
+  SELECT l_suppkey AS hotel_id, CAST(11 + l_linenumber % 2 AS INTEGER) AS restriction_id,
+    CASE WHEN l_linenumber % 4 = 3 THEN 0 ELSE 1 END AS status,
+    CASE WHEN l_orderkey % 5 = 0 THEN '{{}}' WHEN l_orderkey % 5 = 1 THEN '{{"advance":""}}'
+      WHEN l_orderkey % 5 = 2 THEN '{{"bulk_booking_advance":"100%"}}'
+      WHEN l_orderkey % 5 = 3 THEN '{{"bulk_booking_advance":"50%","advance":"100%"}}' ELSE '{{"advance":"30%"}}' END AS metadata,
+    {_epoch("CAST(l_shipdate AS DATE)")} AS from_day, {_epoch("CAST(l_shipdate AS DATE)")} + 120 AS to_day
+  FROM lineitem),
+online_travel_agents AS (
+  SELECT * FROM (VALUES (0,'Agoda'),(1,'Booking.com'),(2,'Axis_Expedia'),(3,'Hotel Beds'),(4,'HotelTonight'),
+    (5,'RG_GetARoom'),(6,'RateGain'),(7,'Hotwire'),(8,'Some Other Agent'),(90,'GDS One')) AS t(id, name)),
+source_enums AS (
+  SELECT * FROM (VALUES (1,'OTA'),(10,'OTA Direct'),(64,'Migration'),(71,'Meta'),(2,'Android App'),(3,'IOS App'),
+    (4,'Mobile Web Booking'),(5,'Web Booking'),(6,'Walk In')) AS t(enum_key, enum_val)),
+clusters AS (SELECT * FROM (VALUES (0,0),(1,1),(2,2),(3,0),(4,1),(5,2)) AS t(id, city_id)),
+cities AS (SELECT * FROM (VALUES (0,'Zone A'),(1,'Zone B'),(2,'Zone C')) AS t(id, time_zone)),
+city_tz AS (SELECT * FROM (VALUES ('Zone A','+00:00'),('Zone B','+05:30'),('Zone C','-03:30')) AS t(name, utc_offset)),
+calendar AS (
+  SELECT CAST(ts AS DATE) AS d FROM (
+    SELECT unnest(generate_series(CAST(min(checkin) AS TIMESTAMP), CAST(max(checkout) AS TIMESTAMP), INTERVAL 1 DAY)) AS ts
+    FROM bookings))"""
+
+# -- report building blocks, in the shape of the original queries ---------------------------------------
+NAME_FILTER = " AND ".join(f"lower(hotel_name) NOT LIKE '%{t}%'" for t in P.excluded_name_terms)
+ALL_NAME_FILTER = " AND ".join(f"lower(hotel_name) NOT LIKE '%{t}%'" for t in P.all_name_terms)
+GDS = _lst(R.GDS_OTA_IDS)
+OTA_CASE = "CASE " + " ".join(f"WHEN name IN ({_lst(names)}) THEN '{label}'" for label, names in R.OTA_NAME_LABELS) \
+    + f" ELSE '{R.OTHER_OTA}' END"
+FULL_CHANNEL = f"""CASE
+  WHEN b.source IN (1,10) AND b.micro_market_id IS NULL AND c_ota.ota_label IS NULL AND b.ota_id NOT IN ({GDS}) THEN 'other_ota'
+  WHEN b.source IN (1,10) AND b.micro_market_id IS NULL AND b.ota_id NOT IN ({GDS}) THEN c_ota.ota_label
+  WHEN b.source IN (64) AND b.micro_market_id IS NULL THEN 'migration_ota'
+  WHEN b.micro_market_id IS NOT NULL AND b.micro_market_id > 0 AND b.micro_market_id NOT IN (306,126,256,99) THEN 'MM'
+  WHEN b.source IN (71) AND b.sub_source IN (22) THEN 'BoG'
+  WHEN b.source IN (71) AND b.sub_source IN (23) THEN 'Trivago'
+  WHEN b.ota_id IN ({GDS}) THEN 'GDS'
+  ELSE ce.enum_val END"""
+REDUCED_CHANNEL = """CASE
+  WHEN b.source IN (1,10) AND b.micro_market_id IS NULL AND c_ota.ota_label IS NULL THEN 'other_ota'
+  WHEN b.source IN (1,10) AND b.micro_market_id IS NULL THEN c_ota.ota_label
+  WHEN b.source IN (64) AND b.micro_market_id IS NULL THEN 'migration_ota'
+  WHEN b.micro_market_id IS NOT NULL AND b.micro_market_id > 0 AND b.micro_market_id NOT IN (306,126,256,99) THEN 'MM'
+  WHEN b.source IN (71) AND b.sub_source IN (22) THEN 'BoG'
+  ELSE ce.enum_val END"""
+LOCAL_TS = """(CAST(substr(CASE WHEN coalesce(b.cancellation_time, b.updated_at) <> 'null'
+    THEN coalesce(b.cancellation_time, b.updated_at) ELSE '2000-01-01 01:01:01' END, 1, 19) AS TIMESTAMP)
+    + to_minutes(CAST(tzb.timeint AS BIGINT)))"""
+LATE = f"""(b.status = 3 AND ((CAST({LOCAL_TS} AS DATE) = b.checkin AND hour({LOCAL_TS}) >= 18)
+    OR CAST({LOCAL_TS} AS DATE) > b.checkin))"""
+
+
+def _tax_cte(name: str, lower_col: str) -> str:
+    return f"""{name} AS (
+  SELECT b.id, SUM(CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_tax AS DECIMAL(4,2)) AS DOUBLE)) AS tax_amount
+  FROM bookings b JOIN hotel_dim hs1 ON hs1.hotel_id = b.hotel_id JOIN lineitem l ON l.l_orderkey = b.id
+  WHERE l.l_linenumber % 5 <> 0 AND l.l_returnflag IS DISTINCT FROM 'A'
+    AND b.status IN (1,2) AND b.source NOT IN (13,14)
+    AND b.{lower_col} > {DM1} AND b.checkin <= {DM2} AND hs1.country_name IN ({_lst(P.countries)})
+  GROUP BY b.id)"""
+
+
+BLOCKS = f"""
+eligible AS (
+  SELECT * FROM hotel_dim WHERE product NOT IN ({_lst(P.excluded_products)}) AND {ALL_NAME_FILTER}
+    AND property_code NOT LIKE '{P.excluded_code_prefix}%' AND country_name IN ({_lst(P.countries)})),
+srn_raw AS (
+  SELECT ss.date, ss.property_code, hs.product, ss.hotel_status, ss.srns FROM
+    (SELECT s.property_code, s.d AS date, hotel_status, sum(s.sellable_rooms) AS srns FROM hotel_date_summary s
+     WHERE s.d BETWEEN {DM1} AND {DM2} AND hotel_status IN (1,2,3) GROUP BY 1, 2, 3) ss
+    JOIN eligible hs ON ss.property_code = hs.property_code),
+srn_data AS (SELECT * FROM srn_raw WHERE property_code IS NULL OR property_code NOT IN ({_lst(P.excluded_codes)})),
+cal AS (SELECT DISTINCT d FROM calendar WHERE d BETWEEN {DM1} AND {DM2}),
+b_book AS (
+  SELECT * FROM bookings WHERE source NOT IN (13,14) AND status IN (0,1,2,3,4,13) AND inserted_at > {FLOOR}),
+b_val AS (
+  SELECT *, coalesce(selling_amount, amount) - coalesce(discount, 0) AS gmv, date_diff('day', checkin, checkout) AS r
+  FROM b_book),
+c_ota AS (SELECT id, {OTA_CASE} AS ota_label FROM online_travel_agents),
+tzb AS (
+  SELECT name, CASE WHEN substr(utc_offset,1,1) = '+'
+    THEN 1*(CAST(substr(utc_offset,2,2) AS INTEGER)*60 + CAST(substr(utc_offset,5,2) AS INTEGER))
+    ELSE -1*(CAST(substr(utc_offset,2,2) AS INTEGER)*60 + CAST(substr(utc_offset,5,2) AS INTEGER)) END AS timeint
+  FROM city_tz),
+{_tax_cte("taxes_in", "checkin")},
+{_tax_cte("taxes_out", "checkout")},
+urns_raw AS (
+  SELECT A.d AS date, h.property_code,
+    sum(CASE WHEN b.status IN (1,2) THEN b.rooms ELSE 0 END) AS urn,
+    sum(CASE WHEN b.status IN (1,2) THEN b.gmv / b.r ELSE 0 END) AS gmv_urn,
+    sum(CASE WHEN b.status IN (0,1,2,3,4,13) THEN b.rooms ELSE 0 END) AS brn,
+    sum(CASE WHEN b.status IN (0,1,2,3,4,13) THEN b.gmv / b.r ELSE 0 END) AS gmv_brn,
+    sum(t.tax_amount / b.r) AS tax_amount
+  FROM cal A JOIN b_val b ON A.d >= b.checkin AND A.d < b.checkout
+    JOIN hotel_dim h ON h.hotel_id = b.hotel_id
+    JOIN eligible hs ON h.property_code = hs.property_code
+    LEFT JOIN taxes_in t ON b.id = t.id
+  GROUP BY 1, 2),
+urns_data AS (
+  SELECT date, property_code, urn, brn, gmv_brn, gmv_urn + coalesce(tax_amount, 0) AS urn_gmv FROM urns_raw),
+contri_raw AS (
+  SELECT A.d AS date, h.property_code, {FULL_CHANNEL} AS booking_source,
+    sum(CASE WHEN b.status IN (1,2) THEN b.rooms ELSE 0 END) AS urn,
+    sum(CASE WHEN b.status IN (1,2) THEN b.gmv / b.r ELSE 0 END) AS gmv_urn,
+    sum(CASE WHEN b.status IN (0,1,2,3,4,13) THEN b.rooms ELSE 0 END) AS brn,
+    sum(CASE WHEN b.status IN (0,1,2,3,4,13) THEN b.gmv / b.r ELSE 0 END) AS gmv_brn,
+    sum(t.tax_amount / b.r) AS tax_amount
+  FROM cal A JOIN b_val b ON A.d >= b.checkin AND A.d < b.checkout
+    LEFT JOIN c_ota ON b.ota_id = c_ota.id
+    LEFT JOIN source_enums ce ON ce.enum_key = b.source
+    JOIN hotel_dim h ON h.hotel_id = b.hotel_id
+    JOIN eligible hs ON h.property_code = hs.property_code
+    LEFT JOIN taxes_out t ON b.id = t.id
+  GROUP BY 1, 2, 3),
+urn_contri AS (
+  SELECT date, property_code, coalesce(booking_source, '0') AS booking_source, urn, brn, gmv_brn, gmv_urn,
+    coalesce(tax_amount, 0) AS tax_amount, gmv_urn + coalesce(tax_amount, 0) AS urn_gmv
+  FROM contri_raw),
+realization AS (
+  SELECT A.d AS date, h.property_code, {REDUCED_CHANNEL} AS booking_source,
+    sum(b.rooms) AS brn,
+    sum(CASE WHEN b.status IN (1,2) THEN b.rooms ELSE 0 END) AS urn,
+    sum(CASE WHEN CAST({LOCAL_TS} AS DATE) = b.checkin AND hour({LOCAL_TS}) >= 18 AND b.status = 3 THEN b.rooms ELSE 0 END)
+      + sum(CASE WHEN CAST({LOCAL_TS} AS DATE) > b.checkin AND b.status = 3 THEN b.rooms ELSE 0 END) AS bad_canc,
+    sum(CASE WHEN b.status = 3 THEN b.rooms ELSE 0 END) AS cancellations,
+    sum(CASE WHEN b.status = 4 THEN b.rooms ELSE 0 END) AS no_show,
+    sum(CASE WHEN b.status = 0 THEN b.rooms ELSE 0 END) AS confirmed,
+    sum(CASE WHEN b.status = 13 THEN b.rooms ELSE 0 END) AS void
+  FROM cal A JOIN b_book b ON A.d >= b.checkin AND A.d < b.checkout
+    LEFT JOIN c_ota ON b.ota_id = c_ota.id
+    LEFT JOIN source_enums ce ON ce.enum_key = b.source
+    JOIN hotel_dim h ON h.hotel_id = b.hotel_id
+    JOIN eligible hs ON h.property_code = hs.property_code
+    LEFT JOIN clusters c ON c.id = h.cluster_id
+    LEFT JOIN cities ct ON ct.id = c.city_id
+    LEFT JOIN tzb ON tzb.name = ct.time_zone
+  GROUP BY 1, 2, 3),
+live1 AS (
+  SELECT property_code, old_status, new_status, live_date FROM (
+    SELECT property_code, old_status, new_status, CAST(changed_at AS DATE) AS live_date,
+      row_number() OVER (PARTITION BY property_code ORDER BY changed_at DESC, old_status DESC) AS row_num
+    FROM status_changes WHERE new_status = 'Live') WHERE row_num = 1),
+first_booking AS (
+  SELECT h.property_code, min(b.created_date) AS fb_date FROM bookings b LEFT JOIN hotel_dim h ON b.hotel_id = h.hotel_id
+  WHERE h.property_code IN (SELECT property_code FROM srn_data) GROUP BY 1),
+live_date AS (
+  SELECT coalesce(l.property_code, f.property_code) AS property_code, l.live_date, f.fb_date,
+    CASE WHEN l.live_date IS NULL THEN f.fb_date WHEN f.fb_date IS NULL THEN l.live_date
+      ELSE least(l.live_date, f.fb_date) END AS live_date2
+  FROM live1 l FULL OUTER JOIN first_booking f ON l.property_code = f.property_code),
+pp_latest AS (
+  SELECT * FROM (
+    SELECT pp.*, row_number() OVER (PARTITION BY pp.hotel_id ORDER BY pp.updated_at DESC, pp.policy_row DESC) AS rk
+    FROM hotel_policies pp WHERE pp.policy_id = 3 AND pp.status = 1
+      AND {AS_OF} BETWEEN DATE '1970-01-01' + pp.start_day AND DATE '1970-01-01' + pp.end_day) WHERE rk = 1),
+hr_active AS (
+  SELECT * FROM hotel_restrictions hr WHERE hr.status = 1 AND hr.restriction_id = 12
+    AND {AS_OF} BETWEEN DATE '1970-01-01' + hr.from_day AND DATE '1970-01-01' + hr.to_day),
+pp_rows AS (
+  SELECT DISTINCT h.hotel_id, h.property_code, h.hotel_name, hr.metadata AS prepaid_restrictions,
+    CASE WHEN hr.hotel_id IS NOT NULL THEN 'Prepaid' ELSE NULL END AS prepaid_property,
+    CASE WHEN pp.metadata IS NULL THEN dpp.metadata ELSE pp.metadata END AS payment_policy
+  FROM hotel_dim h
+    LEFT JOIN hr_active hr ON h.hotel_id = hr.hotel_id
+    LEFT JOIN (SELECT * FROM default_policies WHERE policy_id = 3 AND status = 1) dpp ON h.country_id = dpp.country_id
+    LEFT JOIN pp_latest pp ON h.hotel_id = pp.hotel_id
+  WHERE h.status_id = 2 AND h.country_id IN ({_lst(P.policy_country_ids)})),
+pp1 AS (
+  SELECT hotel_id, property_code, hotel_name, {{payment_class}} AS payment_policy,
+    {{restriction_class}} AS prepaid_restrictions,
+    CASE WHEN prepaid_property = 'Prepaid' THEN 'Yes' ELSE 'NA' END AS no_postpaid_restriction
+  FROM pp_rows),
+pp_type AS (
+  SELECT property_code, hotel_name, CASE
+    WHEN payment_policy = 'Pay Later' AND no_postpaid_restriction = 'Yes' THEN 'Pay Later'
+    WHEN payment_policy = 'Pay Later' AND no_postpaid_restriction = 'NA' THEN prepaid_restrictions
+    WHEN payment_policy = 'Postpaid' AND no_postpaid_restriction = 'Yes' THEN 'Prepaid'
+    WHEN payment_policy = 'Postpaid' AND no_postpaid_restriction = 'NA' THEN 'Postpaid'
+    WHEN payment_policy = 'Rest' AND no_postpaid_restriction = 'NA' THEN prepaid_restrictions
+    ELSE 'Prepaid' END AS payment_type_when_policy_applied
+  FROM pp1),
+prop AS (
+  SELECT property_code, hotel_name, city_name, zone_name FROM hotel_dim
+  WHERE country_name IN ({_lst(P.countries)}) AND product NOT IN ({_lst(P.excluded_products)}) AND {NAME_FILTER}
+    AND property_code NOT LIKE '{P.excluded_code_prefix}%'
+    AND property_code IN (SELECT property_code FROM srn_data)),
+cr AS (
+  SELECT ss.d AS date, ss.property_code, ss.total_contracted_rooms FROM
+    (SELECT d, property_code, max(total_contracted_rooms) AS total_contracted_rooms FROM hotel_date_summary
+     WHERE d BETWEEN {DM1} AND {DM2} GROUP BY 1, 2) ss
+    JOIN eligible hs ON ss.property_code = hs.property_code
+  WHERE ss.property_code IN (SELECT property_code FROM srn_data))"""
+
+
+def payment_class_sql(m: str) -> str:
+    adv = f"TRY_CAST(json_extract_string({m}, '$.prepaid.advance') AS INTEGER)"
+    return f"""CASE WHEN {adv} = 100 THEN 'Prepaid'
+      WHEN {adv} > 0 AND {adv} < 100 THEN 'Partial Prepaid'
+      WHEN json_extract_string({m}, '$.cash_at_hotel') = 'true' THEN 'Postpaid'
+      WHEN json_extract_string({m}, '$.pay_before_free_cancellation_ends') = 'true' THEN 'Pay Later'
+      WHEN json_extract_string({m}, '$.pay_after_free_cancellation_ends') = 'true' THEN 'Pay Later'
+      ELSE 'Rest' END"""
+
+
+def restriction_class_sql(m: str) -> str:
+    def pct(path):
+        s = f"replace(replace(json_extract_string({m}, '{path}'), '%', ''), '\"', '')"
+        return f"TRY_CAST(CASE WHEN {s} = '' THEN '0' ELSE {s} END AS INTEGER)"
+    return f"""CASE WHEN {m} IS NULL OR {m} = '{{}}' THEN 'Postpaid'
+      WHEN (CASE WHEN json_extract({m}, '$.bulk_booking_advance') IS NOT NULL THEN {pct('$.bulk_booking_advance')}
+                 ELSE {pct('$.advance')} END) < 100 THEN 'Partial_Prepaid'
+      ELSE 'Prepaid' END"""
+
+
+BLOCKS = BLOCKS.replace("{payment_class}", payment_class_sql("payment_policy")).replace(
+    "{restriction_class}", restriction_class_sql("prepaid_restrictions"))
+
+
+def with_ctes(body: str, extra: str = "") -> str:
+    return f"WITH {FIXTURES},{BLOCKS}{(',' + extra) if extra else ''}\n{body}"
+
+
+# -- pivots and report --------------------------------------------------------------------------------
+DEMAND_CH = tuple(R.DEFAULT_CHANNELS) + (R.DEMAND_NULL_CHANNEL,)
+CANCEL_CH = tuple(R.DEFAULT_CHANNELS) + (R.REALIZATION_NULL_CHANNEL,)
+ROLLUP_DEMAND = [(s, m) for s, m in R.ROLLUP_MEASURES if m not in R.REALIZATION_ROLLUP]
+ROLLUP_CANCEL = [(s, m) for s, m in R.ROLLUP_MEASURES if m in R.REALIZATION_ROLLUP]
+
+
+def _routed(col: str, chans) -> str:
+    return f"CASE WHEN {col} IN ({_lst(chans)}) THEN {col} ELSE '{R.UNLISTED_CHANNEL}' END"
+
+
+def _kind(measure: str) -> str:
+    return "money" if "gmv" in measure else "count"
+
+
+def _cast(expr: str, kind: str) -> str:
+    return m6(expr) if kind == "money" else big(expr)
+
+
+PIVOT_EXTRA = f"""
+uri AS (
+  SELECT date, property_code, {", ".join(
+    f"sum(CASE WHEN ch = '{c}' THEN {m} ELSE 0 END) AS {q(c + '_' + m)}" for c in DEMAND_CH for m in R.DEMAND_MEASURES)}
+  FROM (SELECT *, {_routed("booking_source", DEMAND_CH)} AS ch FROM urn_contri) GROUP BY 1, 2),
+canc AS (
+  SELECT date, property_code, {", ".join(
+    f"sum(CASE WHEN ch = '{c}' THEN {m} ELSE 0 END) AS {q(c + '_' + m)}" for c in CANCEL_CH for m in R.CANCELLATION_MEASURES)}
+  FROM (SELECT *, {_routed(f"coalesce(booking_source, '{R.REALIZATION_NULL_CHANNEL}')", CANCEL_CH)} AS ch FROM realization)
+  GROUP BY 1, 2)"""
+
+
+def _observed(channel: str) -> str:
+    return f"EXISTS (SELECT 1 FROM urn_contri WHERE booking_source = '{channel}')"
+
+
+def _rollup_exprs(src_demand: str, src_cancel: str) -> list[tuple[str, str, str]]:
+    """(name, kind, SQL) of the OTA / Growth roll-ups as row sums over pivot columns."""
+    out = []
+    for group, members in (("OTA", R.OTA_GROUP), ("Growth", R.GROWTH_GROUP)):
+        for suffix, m in R.ROLLUP_MEASURES:
+            src = src_cancel if m in R.REALIZATION_ROLLUP else src_demand
+            terms = []
+            for c in members:
+                term = f"coalesce({src}.{q(c + '_' + m)}, 0)"
+                if group == "OTA":
+                    term = f"CASE WHEN {_observed(c)} THEN {term} ELSE 0 END"
+                terms.append(term)
+            out.append((f"{group}_{suffix}", _kind(suffix if "gmv" in suffix else m), " + ".join(terms)))
+    return out
+
+
+def report_wide_sql() -> str:
+    rollups = _rollup_exprs("uri", "canc")
+    rollup_names = {n for n, _, _ in rollups}
+    cols = [f"m.property_code", "m.date", f"{big('m.urn')} AS urn", f"{big('m.brn')} AS brn",
+            f"{m6('m.gmv_brn')} AS gmv_brn", f"{m6('m.urn_gmv')} AS urn_gmv", f"{big('m.srns')} AS srns"]
+    for c in DEMAND_CH:
+        for meas in R.DEMAND_MEASURES:
+            name = f"{c}_{meas}"
+            if name not in rollup_names:
+                cols.append(f"{_cast(f'coalesce(uri.{q(name)}, 0)', _kind(meas))} AS {q(name)}")
+    for c in CANCEL_CH:
+        for meas in R.CANCELLATION_MEASURES:
+            name = f"{c}_{meas}"
+            if name not in rollup_names:
+                cols.append(f"{big(f'coalesce(canc.{q(name)}, 0)')} AS {q(name)}")
+    for name, kind, expr in rollups:
+        cols.append(f"{_cast(expr, kind)} AS {q(name)}")
+    cols += [f"{big('coalesce(cr.total_contracted_rooms, 0)')} AS total_contracted_rooms",
+             "coalesce(prop.hotel_name, '0') AS hotel_name", "coalesce(prop.city_name, '0') AS city_name",
+             "coalesce(prop.zone_name, '0') AS zone_name", "pt.payment_type_when_policy_applied",
+             "ld.live_date2",
+             "CASE m.hotel_status WHEN 0 THEN 'On Hold' WHEN 1 THEN 'Active' WHEN 2 THEN 'Live' WHEN 3 THEN 'Blocked' "
+             "WHEN 4 THEN 'In Progress' WHEN 5 THEN 'Training' END AS current_crs_status"]
+    extra = PIVOT_EXTRA + """,
+m1 AS (
+  SELECT s.date, s.property_code, s.hotel_status, s.srns, coalesce(u.urn, 0) AS urn, coalesce(u.brn, 0) AS brn,
+    coalesce(u.gmv_brn, 0) AS gmv_brn, coalesce(u.urn_gmv, 0) AS urn_gmv
+  FROM urns_data u RIGHT JOIN srn_data s ON u.date = s.date AND u.property_code = s.property_code),
+m2 AS (SELECT *, CASE WHEN hotel_status = 2 THEN srns WHEN hotel_status <> 2 AND urn > 0 THEN urn ELSE 0 END AS srns1 FROM m1),
+m AS (SELECT date, property_code, hotel_status, urn, brn, gmv_brn, urn_gmv,
+        CASE WHEN srns1 = 0 AND urn > 0 THEN urn ELSE srns1 END AS srns FROM m2)"""
+    body = f"""SELECT {", ".join(cols)}
+FROM m LEFT JOIN uri ON m.date = uri.date AND m.property_code = uri.property_code
+  LEFT JOIN canc ON m.date = canc.date AND m.property_code = canc.property_code
+  LEFT JOIN cr ON m.date = cr.date AND m.property_code = cr.property_code
+  LEFT JOIN prop ON m.property_code = prop.property_code
+  LEFT JOIN pp_type pt ON m.property_code = pt.property_code
+  LEFT JOIN live_date ld ON m.property_code = ld.property_code"""
+    return with_ctes(body, extra)
+
+
+def narrow_cols(channel: str = "Walk In") -> list[str]:
+    return ["property_code", "date", "urn", "brn", "gmv_brn", "urn_gmv", "srns",
+            *[f"{channel}_{m}" for m in R.DEMAND_MEASURES], *[f"{channel}_{m}" for m in R.CANCELLATION_MEASURES],
+            "total_contracted_rooms", "hotel_name", "city_name", "zone_name", "payment_type_when_policy_applied",
+            "live_date2", "current_crs_status"]
+
+
+def report_narrow_sql() -> str:
+    inner = report_wide_sql()
+    return f"SELECT {', '.join(q(c) for c in narrow_cols())} FROM ({inner}) w"
+
+
+def report_csv_sql() -> str:
+    inner = report_wide_sql()
+    cols = []
+    for c in narrow_cols():
+        if c == "payment_type_when_policy_applied":
+            cols.append(f"coalesce({q(c)}, '0') AS {q(c)}")
+        elif c == "live_date2":
+            cols.append(f"coalesce(CAST({q(c)} AS VARCHAR), '0') AS {q(c)}")
+        else:
+            cols.append(q(c))
+    return f"SELECT {', '.join(cols)} FROM ({inner}) w"
+
+
+def _rollup_standalone_sql() -> str:
+    d_cols, c_cols = [], []
+    for group, members in (("OTA", R.OTA_GROUP), ("Growth", R.GROWTH_GROUP)):
+        for suffix, m in R.ROLLUP_MEASURES:
+            name = f"{group}_{suffix}"
+            if m in R.REALIZATION_ROLLUP:
+                cond = f"ch IN ({_lst(members)})"
+                if group == "OTA":
+                    cond += " AND booking_source IN (SELECT booking_source FROM urn_contri)"
+                c_cols.append((name, f"sum(CASE WHEN {cond} THEN {m} ELSE 0 END)", "count"))
+            else:
+                d_cols.append((name, f"sum(CASE WHEN ch IN ({_lst(members)}) THEN {m} ELSE 0 END)",
+                               "money" if "gmv" in suffix else "count"))
+    extra = f"""
+dr AS (SELECT date, property_code, {", ".join(f"{e} AS {q(n)}" for n, e, _ in d_cols)}
+  FROM (SELECT *, {_routed("booking_source", DEMAND_CH)} AS ch FROM urn_contri) GROUP BY 1, 2),
+cr2 AS (SELECT date, property_code, {", ".join(f"{e} AS {q(n)}" for n, e, _ in c_cols)}
+  FROM (SELECT *, {_routed(f"coalesce(booking_source, '{R.REALIZATION_NULL_CHANNEL}')", CANCEL_CH)} AS ch
+        FROM realization) GROUP BY 1, 2)"""
+    kinds = {n: k for n, _, k in d_cols + c_cols}
+    names = [f"{g}_{s}" for g in ("OTA", "Growth") for s, _ in R.ROLLUP_MEASURES]
+    cols = ["coalesce(dr.date, cr2.date) AS date", "coalesce(dr.property_code, cr2.property_code) AS property_code"]
+    for n in names:
+        src = "cr2" if n in {x for x, _, _ in c_cols} else "dr"
+        cols.append(f"{_cast(f'coalesce({src}.{q(n)}, 0)', kinds[n])} AS {q(n)}")
+    body = f"""SELECT {", ".join(cols)} FROM dr FULL OUTER JOIN cr2
+  ON dr.date = cr2.date AND dr.property_code = cr2.property_code"""
+    return with_ctes(body, extra)
+
+
+def _pivot_standalone(src: str, chans, measures, null_label: str | None) -> str:
+    col = f"coalesce(booking_source, '{null_label}')" if null_label else "booking_source"
+    cols = [f"{_cast(f'sum(CASE WHEN ch = {chr(39) + c + chr(39)} THEN {m} ELSE 0 END)', _kind(m))} AS {q(c + '_' + m)}"
+            for c in chans for m in measures]
+    return with_ctes(f"""SELECT date, property_code, {", ".join(cols)}
+FROM (SELECT *, {_routed(col, chans)} AS ch FROM {src}) GROUP BY 1, 2""")
+
+
+def _measures_long_sql() -> str:
+    parts = [f"SELECT date, property_code, booking_source, '{m}' AS variable, {m6(m)} AS value FROM urn_contri"
+             for m in R.DEMAND_MEASURES]
+    return with_ctes(" UNION ALL ".join(parts))
+
+
+ORACLE_SQL: dict[str, str] = {
+    "scan_property_dim": with_ctes("SELECT hotel_id, property_code, hotel_name, product, country_name FROM hotel_dim"),
+    "scan_recent_months": with_ctes(f"SELECT id, hotel_id, inserted_at FROM bookings WHERE inserted_at > {FLOOR}"),
+    "calendar_spine": with_ctes("SELECT d FROM cal"),
+    "eligible_properties": with_ctes("SELECT hotel_id, property_code, product, country_name FROM eligible"),
+    "property_attributes": with_ctes("SELECT property_code, hotel_name, city_name, zone_name FROM prop"),
+    "exclude_codes_null_safe": with_ctes(f"SELECT date, property_code, hotel_status, {big('srns')} AS srns FROM srn_data"),
+    "bookable_bookings": with_ctes(
+        "SELECT id, hotel_id, status, source, rooms, checkin, checkout, inserted_at FROM b_book"),
+    "supply_by_status": with_ctes(
+        f"SELECT date, property_code, product, hotel_status, {big('srns')} AS srns FROM srn_raw"),
+    "active_restrictions": with_ctes("SELECT hotel_id, restriction_id, metadata, from_day, to_day FROM hr_active"),
+    "active_policies": with_ctes("SELECT hotel_id, policy_row, metadata, updated_at FROM pp_latest"),
+    "exclusive_tax_by_booking": with_ctes(f"SELECT id, {m6('tax_amount')} AS tax_amount FROM taxes_in"),
+    "stay_nights": with_ctes("""SELECT b.id, b.hotel_id, A.d AS date, b.status, b.rooms
+FROM cal A JOIN b_book b ON A.d >= b.checkin AND A.d < b.checkout"""),
+    "stay_nights_by_property": with_ctes("""SELECT b.id, h.property_code, A.d AS date, b.status, b.rooms
+FROM cal A JOIN b_book b ON A.d >= b.checkin AND A.d < b.checkout
+  JOIN hotel_dim h ON h.hotel_id = b.hotel_id JOIN eligible hs ON h.property_code = hs.property_code"""),
+    "contracted_rooms": with_ctes(
+        f"SELECT date, property_code, {big('total_contracted_rooms')} AS total_contracted_rooms FROM cr"),
+    "channel_labels": with_ctes("""SELECT b.id, c_ota.ota_label, ce.enum_val AS source_label
+FROM b_book b LEFT JOIN c_ota ON b.ota_id = c_ota.id LEFT JOIN source_enums ce ON ce.enum_key = b.source"""),
+    "local_cancel_time": with_ctes(f"""SELECT b.id, h.property_code, tzb.timeint AS offset_minutes,
+  {LOCAL_TS} AS local_cancel_time, coalesce({LATE}, false) AS late_cancel
+FROM b_book b JOIN hotel_dim h ON h.hotel_id = b.hotel_id JOIN eligible hs ON h.property_code = hs.property_code
+  LEFT JOIN clusters c ON c.id = h.cluster_id LEFT JOIN cities ct ON ct.id = c.city_id
+  LEFT JOIN tzb ON tzb.name = ct.time_zone"""),
+    "policy_resolution": with_ctes(
+        "SELECT hotel_id, property_code, hotel_name, payment_policy, prepaid_restrictions, no_postpaid_restriction FROM pp1"),
+    "effective_live_date": with_ctes("SELECT property_code, live_date, fb_date, live_date2 FROM live_date"),
+    "supply_demand_base": with_ctes(f"""SELECT s.date, s.property_code, s.hotel_status, {big('s.srns')} AS srns,
+  {big('u.urn')} AS urn, {big('u.brn')} AS brn, {m6('u.gmv_brn')} AS gmv_brn, {m6('u.urn_gmv')} AS urn_gmv
+FROM urns_data u RIGHT JOIN srn_data s ON u.date = s.date AND u.property_code = s.property_code"""),
+    "null_safe_merge": with_ctes(f"""SELECT coalesce(d.property_code, r.property_code) AS property_code,
+  coalesce(d.date, r.date) AS date,
+  CASE WHEN d.property_code IS NOT NULL THEN d.booking_source ELSE r.booking_source END AS booking_source,
+  {big('d.urn')} AS urn, {big('r.cancellations')} AS cancellations
+FROM contri_raw d FULL OUTER JOIN realization r ON d.property_code = r.property_code AND d.date = r.date
+  AND d.booking_source IS NOT DISTINCT FROM r.booking_source"""),
+    "room_nights_daily": with_ctes(f"""SELECT date, property_code, {big('urn')} AS urn, {big('brn')} AS brn,
+  {m6('gmv_brn')} AS gmv_brn, {m6('urn_gmv')} AS urn_gmv FROM urns_data"""),
+    "room_nights_by_channel": with_ctes(f"""SELECT date, property_code, booking_source, {big('urn')} AS urn,
+  {m6('urn_gmv')} AS urn_gmv, {big('brn')} AS brn, {m6('gmv_brn')} AS gmv_brn FROM urn_contri"""),
+    "realization_by_channel": with_ctes("SELECT date, property_code, booking_source, " + ", ".join(
+        f"{big(c)} AS {c}" for c in ("brn", "urn", "bad_canc", "cancellations", "no_show", "confirmed", "void"))
+        + " FROM realization"),
+    "measures_long": _measures_long_sql(),
+    "channel_pivot": _pivot_standalone("urn_contri", DEMAND_CH, R.DEMAND_MEASURES, None),
+    "cancellation_pivot": _pivot_standalone("realization", CANCEL_CH, R.CANCELLATION_MEASURES,
+                                            R.REALIZATION_NULL_CHANNEL),
+    "channel_group_rollup": _rollup_standalone_sql(),
+    "observed_channels": with_ctes(
+        f"SELECT DISTINCT booking_source FROM urn_contri WHERE booking_source IN ({_lst(R.OTA_GROUP)})"),
+    "avg_daily_urn": with_ctes(f"""SELECT {m6(f'coalesce(sum(urn), 0) / {P.check_days}')} AS avg_daily_urn
+FROM urns_data WHERE date BETWEEN DATE '{P.check_start.isoformat()}' AND DATE '{P.check_end.isoformat()}'"""),
+    "latest_live_date": with_ctes("SELECT property_code, old_status, new_status, live_date FROM live1"),
+    "first_booking": with_ctes("SELECT property_code, fb_date FROM first_booking"),
+    "channel_full": with_ctes(f"""SELECT b.id, {FULL_CHANNEL} AS booking_source
+FROM b_book b LEFT JOIN c_ota ON b.ota_id = c_ota.id LEFT JOIN source_enums ce ON ce.enum_key = b.source"""),
+    "channel_reduced": with_ctes(f"""SELECT b.id, {REDUCED_CHANNEL} AS booking_source
+FROM b_book b LEFT JOIN c_ota ON b.ota_id = c_ota.id LEFT JOIN source_enums ce ON ce.enum_key = b.source"""),
+    "ota_labels": with_ctes("""SELECT b.id, b.ota_id, c_ota.ota_label FROM b_book b LEFT JOIN c_ota ON b.ota_id = c_ota.id
+WHERE b.ota_id IS NOT NULL"""),
+    "payment_policy_class": with_ctes(
+        f"SELECT hotel_id, policy_row, {payment_class_sql('metadata')} AS payment_policy FROM hotel_policies"),
+    "restriction_class": with_ctes(f"""SELECT hotel_id, restriction_id, metadata,
+  {restriction_class_sql('metadata')} AS restriction_class FROM hotel_restrictions"""),
+    "effective_payment_type": with_ctes(
+        "SELECT property_code, hotel_name, payment_type_when_policy_applied FROM pp_type"),
+    "booking_value": with_ctes("SELECT id, CAST(gmv AS DECIMAL(38,2)) AS gmv, CAST(r AS INTEGER) AS r FROM b_val"),
+    "late_cancellations": with_ctes(
+        f"SELECT date, property_code, {big('sum(bad_canc)')} AS bad_canc FROM realization GROUP BY 1, 2"),
+    "supply_corrected": with_ctes(f"""SELECT date, property_code, hotel_status, {big('urn')} AS urn,
+  {big('CASE WHEN srns1 = 0 AND urn > 0 THEN urn ELSE srns1 END')} AS srns
+FROM (SELECT *, CASE WHEN hotel_status = 2 THEN srns WHEN hotel_status <> 2 AND urn > 0 THEN urn ELSE 0 END AS srns1
+      FROM (SELECT s.date, s.property_code, s.hotel_status, s.srns, coalesce(u.urn, 0) AS urn
+            FROM srn_data s LEFT JOIN urns_data u ON u.date = s.date AND u.property_code = s.property_code))"""),
+    "zero_fill": with_ctes(f"""SELECT date, property_code, booking_source, {big('urn')} AS urn, {m6('gmv_urn')} AS gmv_urn,
+  {big('brn')} AS brn, {m6('gmv_brn')} AS gmv_brn, {m6('tax_amount')} AS tax_amount FROM urn_contri"""),
+    "supply_grain_duplicates": with_ctes("""SELECT property_code, date, count(*) AS n_rows FROM srn_data
+GROUP BY 1, 2 HAVING count(*) > 1"""),
+    "report_wide": report_wide_sql(),
+    "report_narrow": report_narrow_sql(),
+    "report_csv_roundtrip": report_csv_sql(),
+}
