@@ -201,7 +201,7 @@ def q_measures_long(spark, sf_dir):
 
 
 def _pivot_columns(df: DataFrame, prefix_cols: list[tuple[str, str]]) -> DataFrame:
-    return df.select("date", KEY, *[rp._typed(c, k) for c, k in prefix_cols])
+    return rp.select_typed(df, [("date", "date"), (KEY, "text"), *prefix_cols])
 
 
 def channel_pivot(spark, sf_dir):

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.exprs import count, label_lookup, money, zero_fill
-from ..operators.channels import group_aggs, group_names, pivot_aggs, routed_channel
+from ..functions.exprs import label_lookup, zero_fill
+from ..operators.channels import group_aggs, group_names, pivot_aggs, routed_channel, sql_name
 from ..operators.demand import demand_by_channel, demand_nights, demand_totals_aggs
 from ..operators.dims import exclude_keys, eligible_properties, property_attributes
 from ..operators.policy import classified_policies, payment_types, policy_rows
@@ -82,7 +82,7 @@ def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: b
         "urn_gmv": F.col("gmv_urn") + F.coalesce(F.col("tax_checkout"), F.lit(0.0)),
         "_ch": routed_channel("booking_source", chans, R.DEMAND_NULL_CHANNEL),
     })
-    ch = F.col("_ch")
+    ch = "_ch"
     pivot = pivot_aggs(ch, chans, R.DEMAND_MEASURES, _rollup_names(DEMAND_ROLLUP) if rollups else frozenset())
     groups = []
     if rollups:
@@ -110,11 +110,11 @@ def cancellation_daily_wide(real_by_channel: DataFrame, demand_by_ch: DataFrame,
                                                              F.lit(True).alias("_observed"))
     rows = (real_by_channel.withColumn("_ch", routed_channel("booking_source", chans, R.REALIZATION_NULL_CHANNEL))
             .join(observed, F.col("booking_source") == F.col("_obs"), "left"))
-    ch = F.col("_ch")
+    ch = "_ch"
     pivot = pivot_aggs(ch, chans, R.CANCELLATION_MEASURES, _rollup_names(CANCEL_ROLLUP) if rollups else frozenset())
     groups = []
     if rollups:
-        groups = (group_aggs(ch, "OTA", R.OTA_GROUP, CANCEL_ROLLUP, extra_cond=F.col("_observed"))
+        groups = (group_aggs(ch, "OTA", R.OTA_GROUP, CANCEL_ROLLUP, extra_cond="_observed")
                   + group_aggs(ch, "Growth", R.GROWTH_GROUP, CANCEL_ROLLUP))
     return rows.repartition(KEY).groupBy(KEY, "date").agg(*pivot, *groups)
 
@@ -140,12 +140,19 @@ def report_column_kinds(channels: Sequence[str] = R.DEFAULT_CHANNELS) -> list[tu
     return cols
 
 
-def _typed(name: str, kind: str):
+def typed_sql(name: str, kind: str) -> str:
+    """Output form of a report column as SQL text (values DECIMAL(38,6), counts BIGINT)."""
+    c = sql_name(name)
     if kind == "money":
-        return money(name).alias(name)
+        return f"CAST(round({c}, 6) AS DECIMAL(38,6)) AS {c}"
     if kind == "count":
-        return count(name).alias(name)
-    return F.col(name)
+        return f"CAST({c} AS BIGINT) AS {c}"
+    return c
+
+
+def select_typed(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """Project and type ``(column, kind)`` pairs in one ``selectExpr``."""
+    return df.selectExpr(*[typed_sql(c, k) for c, k in columns])
 
 
 # -- the report ---------------------------------------------------------------------------------------
@@ -162,12 +169,15 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNE
     demand = demand_daily_wide(d_by_ch, channels)
     cancels = cancellation_daily_wide(realization_by_channel_for(src, p), d_by_ch, channels)
 
-    supply_codes = supply.select(KEY)
-    attributes = property_attributes(src.hotel_dim, supply_codes, p)
+    # Per-property columns. Everything below is left-joined onto the supply rows, so restricting these
+    # sides to the supply codes first (as the standalone operators do) would only re-derive the supply fact:
+    # the eligible-property filter is the cheaper superset that gives the same report.
+    eligible_codes = eligible_properties(src.hotel_dim, p).select(KEY)
+    attributes = property_attributes(src.hotel_dim, eligible_codes, p)
     payment = payment_types(classified_policies(policy_rows(src.hotel_dim, src.hotel_restrictions,
                                                             src.default_policies, src.hotel_policies, p)))
     live = effective_live_date(latest_live_date(src.status_changes),
-                               first_booking(src.bookings, src.hotel_dim, supply_codes))
+                               first_booking(src.bookings, src.hotel_dim, eligible_codes))
 
     keys = [KEY, "date"]
     base = zero_fill(supply.join(demand, keys, "left"), text_fill=None)
@@ -178,7 +188,7 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNE
     merged = (merged.join(payment.select(KEY, "payment_type_when_policy_applied"), KEY, "left")
               .join(live.select(KEY, "live_date2"), KEY, "left")
               .withColumn("current_crs_status", label_lookup("hotel_status", R.HOTEL_STATUS_LABELS)))
-    return merged.select(*[_typed(c, k) for c, k in report_column_kinds(channels)])
+    return select_typed(merged, report_column_kinds(channels))
 
 
 def narrow_columns(channel: str = "Walk In") -> list[str]:
