@@ -6,12 +6,11 @@ Shuffle plan (see README "Plan at scale"):
    demand per (property, day, channel), realization per (property, day, channel). Each is a hash
    aggregate with map-side partial aggregation on its full key, so a property holding a third of all
    bookings is spread over its days and channels and pre-combined before the shuffle.
-2. Their (small) outputs are repartitioned by ``property_code`` once. The second-level aggregations (daily
-   totals, pivots, roll-ups, contracted rooms) and all joins on (property, day) and on property then run
-   on that partitioning without another exchange. A property has at most window-days x channels rows at
-   that point, so hashing on the property alone cannot create a hot task.
-3. Dimensions (eligible properties, attributes, payment type, live date) are joined by measured size:
-   broadcast when under the threshold, otherwise shuffled to the report's partitioning.
+2. Second-level results are all hash-partitioned on (property, day): the supply rows by one repartition
+   (shared with the contracted-rooms maximum), the narrow per-channel rows by one repartition each before
+   they are pivoted. The (property, day) joins between them then need no further exchange.
+3. Per-property columns (attributes, payment type, live date) are joined onto the narrow supply rows
+   before those joins, by measured size (broadcast when small); the 200-column wide rows are never shuffled.
 """
 
 from __future__ import annotations
@@ -49,12 +48,12 @@ def cancellation_channels(channels: Sequence[str] = R.DEFAULT_CHANNELS) -> tuple
 # -- building blocks ----------------------------------------------------------------------------------
 def supply_per_status(hotel_date_summary: DataFrame, p: ReportParams) -> DataFrame:
     """One pass over the daily supply fact: per (property, day, status) sellable-room sum and contracted max,
-    repartitioned by property for the joins that follow."""
+    partitioned on (property, day) for the joins that follow."""
     return (hotel_date_summary.filter(F.col("d").between(F.lit(p.window_start), F.lit(p.window_end)))
             .groupBy(KEY, "d", "hotel_status")
             .agg(F.sum("sellable_rooms").alias("srns"), F.max("total_contracted_rooms").alias("contracted"))
             .withColumnRenamed("d", "date")
-            .repartition(KEY))
+            .repartition(KEY, "date"))
 
 
 def demand_by_channel_for(src, p: ReportParams) -> DataFrame:
@@ -74,6 +73,16 @@ def _rollup_names(measures) -> frozenset[str]:
     return group_names("OTA", measures) | group_names("Growth", measures)
 
 
+def pivot_after_shuffle(rows: DataFrame) -> DataFrame:
+    """Hash the narrow per-channel rows on (property, day) before pivoting them.
+
+    Without it Spark would pre-aggregate the pivot map-side and shuffle one partial row per key carrying a
+    partial sum for every channel x measure (100+ columns), while a property-day has only a few channel rows.
+    The group-by on the same keys then needs no exchange of its own.
+    """
+    return rows.repartition(KEY, "date")
+
+
 def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: bool = True) -> DataFrame:
     """Per (property, day): totals, the channel pivot (``<channel>_<measure>``) and, with ``rollups``, the
     OTA / Growth demand roll-ups, in one aggregation over the per-channel rows."""
@@ -88,7 +97,7 @@ def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: b
     if rollups:
         groups = (group_aggs(ch, "OTA", R.OTA_GROUP, DEMAND_ROLLUP)
                   + group_aggs(ch, "Growth", R.GROWTH_GROUP, DEMAND_ROLLUP))
-    return rows.repartition(KEY).groupBy(KEY, "date").agg(*demand_totals_aggs(), *pivot, *groups)
+    return pivot_after_shuffle(rows).groupBy(KEY, "date").agg(*demand_totals_aggs(), *pivot, *groups)
 
 
 def observed_demand_channels(by_channel: DataFrame) -> DataFrame:
@@ -116,7 +125,7 @@ def cancellation_daily_wide(real_by_channel: DataFrame, demand_by_ch: DataFrame,
     if rollups:
         groups = (group_aggs(ch, "OTA", R.OTA_GROUP, CANCEL_ROLLUP, extra_cond="_observed")
                   + group_aggs(ch, "Growth", R.GROWTH_GROUP, CANCEL_ROLLUP))
-    return rows.repartition(KEY).groupBy(KEY, "date").agg(*pivot, *groups)
+    return pivot_after_shuffle(rows).groupBy(KEY, "date").agg(*pivot, *groups)
 
 
 def report_column_kinds(channels: Sequence[str] = R.DEFAULT_CHANNELS) -> list[tuple[str, str]]:
@@ -180,14 +189,17 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNE
                                first_booking(src.bookings, src.hotel_dim, eligible_codes))
 
     keys = [KEY, "date"]
-    base = zero_fill(supply.join(demand, keys, "left"), text_fill=None)
-    base = base.withColumn("srns", corrected_srns())
-    merged = (base.join(cancels, keys, "left").join(contracted, keys, "left")
-              .join(attributes, KEY, "left"))
-    merged = zero_fill(merged, text_fill="0")
-    merged = (merged.join(payment.select(KEY, "payment_type_when_policy_applied"), KEY, "left")
-              .join(live.select(KEY, "live_date2"), KEY, "left")
-              .withColumn("current_crs_status", label_lookup("hotel_status", R.HOTEL_STATUS_LABELS)))
+    # Per-property columns first, onto the narrow supply rows (payment rows may fan out, as in the report).
+    base = (supply.join(attributes, KEY, "left")
+            .join(payment.select(KEY, "payment_type_when_policy_applied"), KEY, "left")
+            .join(live.select(KEY, "live_date2"), KEY, "left"))
+    merged = base.join(demand, keys, "left").join(cancels, keys, "left").join(contracted, keys, "left")
+    # Missing measures count 0 and missing attribute text reads "0"; payment type and live date stay NULL.
+    merged = zero_fill(merged, text_fill=None).na.fill("0", subset=["hotel_name", "city_name", "zone_name"])
+    merged = merged.withColumns({
+        "srns": corrected_srns(),
+        "current_crs_status": label_lookup("hotel_status", R.HOTEL_STATUS_LABELS),
+    })
     return select_typed(merged, report_column_kinds(channels))
 
 
