@@ -112,11 +112,13 @@ def cancellation_daily_wide(real_by_channel: DataFrame, demand_by_ch: DataFrame,
 
     OTA roll-ups count only channels that also occur in the demand rows (the report sums the columns of
     observed demand channels); the observed set is a distinct of channel labels, i.e. bounded by the label
-    vocabulary, and is joined by size.
+    vocabulary, and is broadcast.
     """
     chans = cancellation_channels(channels)
-    observed = observed_demand_channels(demand_by_ch).select(F.col("booking_source").alias("_obs"),
-                                                             F.lit(True).alias("_observed"))
+    # Distinct channel labels: bounded by the rule labels plus the source-enum table, whatever the data size.
+    # Broadcast so the per-channel rows are never hashed on a ~30-value key.
+    observed = F.broadcast(observed_demand_channels(demand_by_ch).select(F.col("booking_source").alias("_obs"),
+                                                                         F.lit(True).alias("_observed")))
     rows = (real_by_channel.withColumn("_ch", routed_channel("booking_source", chans, R.REALIZATION_NULL_CHANNEL))
             .join(observed, F.col("booking_source") == F.col("_obs"), "left"))
     ch = "_ch"
