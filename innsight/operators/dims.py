@@ -45,10 +45,12 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, column: str = "property_cod
     return df.join(keys.select(column), column, "left_semi")
 
 
-def property_attributes(hotel_dim: DataFrame, supply_codes: DataFrame, p: ReportParams) -> DataFrame:
-    """Name, city and zone of the eligible properties that have supply rows.
-
-    The attribute filter leaves out the extra name terms of the demand filters.
-    """
+def attribute_rows(hotel_dim: DataFrame, p: ReportParams) -> DataFrame:
+    """Name, city and zone of commercial properties; this filter leaves out the extra name terms."""
     attrs = eligible_properties(hotel_dim, p, name_terms=p.excluded_name_terms)
-    return restrict_to_keys(attrs.select("property_code", "hotel_name", "city_name", "zone_name"), supply_codes)
+    return attrs.select("property_code", "hotel_name", "city_name", "zone_name")
+
+
+def property_attributes(hotel_dim: DataFrame, supply_codes: DataFrame, p: ReportParams) -> DataFrame:
+    """:func:`attribute_rows` of the properties that have supply rows."""
+    return restrict_to_keys(attribute_rows(hotel_dim, p), supply_codes)

@@ -53,12 +53,15 @@ def latest_live_date(status_changes: DataFrame) -> DataFrame:
                          F.lit("Live").alias("new_status"), F.to_date("m.changed_at").alias("live_date"))
 
 
-def first_booking(bookings: DataFrame, hotel_dim: DataFrame, codes: DataFrame) -> DataFrame:
-    """First booking creation date per property, for the properties in ``codes``.
+def first_booking(bookings: DataFrame, hotel_dim: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """First booking creation date per property, for the properties in ``codes`` (all of ``hotel_dim`` when
+    ``codes`` is None).
 
     The key list restricts the dimension first (semi join), so the booking scan joins a small side.
     """
-    props = restrict_to_keys(hotel_dim.select("hotel_id", "property_code"), codes)
+    props = hotel_dim.select("hotel_id", "property_code")
+    if codes is not None:
+        props = restrict_to_keys(props, codes)
     return (bookings.select("hotel_id", "created_date").join(props, "hotel_id")
             .groupBy("property_code").agg(F.min("created_date").alias("fb_date")))
 

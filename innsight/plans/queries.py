@@ -1,6 +1,8 @@
-"""Named queries: one per operator of the inventory, each ``(spark, sf_dir) -> DataFrame``.
+"""Named queries: one per operator of the inventory.
 
-Every query derives the lodging tables from the driver tables of ``sf_dir`` and runs over all of them.
+``OPERATORS`` maps a name to ``sources -> DataFrame``, where ``sources`` is any object with the lodging tables
+as attributes (derived from the driver tables, or stored tables). ``QUERIES`` wraps them as
+``(spark, sf_dir) -> DataFrame`` over the driver tables of ``sf_dir``; every query runs over all of them.
 Output columns are typed for comparison: room counts BIGINT, values DECIMAL(38,6), dates DATE.
 """
 
@@ -34,10 +36,6 @@ P: ReportParams = DEFAULT_PARAMS
 KEY = "property_code"
 
 
-def _src(spark: SparkSession, sf_dir: str) -> LodgingSources:
-    return LodgingSources(spark, sf_dir)
-
-
 def _supply(s: LodgingSources) -> DataFrame:
     return supply_rows(s.hotel_date_summary, s.hotel_dim, P)
 
@@ -52,113 +50,102 @@ def _typed_daily(df: DataFrame) -> DataFrame:
 
 
 # -- sources --------------------------------------------------------------------------------------------
-def scan_property_dim(spark, sf_dir):
-    return _src(spark, sf_dir).hotel_dim.select("hotel_id", KEY, "hotel_name", "product", "country_name")
+def scan_property_dim(s):
+    return s.hotel_dim.select("hotel_id", KEY, "hotel_name", "product", "country_name")
 
 
-def scan_recent_months(spark, sf_dir):
-    return recent_months(_src(spark, sf_dir).bookings, P).select("id", "hotel_id", "inserted_at")
+def scan_recent_months(s):
+    return recent_months(s.bookings, P).select("id", "hotel_id", "inserted_at")
 
 
-def calendar_spine(spark, sf_dir):
-    cal = _src(spark, sf_dir).calendar
+def calendar_spine(s):
+    cal = s.calendar
     return cal.filter(F.col("d").between(F.lit(P.window_start), F.lit(P.window_end))).distinct()
 
 
 # -- filters --------------------------------------------------------------------------------------------
-def q_eligible_properties(spark, sf_dir):
-    return eligible_properties(_src(spark, sf_dir).hotel_dim, P).select("hotel_id", KEY, "product", "country_name")
+def q_eligible_properties(s):
+    return eligible_properties(s.hotel_dim, P).select("hotel_id", KEY, "product", "country_name")
 
 
-def q_property_attributes(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_property_attributes(s):
     return property_attributes(s.hotel_dim, _supply(s).select(KEY), P)
 
 
-def exclude_codes_null_safe(spark, sf_dir):
-    return _supply(_src(spark, sf_dir)).select("date", KEY, "hotel_status", count("srns").alias("srns"))
+def exclude_codes_null_safe(s):
+    return _supply(s).select("date", KEY, "hotel_status", count("srns").alias("srns"))
 
 
-def q_bookable_bookings(spark, sf_dir):
-    return bookable_bookings(_src(spark, sf_dir).bookings, P).select(
+def q_bookable_bookings(s):
+    return bookable_bookings(s.bookings, P).select(
         "id", "hotel_id", "status", "source", "rooms", "checkin", "checkout", "inserted_at")
 
 
-def q_supply_by_status(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_supply_by_status(s):
     return supply_by_status(s.hotel_date_summary, s.hotel_dim, P).select(
         "date", KEY, "product", "hotel_status", count("srns").alias("srns"))
 
 
-def q_active_restrictions(spark, sf_dir):
-    return active_restrictions(_src(spark, sf_dir).hotel_restrictions, P).select(
+def q_active_restrictions(s):
+    return active_restrictions(s.hotel_restrictions, P).select(
         "hotel_id", "restriction_id", "metadata", "from_day", "to_day")
 
 
-def q_active_policies(spark, sf_dir):
-    return active_policies(_src(spark, sf_dir).hotel_policies, P)
+def q_active_policies(s):
+    return active_policies(s.hotel_policies, P)
 
 
-def q_exclusive_tax_by_booking(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_exclusive_tax_by_booking(s):
     return exclusive_tax_by_booking(s.bookings_base, s.booking_taxes, s.hotel_dim, P).select(
         "id", money("tax_amount").alias("tax_amount"))
 
 
 # -- joins ----------------------------------------------------------------------------------------------
-def q_stay_nights(spark, sf_dir):
-    b = bookable_bookings(_src(spark, sf_dir).bookings, P)
+def q_stay_nights(s):
+    b = bookable_bookings(s.bookings, P)
     return stay_nights(b, P.window_start, P.window_end).select("id", "hotel_id", "date", "status", "rooms")
 
 
-def stay_nights_by_property(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def stay_nights_by_property(s):
     b = attach_property(bookable_bookings(s.bookings, P), eligible_properties(s.hotel_dim, P))
     return stay_nights(b, P.window_start, P.window_end).select("id", KEY, "date", "status", "rooms")
 
 
-def q_contracted_rooms(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_contracted_rooms(s):
     return contracted_rooms(s.hotel_date_summary, s.hotel_dim, _supply(s).select(KEY), P).select(
         "date", KEY, count("total_contracted_rooms").alias("total_contracted_rooms"))
 
 
-def channel_labels(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def channel_labels(s):
     b = with_channel_inputs(bookable_bookings(s.bookings, P), s.online_travel_agents, s.source_enums)
     return b.select("id", "ota_label", F.col("enum_val").alias("source_label"))
 
 
-def q_local_cancel_time(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_local_cancel_time(s):
     b = realization_bookings(s.bookings_base, s.hotel_dim, s.online_travel_agents, s.source_enums, s.clusters,
                              s.cities, s.city_tz, P)
     return b.select("id", KEY, "offset_minutes", "local_cancel_time", "late_cancel")
 
 
-def q_policy_resolution(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_policy_resolution(s):
     return classified_policies(policy_rows(s.hotel_dim, s.hotel_restrictions, s.default_policies,
                                            s.hotel_policies, P))
 
 
-def q_effective_live_date(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_effective_live_date(s):
     return effective_live_date(latest_live_date(s.status_changes),
                                first_booking(s.bookings, s.hotel_dim, _supply(s).select(KEY)))
 
 
-def supply_demand_base(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def supply_demand_base(s):
     merged = _daily_demand(s).join(_supply(s), [KEY, "date"], "right")
     return merged.select("date", KEY, "hotel_status", count("srns").alias("srns"), count("urn").alias("urn"),
                          count("brn").alias("brn"), money("gmv_brn").alias("gmv_brn"),
                          money("urn_gmv").alias("urn_gmv"))
 
 
-def null_safe_merge(spark, sf_dir):
+def null_safe_merge(s):
     """Full merge of demand and realization per channel on (property, day, channel), NULL matching NULL."""
-    s = _src(spark, sf_dir)
     d = rp.demand_by_channel_for(s, P).select(KEY, "date", "booking_source", "urn")
     r = rp.realization_by_channel_for(s, P).select(
         F.col(KEY).alias("r_key"), F.col("date").alias("r_date"), F.col("booking_source").alias("r_source"),
@@ -173,8 +160,8 @@ def null_safe_merge(spark, sf_dir):
 
 
 # -- aggregations ---------------------------------------------------------------------------------------
-def room_nights_daily(spark, sf_dir):
-    return _typed_daily(_daily_demand(_src(spark, sf_dir)))
+def room_nights_daily(s):
+    return _typed_daily(_daily_demand(s))
 
 
 def _channel_demand_typed(s: LodgingSources) -> DataFrame:
@@ -183,19 +170,18 @@ def _channel_demand_typed(s: LodgingSources) -> DataFrame:
         count("brn").alias("brn"), money("gmv_brn").alias("gmv_brn"))
 
 
-def room_nights_by_channel(spark, sf_dir):
-    return _channel_demand_typed(_src(spark, sf_dir))
+def room_nights_by_channel(s):
+    return _channel_demand_typed(s)
 
 
-def q_realization_by_channel(spark, sf_dir):
-    r = rp.realization_by_channel_for(_src(spark, sf_dir), P)
+def q_realization_by_channel(s):
+    r = rp.realization_by_channel_for(s, P)
     return r.select("date", KEY, "booking_source",
                     *[count(c).alias(c) for c in ("brn", "urn", "bad_canc", "cancellations", "no_show",
                                                   "confirmed", "void")])
 
 
-def q_measures_long(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_measures_long(s):
     return measures_long(channel_demand(rp.demand_by_channel_for(s, P)), ["date", KEY, "booking_source"],
                          list(R.DEMAND_MEASURES))
 
@@ -204,25 +190,22 @@ def _pivot_columns(df: DataFrame, prefix_cols: list[tuple[str, str]]) -> DataFra
     return rp.select_typed(df, [("date", "date"), (KEY, "text"), *prefix_cols])
 
 
-def channel_pivot(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def channel_pivot(s):
     wide = rp.demand_daily_wide(rp.demand_by_channel_for(s, P), R.DEFAULT_CHANNELS, rollups=False)
     cols = [(f"{ch}_{m}", "money" if "gmv" in m else "count")
             for ch in rp.demand_channels() for m in R.DEMAND_MEASURES]
     return _pivot_columns(wide, cols)
 
 
-def cancellation_pivot(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def cancellation_pivot(s):
     wide = rp.cancellation_daily_wide(rp.realization_by_channel_for(s, P), rp.demand_by_channel_for(s, P),
                                       R.DEFAULT_CHANNELS, rollups=False)
     cols = [(f"{ch}_{m}", "count") for ch in rp.cancellation_channels() for m in R.CANCELLATION_MEASURES]
     return _pivot_columns(wide, cols)
 
 
-def channel_group_rollup(spark, sf_dir):
+def channel_group_rollup(s):
     """OTA / Growth roll-ups per (property, day) over every key that has demand or realization rows."""
-    s = _src(spark, sf_dir)
     d_by_ch = rp.demand_by_channel_for(s, P)
     demand = rp.demand_daily_wide(d_by_ch, R.DEFAULT_CHANNELS)
     cancels = rp.cancellation_daily_wide(rp.realization_by_channel_for(s, P), d_by_ch, R.DEFAULT_CHANNELS)
@@ -235,69 +218,62 @@ def channel_group_rollup(spark, sf_dir):
     return _pivot_columns(m, cols)
 
 
-def observed_channels(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def observed_channels(s):
     obs = rp.observed_demand_channels(rp.demand_by_channel_for(s, P))
     return obs.filter(F.col("booking_source").isin(*R.OTA_GROUP))
 
 
-def q_avg_daily_urn(spark, sf_dir):
-    return avg_daily_urn(_daily_demand(_src(spark, sf_dir)), P)
+def q_avg_daily_urn(s):
+    return avg_daily_urn(_daily_demand(s), P)
 
 
 # -- windows --------------------------------------------------------------------------------------------
-def q_latest_live_date(spark, sf_dir):
-    return latest_live_date(_src(spark, sf_dir).status_changes)
+def q_latest_live_date(s):
+    return latest_live_date(s.status_changes)
 
 
-def q_first_booking(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_first_booking(s):
     return first_booking(s.bookings, s.hotel_dim, _supply(s).select(KEY))
 
 
 # -- business rules -------------------------------------------------------------------------------------
-def channel_full(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def channel_full(s):
     return with_channel(bookable_bookings(s.bookings, P), s.online_travel_agents, s.source_enums,
                         FULL_RULES).select("id", "booking_source")
 
 
-def channel_reduced(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def channel_reduced(s):
     return with_channel(bookable_bookings(s.bookings, P), s.online_travel_agents, s.source_enums,
                         REDUCED_RULES).select("id", "booking_source")
 
 
-def ota_labels(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def ota_labels(s):
     agents = labelled_agents(s.online_travel_agents)
     b = bookable_bookings(s.bookings, P).filter(F.col("ota_id").isNotNull())
     return b.join(agents, F.col("ota_id") == F.col("ota_key"), "left").select("id", "ota_id", "ota_label")
 
 
-def q_payment_policy_class(spark, sf_dir):
-    return _src(spark, sf_dir).hotel_policies.select("hotel_id", "policy_row",
+def q_payment_policy_class(s):
+    return s.hotel_policies.select("hotel_id", "policy_row",
                                                      payment_policy_class("metadata").alias("payment_policy"))
 
 
-def q_restriction_class(spark, sf_dir):
-    return _src(spark, sf_dir).hotel_restrictions.select(
+def q_restriction_class(s):
+    return s.hotel_restrictions.select(
         "hotel_id", "restriction_id", "metadata", restriction_class("metadata").alias("restriction_class"))
 
 
-def q_effective_payment_type(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def q_effective_payment_type(s):
     return payment_types(classified_policies(policy_rows(s.hotel_dim, s.hotel_restrictions, s.default_policies,
                                                          s.hotel_policies, P)))
 
 
-def booking_value(spark, sf_dir):
-    b = with_value(bookable_bookings(_src(spark, sf_dir).bookings, P))
+def booking_value(s):
+    b = with_value(bookable_bookings(s.bookings, P))
     return b.select("id", F.col("gmv").cast("decimal(38,2)").alias("gmv"), F.col("r").cast("int").alias("r"))
 
 
-def late_cancellations(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def late_cancellations(s):
     b = realization_bookings(s.bookings_base, s.hotel_dim, s.online_travel_agents, s.source_enums, s.clusters,
                              s.cities, s.city_tz, P)
     nights = realization_nights(b, P)
@@ -305,14 +281,13 @@ def late_cancellations(spark, sf_dir):
         count(F.sum(F.when(F.col("late_cancel"), F.col("rooms")).otherwise(0))).alias("bad_canc"))
 
 
-def supply_corrected(spark, sf_dir):
-    s = _src(spark, sf_dir)
+def supply_corrected(s):
     base = zero_fill(_supply(s).join(_daily_demand(s), [KEY, "date"], "left"), text_fill=None)
     return base.select("date", KEY, "hotel_status", count("urn").alias("urn"), count(corrected_srns()).alias("srns"))
 
 
-def q_zero_fill(spark, sf_dir):
-    by_ch = rp.demand_by_channel_for(_src(spark, sf_dir), P)
+def q_zero_fill(s):
+    by_ch = rp.demand_by_channel_for(s, P)
     filled = zero_fill(by_ch.select("date", KEY, "booking_source", "urn", "gmv_urn", "brn", "gmv_brn",
                                     F.col("tax_checkout").alias("tax_amount")), text_fill="0")
     return filled.select("date", KEY, "booking_source", count("urn").alias("urn"), money("gmv_urn").alias("gmv_urn"),
@@ -320,24 +295,24 @@ def q_zero_fill(spark, sf_dir):
                          money("tax_amount").alias("tax_amount"))
 
 
-def supply_grain_duplicates(spark, sf_dir):
-    return grain_duplicates(_supply(_src(spark, sf_dir)), [KEY, "date"])
+def supply_grain_duplicates(s):
+    return grain_duplicates(_supply(s), [KEY, "date"])
 
 
 # -- report ---------------------------------------------------------------------------------------------
-def report_wide(spark, sf_dir):
-    return rp.report_wide(_src(spark, sf_dir), P)
+def report_wide(s):
+    return rp.report_wide(s, P)
 
 
-def report_narrow(spark, sf_dir):
-    return rp.report_narrow(rp.report_wide(_src(spark, sf_dir), P))
+def report_narrow(s):
+    return rp.report_narrow(rp.report_wide(s, P))
 
 
-def report_csv_roundtrip(spark, sf_dir):
-    return rp.report_csv_roundtrip(spark, rp.report_narrow(rp.report_wide(_src(spark, sf_dir), P)))
+def report_csv_roundtrip(s):
+    return rp.report_csv_roundtrip(s.spark, rp.report_narrow(rp.report_wide(s, P)))
 
 
-QUERIES: dict[str, Query] = {
+OPERATORS: dict[str, Callable[[LodgingSources], DataFrame]] = {
     "scan_property_dim": scan_property_dim,
     "scan_recent_months": scan_recent_months,
     "calendar_spine": calendar_spine,
@@ -384,3 +359,16 @@ QUERIES: dict[str, Query] = {
     "report_narrow": report_narrow,
     "report_csv_roundtrip": report_csv_roundtrip,
 }
+
+
+def _on_driver_tables(op: Callable[[LodgingSources], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return op(LodgingSources(spark, sf_dir))
+
+    query.__name__ = op.__name__
+    query.__doc__ = op.__doc__
+    return query
+
+
+# The driver contract: each query derives the lodging tables from the driver tables of ``sf_dir``.
+QUERIES: dict[str, Query] = {name: _on_driver_tables(op) for name, op in OPERATORS.items()}

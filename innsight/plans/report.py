@@ -24,7 +24,7 @@ from ..functions import rules as R
 from ..functions.exprs import label_lookup, zero_fill
 from ..operators.channels import group_aggs, group_names, pivot_aggs, routed_channel, sql_name
 from ..operators.demand import demand_by_channel, demand_nights, demand_totals_aggs
-from ..operators.dims import exclude_keys, eligible_properties, property_attributes
+from ..operators.dims import attribute_rows, eligible_properties, exclude_keys
 from ..operators.policy import classified_policies, payment_types, policy_rows
 from ..operators.realization import realization_bookings, realization_by_channel, realization_nights
 from ..operators.supply import corrected_srns, effective_live_date, first_booking, latest_live_date
@@ -183,12 +183,11 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNE
     # Per-property columns. Everything below is left-joined onto the supply rows, so restricting these
     # sides to the supply codes first (as the standalone operators do) would only re-derive the supply fact:
     # the eligible-property filter is the cheaper superset that gives the same report.
-    eligible_codes = eligible_properties(src.hotel_dim, p).select(KEY)
-    attributes = property_attributes(src.hotel_dim, eligible_codes, p)
+    attributes = attribute_rows(src.hotel_dim, p)
     payment = payment_types(classified_policies(policy_rows(src.hotel_dim, src.hotel_restrictions,
                                                             src.default_policies, src.hotel_policies, p)))
     live = effective_live_date(latest_live_date(src.status_changes),
-                               first_booking(src.bookings, src.hotel_dim, eligible_codes))
+                               first_booking(src.bookings, eligible_properties(src.hotel_dim, p)))
 
     keys = [KEY, "date"]
     # Per-property columns first, onto the narrow supply rows (payment rows may fan out, as in the report).

@@ -26,6 +26,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     conf = dict(SCALE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("INNSIGHT_DRIVER_MEMORY", "16g")
+    # Driver-side only: skip PySpark's per-call call-site capture (error context), which costs several JVM
+    # round trips per function call while a plan with a few hundred expressions is built.
+    conf["spark.python.sql.dataFrameDebugging.enabled"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -111,8 +111,9 @@ class LodgingSources:
         entry = (F.when(F.col("l_linenumber") % 5 == 0, F.lit('{"tax_amount":"1.00"}'))
                  .otherwise(F.concat(F.lit('{"clusivity":"'), clusivity, F.lit('","tax_amount":"'), amount,
                                      F.lit('"}'))))
-        # An order has at most seven lines, so the list per id is bounded.
-        return (li.groupBy(F.col("l_orderkey").alias("id"))
+        # An order has at most seven lines, so the list per id is bounded. A list aggregate does not shrink map
+        # side, so the lines are hashed on the order key first and the text is built by every reduce task.
+        return (li.repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("id"))
                 .agg(F.concat(F.lit('{"tax_breakup":['), F.array_join(F.collect_list(entry), ","), F.lit("]}"))
                      .alias("taxes")))
 
