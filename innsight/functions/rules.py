@@ -35,6 +35,12 @@ BOG_SUB_SOURCE = 22
 TRIVAGO_SUB_SOURCE = 23
 GDS_OTA_IDS = (90, 91, 92, 93, 94)
 NON_MM_MICRO_MARKETS = (306, 126, 256, 99)
+# Labels the rules give.
+MIGRATION_OTA = "migration_ota"
+MICRO_MARKET = "MM"
+BOG = "BoG"
+TRIVAGO = "Trivago"
+GDS = "GDS"
 
 # ---------------------------------------------------------------------------------------------------
 # Channel groups of the roll-up columns.
@@ -59,8 +65,7 @@ HOTEL_STATUS_LABELS = (
 # fixture tables; a label outside the list is summed into UNLISTED_CHANNEL so that no row is lost.
 SOURCE_ENUM_LABELS = ("OTA", "OTA Direct", "Migration", "Meta", "Android App", "IOS App", "Mobile Web Booking",
                       "Web Booking", "Walk In", "Direct")
-RULE_LABELS = tuple(label for label, _ in OTA_NAME_LABELS) + (OTHER_OTA, "migration_ota", "MM", "BoG", "Trivago",
-                                                             "GDS")
+RULE_LABELS = tuple(label for label, _ in OTA_NAME_LABELS) + (OTHER_OTA, MIGRATION_OTA, MICRO_MARKET, BOG, TRIVAGO, GDS)
 UNLISTED_CHANNEL = "unlisted"
 DEFAULT_CHANNELS = RULE_LABELS + SOURCE_ENUM_LABELS + (UNLISTED_CHANNEL,)
 

@@ -35,11 +35,11 @@ FULL_RULES: tuple[Rule, ...] = (
     ("unlabelled_ota", lambda: _ota_source() & F.col("ota_label").isNull() & _not_gds(), lambda: F.lit(R.OTHER_OTA)),
     ("labelled_ota", lambda: _ota_source() & _not_gds(), lambda: F.col("ota_label")),
     ("migration", lambda: (F.col("source") == R.MIGRATION_SOURCE) & F.col("micro_market_id").isNull(),
-     lambda: F.lit("migration_ota")),
-    ("micro_market", _micro_market, lambda: F.lit("MM")),
-    ("bog", lambda: _meta(R.BOG_SUB_SOURCE), lambda: F.lit("BoG")),
-    ("trivago", lambda: _meta(R.TRIVAGO_SUB_SOURCE), lambda: F.lit("Trivago")),
-    ("gds", lambda: F.col("ota_id").isin(*R.GDS_OTA_IDS), lambda: F.lit("GDS")),
+     lambda: F.lit(R.MIGRATION_OTA)),
+    ("micro_market", _micro_market, lambda: F.lit(R.MICRO_MARKET)),
+    ("bog", lambda: _meta(R.BOG_SUB_SOURCE), lambda: F.lit(R.BOG)),
+    ("trivago", lambda: _meta(R.TRIVAGO_SUB_SOURCE), lambda: F.lit(R.TRIVAGO)),
+    ("gds", lambda: F.col("ota_id").isin(*R.GDS_OTA_IDS), lambda: F.lit(R.GDS)),
 )
 
 # The realization report uses a shorter ladder: no travel-agent id tests, no Trivago and no GDS rule.

@@ -26,7 +26,7 @@ from ..operators.reshape import measures_long
 from ..operators.supply import (contracted_rooms, corrected_srns, effective_live_date, first_booking,
                                 latest_live_date, supply_by_status, supply_rows)
 from ..operators.taxes import exclusive_tax_by_booking
-from ..params import DEFAULT_PARAMS, USED_STATUSES, ReportParams
+from ..params import DEFAULT_PARAMS, ReportParams
 from ..sources.fixtures import LodgingSources
 from . import report as rp
 from .checks import avg_daily_urn, grain_duplicates

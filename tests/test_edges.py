@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from innsight.functions import rules as R
 from innsight.functions.exprs import local_cancel_time, is_late_cancellation, utc_offset_minutes, zero_fill
