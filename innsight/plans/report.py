@@ -29,7 +29,7 @@ from ..operators.policy import classified_policies, payment_types, policy_rows
 from ..operators.realization import realization_bookings, realization_by_channel, realization_nights
 from ..operators.supply import corrected_srns, effective_live_date, first_booking, latest_live_date
 from ..params import SUPPLY_HOTEL_STATUSES, ReportParams
-from ..session import output_path
+from ..session import output_path, shared_dir
 
 KEY = "property_code"
 
@@ -167,18 +167,33 @@ def select_typed(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame
 
 
 # -- the report ---------------------------------------------------------------------------------------
-def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNELS) -> DataFrame:
+def cut(df: DataFrame, enabled: bool) -> DataFrame:
+    """Reliable checkpoint into the cluster's shared ``spark.checkpoint.dir`` (read from the session; a scratch
+    folder is set only when none is configured). Later stages then recompute from it, never from the facts."""
+    if not enabled:
+        return df
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNELS,
+                cut_lineage: bool = False) -> DataFrame:
     """One row per eligible property x day x property status with supply, demand, channel split,
-    cancellations, roll-ups, contracted rooms, attributes, payment type, live date and status label."""
-    per_status = supply_per_status(src.hotel_date_summary, p)
+    cancellations, roll-ups, contracted rooms, attributes, payment type, live date and status label.
+
+    With ``cut_lineage`` the three first-level aggregates (the only steps that read the large facts) are
+    checkpointed first: they are small, and an executor lost afterwards then costs a re-read of them instead
+    of a re-scan and re-expansion of the bookings.
+    """
+    per_status = cut(supply_per_status(src.hotel_date_summary, p), cut_lineage)
     props = eligible_properties(src.hotel_dim, p).select(KEY)
     supply = exclude_keys(per_status.filter(F.col("hotel_status").isin(*SUPPLY_HOTEL_STATUSES)).join(props, KEY),
                           KEY, p.excluded_codes).select(KEY, "date", "hotel_status", "srns")
     contracted = per_status.groupBy(KEY, "date").agg(F.max("contracted").alias("total_contracted_rooms"))
 
-    d_by_ch = demand_by_channel_for(src, p)
+    d_by_ch = cut(demand_by_channel_for(src, p), cut_lineage)
     demand = demand_daily_wide(d_by_ch, channels)
-    cancels = cancellation_daily_wide(realization_by_channel_for(src, p), d_by_ch, channels)
+    cancels = cancellation_daily_wide(cut(realization_by_channel_for(src, p), cut_lineage), d_by_ch, channels)
 
     # Per-property columns. Everything below is left-joined onto the supply rows, so restricting these
     # sides to the supply codes first (as the standalone operators do) would only re-derive the supply fact:

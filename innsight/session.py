@@ -54,3 +54,24 @@ def shared_dir(spark: SparkSession) -> str:
 def output_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a sink written by a query."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run whose largest shuffle writes about ``shuffle_bytes``.
+
+    Shuffle partitions are set so that a partition holds ~``partition_bytes`` (bounded to 200..100000) and AQE
+    coalesces smaller ones to the same advisory size; input splits are of the same size; a partition more than
+    4x that and 5x the median counts as skewed and is split by the skew join.
+    """
+    partitions = min(100_000, max(200, -(-shuffle_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
