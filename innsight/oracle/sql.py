@@ -557,6 +557,9 @@ FROM (SELECT *, CASE WHEN hotel_status = 2 THEN srns WHEN hotel_status <> 2 AND
   {big('brn')} AS brn, {m6('gmv_brn')} AS gmv_brn, {m6('tax_amount')} AS tax_amount FROM urn_contri"""),
     "supply_grain_duplicates": with_ctes("""SELECT property_code, date, count(*) AS n_rows FROM srn_data
 GROUP BY 1, 2 HAVING count(*) > 1"""),
+    "merge_key_nulls": with_ctes("""SELECT
+  (SELECT count(*) FROM srn_data WHERE property_code IS NULL OR date IS NULL) AS supply_null_keys,
+  (SELECT count(*) FROM urns_data WHERE property_code IS NULL OR date IS NULL) AS demand_null_keys"""),
     "report_wide": report_wide_sql(),
     "report_narrow": report_narrow_sql(),
     "report_csv_roundtrip": report_csv_sql(),

@@ -29,7 +29,7 @@ from ..operators.taxes import exclusive_tax_by_booking
 from ..params import DEFAULT_PARAMS, ReportParams
 from ..sources.fixtures import LodgingSources
 from . import report as rp
-from .checks import avg_daily_urn, grain_duplicates
+from .checks import avg_daily_urn, grain_duplicates, null_key_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 P: ReportParams = DEFAULT_PARAMS
@@ -295,6 +295,11 @@ def q_zero_fill(s):
                          money("tax_amount").alias("tax_amount"))
 
 
+def merge_key_nulls(s):
+    """Guard of the plain-equality merges: NULL (property, day) keys on the supply and demand sides."""
+    return null_key_counts({"supply": _supply(s), "demand": _daily_demand(s)}, [KEY, "date"])
+
+
 def supply_grain_duplicates(s):
     return grain_duplicates(_supply(s), [KEY, "date"])
 
@@ -355,6 +360,7 @@ OPERATORS: dict[str, Callable[[LodgingSources], DataFrame]] = {
     "supply_corrected": supply_corrected,
     "zero_fill": q_zero_fill,
     "supply_grain_duplicates": supply_grain_duplicates,
+    "merge_key_nulls": merge_key_nulls,
     "report_wide": report_wide,
     "report_narrow": report_narrow,
     "report_csv_roundtrip": report_csv_roundtrip,
