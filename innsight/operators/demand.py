@@ -15,6 +15,22 @@ from .taxes import exclusive_tax_by_booking
 TAX_WINDOWS = ("checkin", "checkout")
 
 
+def demand_bookings(bookings: DataFrame, hotel_dim: DataFrame, online_travel_agents: DataFrame,
+                    source_enums: DataFrame, p: ReportParams) -> DataFrame:
+    """Bookable bookings of eligible properties with their (full-ladder) channel."""
+    b = attach_property(bookable_bookings(bookings, p), eligible_properties(hotel_dim, p))
+    return with_channel(b, online_travel_agents, source_enums, FULL_RULES)
+
+
+def demand_channels_seen(demand_bookings_df: DataFrame, p: ReportParams) -> DataFrame:
+    """Distinct channel labels of the demand rows (NULL as ``'0'``), taken from the bookings that have a night in
+    the window: the same set as the channels of the per-channel rows, without expanding stays or joining tax."""
+    overlapping = demand_bookings_df.filter(
+        (F.col("checkin") < F.col("checkout")) & (F.col("checkin") <= F.lit(p.window_end))
+        & (F.col("checkout") > F.lit(p.window_start)))
+    return overlapping.select(F.coalesce(F.col("booking_source"), F.lit("0")).alias("booking_source")).distinct()
+
+
 def demand_nights(bookings: DataFrame, bookings_base: DataFrame, booking_taxes: DataFrame, hotel_dim: DataFrame,
                   online_travel_agents: DataFrame, source_enums: DataFrame, p: ReportParams) -> DataFrame:
     """One row per stay night of an eligible booking, with its channel and per-night value and tax.
@@ -22,9 +38,7 @@ def demand_nights(bookings: DataFrame, bookings_base: DataFrame, booking_taxes:
     All joins happen per booking, before the night expansion, and only the columns the aggregates need are
     carried into it. Tax is looked up for both tax windows in one pass (``tax_checkin``, ``tax_checkout``).
     """
-    props = eligible_properties(hotel_dim, p)
-    b = attach_property(bookable_bookings(bookings, p), props)
-    b = with_channel(b, online_travel_agents, source_enums, FULL_RULES)
+    b = demand_bookings(bookings, hotel_dim, online_travel_agents, source_enums, p)
     tax = (exclusive_tax_by_booking(bookings_base, booking_taxes, hotel_dim, p, TAX_WINDOWS)
            .withColumnsRenamed({f"tax_amount_{w}": f"tax_{w}" for w in TAX_WINDOWS}))
     b = with_value(b.join(tax, "id", "left"))

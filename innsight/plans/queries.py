@@ -198,7 +198,7 @@ def channel_pivot(s):
 
 
 def cancellation_pivot(s):
-    wide = rp.cancellation_daily_wide(rp.realization_by_channel_for(s, P), rp.demand_by_channel_for(s, P),
+    wide = rp.cancellation_daily_wide(rp.realization_by_channel_for(s, P), rp.observed_demand_channels(s, P),
                                       R.DEFAULT_CHANNELS, rollups=False)
     cols = [(f"{ch}_{m}", "count") for ch in rp.cancellation_channels() for m in R.CANCELLATION_MEASURES]
     return _pivot_columns(wide, cols)
@@ -208,7 +208,8 @@ def channel_group_rollup(s):
     """OTA / Growth roll-ups per (property, day) over every key that has demand or realization rows."""
     d_by_ch = rp.demand_by_channel_for(s, P)
     demand = rp.demand_daily_wide(d_by_ch, R.DEFAULT_CHANNELS)
-    cancels = rp.cancellation_daily_wide(rp.realization_by_channel_for(s, P), d_by_ch, R.DEFAULT_CHANNELS)
+    cancels = rp.cancellation_daily_wide(rp.realization_by_channel_for(s, P), rp.observed_demand_channels(s, P),
+                                         R.DEFAULT_CHANNELS)
     d_cols = [f"{g}_{sfx}" for g in ("OTA", "Growth") for sfx, _ in rp.DEMAND_ROLLUP]
     c_cols = [f"{g}_{sfx}" for g in ("OTA", "Growth") for sfx, _ in rp.CANCEL_ROLLUP]
     m = zero_fill(demand.select(KEY, "date", *d_cols).join(cancels.select(KEY, "date", *c_cols), [KEY, "date"],
@@ -219,8 +220,7 @@ def channel_group_rollup(s):
 
 
 def observed_channels(s):
-    obs = rp.observed_demand_channels(rp.demand_by_channel_for(s, P))
-    return obs.filter(F.col("booking_source").isin(*R.OTA_GROUP))
+    return rp.observed_demand_channels(s, P).filter(F.col("booking_source").isin(*R.OTA_GROUP))
 
 
 def q_avg_daily_urn(s):

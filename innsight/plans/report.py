@@ -7,8 +7,8 @@ Shuffle plan (see README "Plan at scale"):
    aggregate with map-side partial aggregation on its full key, so a property holding a third of all
    bookings is spread over its days and channels and pre-combined before the shuffle.
 2. Second-level results are all hash-partitioned on (property, day): the supply rows by one repartition
-   (shared with the contracted-rooms maximum), the narrow per-channel rows by one repartition each before
-   they are pivoted. The (property, day) joins between them then need no further exchange.
+   (the contracted-rooms maximum is a window on the same partitions), the narrow per-channel rows by one
+   repartition each before they are pivoted. The (property, day) joins between them need no further exchange.
 3. Per-property columns (attributes, payment type, live date) are joined onto the narrow supply rows
    before those joins, by measured size (broadcast when small); the 200-column wide rows are never shuffled.
 """
@@ -17,13 +17,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.exprs import label_lookup, zero_fill
 from ..operators.channels import group_aggs, group_names, pivot_aggs, routed_channel, sql_name
-from ..operators.demand import demand_by_channel, demand_nights, demand_totals_aggs
+from ..operators.demand import (demand_bookings, demand_by_channel, demand_channels_seen, demand_nights,
+                                 demand_totals_aggs)
 from ..operators.dims import attribute_rows, eligible_properties, exclude_keys
 from ..operators.policy import classified_policies, payment_types, policy_rows
 from ..operators.realization import realization_bookings, realization_by_channel, realization_nights
@@ -100,13 +101,17 @@ def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: b
     return pivot_after_shuffle(rows).groupBy(KEY, "date").agg(*demand_totals_aggs(), *pivot, *groups)
 
 
-def observed_demand_channels(by_channel: DataFrame) -> DataFrame:
-    """Distinct channel labels of the demand rows (NULL shown as the demand's null label)."""
-    return by_channel.select(F.coalesce(F.col("booking_source"), F.lit(R.DEMAND_NULL_CHANNEL))
-                             .alias("booking_source")).distinct()
+def observed_demand_channels(src, p: ReportParams) -> DataFrame:
+    """Distinct channel labels of the demand rows (NULL shown as the demand's null label).
+
+    Read from the demand bookings that have a night in the window, not from the per-channel aggregate: a
+    second consumer of that aggregate would be pruned differently and re-run the whole night expansion.
+    """
+    return demand_channels_seen(demand_bookings(src.bookings, src.hotel_dim, src.online_travel_agents,
+                                                src.source_enums, p), p)
 
 
-def cancellation_daily_wide(real_by_channel: DataFrame, demand_by_ch: DataFrame, channels: Sequence[str],
+def cancellation_daily_wide(real_by_channel: DataFrame, observed_channels: DataFrame, channels: Sequence[str],
                             rollups: bool = True) -> DataFrame:
     """Per (property, day): cancellation / no-show pivot and the OTA / Growth roll-ups of them.
 
@@ -117,8 +122,8 @@ def cancellation_daily_wide(real_by_channel: DataFrame, demand_by_ch: DataFrame,
     chans = cancellation_channels(channels)
     # Distinct channel labels: bounded by the rule labels plus the source-enum table, whatever the data size.
     # Broadcast so the per-channel rows are never hashed on a ~30-value key.
-    observed = F.broadcast(observed_demand_channels(demand_by_ch).select(F.col("booking_source").alias("_obs"),
-                                                                         F.lit(True).alias("_observed")))
+    observed = F.broadcast(observed_channels.select(F.col("booking_source").alias("_obs"),
+                                                    F.lit(True).alias("_observed")))
     rows = (real_by_channel.withColumn("_ch", routed_channel("booking_source", chans, R.REALIZATION_NULL_CHANNEL))
             .join(observed, F.col("booking_source") == F.col("_obs"), "left"))
     ch = "_ch"
@@ -187,13 +192,17 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNE
     """
     per_status = cut(supply_per_status(src.hotel_date_summary, p), cut_lineage)
     props = eligible_properties(src.hotel_dim, p).select(KEY)
-    supply = exclude_keys(per_status.filter(F.col("hotel_status").isin(*SUPPLY_HOTEL_STATUSES)).join(props, KEY),
-                          KEY, p.excluded_codes).select(KEY, "date", "hotel_status", "srns")
-    contracted = per_status.groupBy(KEY, "date").agg(F.max("contracted").alias("total_contracted_rooms"))
-
-    d_by_ch = cut(demand_by_channel_for(src, p), cut_lineage)
-    demand = demand_daily_wide(d_by_ch, channels)
-    cancels = cancellation_daily_wide(cut(realization_by_channel_for(src, p), cut_lineage), d_by_ch, channels)
+    # Contracted rooms are the maximum over all statuses of a property-day: a window on the rows that are
+    # already partitioned by (property, day), so supply and contracted rooms share one scan and one shuffle.
+    day = Window.partitionBy(KEY, "date")
+    supply = exclude_keys(
+        per_status.withColumn("total_contracted_rooms", F.max("contracted").over(day))
+        .filter(F.col("hotel_status").isin(*SUPPLY_HOTEL_STATUSES)).join(props, KEY),
+        KEY, p.excluded_codes).select(KEY, "date", "hotel_status", "srns", "total_contracted_rooms")
+
+    demand = demand_daily_wide(cut(demand_by_channel_for(src, p), cut_lineage), channels)
+    cancels = cancellation_daily_wide(cut(realization_by_channel_for(src, p), cut_lineage),
+                                      observed_demand_channels(src, p), channels)
 
     # Per-property columns. Everything below is left-joined onto the supply rows, so restricting these
     # sides to the supply codes first (as the standalone operators do) would only re-derive the supply fact:
@@ -209,7 +218,7 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNE
     base = (supply.join(attributes, KEY, "left")
             .join(payment.select(KEY, "payment_type_when_policy_applied"), KEY, "left")
             .join(live.select(KEY, "live_date2"), KEY, "left"))
-    merged = base.join(demand, keys, "left").join(cancels, keys, "left").join(contracted, keys, "left")
+    merged = base.join(demand, keys, "left").join(cancels, keys, "left")
     # Missing measures count 0 and missing attribute text reads "0"; payment type and live date stay NULL.
     merged = zero_fill(merged, text_fill=None).na.fill("0", subset=["hotel_name", "city_name", "zone_name"])
     merged = merged.withColumns({

@@ -187,7 +187,14 @@ class LodgingSources:
 
     # -- lookups --------------------------------------------------------------------------------------
     def _values(self, rows, schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        """Inline rows as a ``VALUES`` relation. Unlike ``createDataFrame`` (an RDD scan without statistics),
+        it has an exact size, so the planner can see a lookup is small and broadcast it."""
+        def lit(v):
+            return "NULL" if v is None else (str(v) if isinstance(v, int) else "'" + v.replace("'", "\\'") + "'")
+        cols = [c.strip().split() for c in schema.split(",")]
+        values = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
+        rel = self.spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(n for n, _ in cols)})")
+        return rel.selectExpr(*[f"CAST({n} AS {t}) AS {n}" for n, t in cols])
 
     @cached_property
     def online_travel_agents(self) -> DataFrame:
