@@ -104,18 +104,20 @@ class LodgingSources:
 
     @cached_property
     def booking_taxes(self) -> DataFrame:
-        """One row per booking id: ``{"tax_breakup":[{"clusivity":..,"tax_amount":..},..]}``."""
+        """Tax documents ``{"tax_breakup":[{"clusivity":..,"tax_amount":..}]}`` keyed by booking id.
+
+        One document per tax line (order line), so an id can have several documents. Tax is summed per id
+        downstream, so the totals equal those of one combined document per booking, and no group of lines is
+        ever gathered into one row (the number of lines per order is not bounded by the data).
+        """
         li = self._read("lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_tax", "l_returnflag"])
         amount = (F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")).cast("string")
         clusivity = F.when(F.col("l_returnflag") == "A", "Inclusive").otherwise("Exclusive")
         entry = (F.when(F.col("l_linenumber") % 5 == 0, F.lit('{"tax_amount":"1.00"}'))
                  .otherwise(F.concat(F.lit('{"clusivity":"'), clusivity, F.lit('","tax_amount":"'), amount,
                                      F.lit('"}'))))
-        # An order has at most seven lines, so the list per id is bounded. A list aggregate does not shrink map
-        # side, so the lines are hashed on the order key first and the text is built by every reduce task.
-        return (li.repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("id"))
-                .agg(F.concat(F.lit('{"tax_breakup":['), F.array_join(F.collect_list(entry), ","), F.lit("]}"))
-                     .alias("taxes")))
+        return li.select(F.col("l_orderkey").alias("id"),
+                         F.concat(F.lit('{"tax_breakup":['), entry, F.lit("]}")).alias("taxes"))
 
     @cached_property
     def hotel_date_summary(self) -> DataFrame:
