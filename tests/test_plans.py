@@ -79,3 +79,12 @@ def test_report_partitions_second_level_on_property_and_day(spark):
     plan = plan_text(QUERIES["report_wide"](spark, SF_CHECK))
     keyed = re.findall(r"Exchange hashpartitioning\(property_code#\d+, date#\d+, \d+\)", plan)
     assert 2 <= len(keyed) <= 6
+
+
+@pytest.mark.parametrize("name", ["report_wide", "room_nights_by_channel", "realization_by_channel"])
+def test_facts_are_never_hashed_on_low_cardinality_keys(spark, name):
+    """Lookups by source, agent, cluster or zone must be broadcast, never shuffle the bookings on a ~10-value
+    key (a source or city may hold a third of all bookings)."""
+    plan = plan_text(QUERIES[name](spark, SF_CHECK))
+    for key in ("source", "_enum_key", "ota_id", "ota_key", "cluster_id", "city_id", "time_zone"):
+        assert not re.search(rf"hashpartitioning\({key}#\d+", plan), key
