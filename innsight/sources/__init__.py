@@ -1,0 +1,19 @@
+"""Lodging sources.
+
+Every operator reads its inputs from a *sources* object: anything with these DataFrame attributes (columns
+the operators use in brackets).
+
+``hotel_dim`` (hotel_id, property_code, hotel_name, product, country_id, country_name, city_name, zone_name,
+cluster_id, status_id), ``bookings`` and ``bookings_base`` (id, hotel_id, status, source, sub_source, ota_id,
+micro_market_id, rooms, amount, selling_amount, discount, checkin, checkout, created_date, cancellation_time,
+updated_at, inserted_at), ``booking_taxes`` (id, taxes), ``hotel_date_summary`` (property_code, d, hotel_status,
+sellable_rooms, total_contracted_rooms), ``status_changes`` (property_code, old_status, new_status, changed_at),
+``hotel_policies`` (hotel_id, policy_row, policy_id, status, metadata, start_day, end_day, updated_at),
+``default_policies`` (country_id, policy_id, status, metadata), ``hotel_restrictions`` (hotel_id, restriction_id,
+status, metadata, from_day, to_day), ``online_travel_agents`` (id, name), ``source_enums`` (enum_key, enum_val),
+``clusters`` (id, city_id), ``cities`` (id, time_zone), ``city_tz`` (name, utc_offset), ``calendar`` (d), and
+``spark``.
+
+Implementations: :class:`fixtures.LodgingSources` (derived from the driver's test tables),
+:class:`stored.StoredSources` (parquet folders) and :class:`stored.CatalogSources` (catalog tables).
+"""

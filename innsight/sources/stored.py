@@ -54,3 +54,21 @@ def store_sources(src, path: str) -> StoredSources:
             writer = writer.partitionBy(PARTITION_COLUMNS[name])
         writer.parquet(f"{path.rstrip('/')}/{name}")
     return StoredSources(src.spark, path, schemas)
+
+
+class CatalogSources:
+    """The lodging tables of a catalog database (``spark.table(f"{database}.{name}")``), e.g. the production
+    tables; a name can be mapped to another table name with ``tables``."""
+
+    def __init__(self, spark: SparkSession, database: str, tables: dict[str, str] | None = None):
+        self.spark = spark
+        self.database = database
+        self.tables = tables or {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in LODGING_TABLES:
+            return self.spark.table(f"{self.database}.{self.tables.get(name, name)}")
+        if name == "bookings_base":
+            return self.spark.table(f"{self.database}.{self.tables.get(name, 'bookings')}")
+        raise AttributeError(name)
+

@@ -35,3 +35,16 @@ def test_month_floor_prunes_booking_partitions(both):
     df = OPERATORS["scan_recent_months"](stored)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*inserted_at", plan), plan
+
+
+def test_report_job_writes_wide_and_narrow_csv(spark, both):
+    from innsight.job import run_report
+    from innsight.params import DEFAULT_PARAMS
+
+    derived, _ = both
+    out = tempfile.mkdtemp(prefix="innsight-job-")
+    wide_path, narrow_path = run_report(derived, DEFAULT_PARAMS, out)
+    wide = spark.read.option("header", True).csv(wide_path)
+    narrow = spark.read.option("header", True).csv(narrow_path)
+    assert wide.count() == narrow.count() == OPERATORS["report_wide"](derived).count() > 0
+    assert len(narrow.columns) == 20 and len(wide.columns) > 200
