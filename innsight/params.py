@@ -49,6 +49,9 @@ class ReportParams:
     excluded_codes: tuple[str, ...] = ("P000003", "P000042", "P000101", "P001234")
     # Status of properties considered by the payment-policy resolution.
     policy_property_status: int = 2
+    # ``yyyymm`` text: policy, default-policy and restriction rows inserted from this month on are read
+    # (applied to tables that carry an ``inserted_at`` column).
+    policy_month_floor: str = "201807"
     restriction_id: int = 12
     policy_id: int = 3
     # Fixed period of the average-daily-URN sanity figure.

@@ -243,10 +243,14 @@ def report_narrow(wide: DataFrame, channel: str = "Walk In") -> DataFrame:
 
 
 # -- sink and re-read ---------------------------------------------------------------------------------
-def write_report_csv(df: DataFrame, path: str) -> None:
-    """CSV with header, ``NA`` for NULL, replacing earlier content; rows ordered by key within files."""
-    (df.sortWithinPartitions(KEY, "date").write.mode("overwrite")
-     .option("header", True).option("nullValue", "NA").csv(path))
+def write_report_csv(df: DataFrame, path: str, ordered: bool = True) -> None:
+    """CSV with header, ``NA`` for NULL, replacing earlier content.
+
+    ``ordered`` sorts the output by (property, day) across files, as the original report file is; this is a
+    range-partitioned sort of the output rows at the sink only. Without it files are sorted one by one.
+    """
+    out = df.orderBy(KEY, "date") if ordered else df.sortWithinPartitions(KEY, "date")
+    out.write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
 
 
 def read_report_csv(spark: SparkSession, path: str, schema) -> DataFrame:

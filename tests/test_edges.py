@@ -266,3 +266,16 @@ def test_rule_lists_are_consistent():
     assert set(R.OTA_GROUP) - {R.OTHER_OTA} <= set(labels)
     assert set(R.GROWTH_GROUP) <= set(R.DEFAULT_CHANNELS)
     assert len(set(R.DEFAULT_CHANNELS)) == len(R.DEFAULT_CHANNELS)
+
+
+def test_policy_month_floor_applies_when_tables_record_months(spark):
+    from innsight.operators.policy import active_restrictions, default_policies_active
+
+    rows = [(1, 12, 1, "{}", 0, 20000, "201806"), (2, 12, 1, "{}", 0, 20000, "201807"), (3, 12, 1, "{}", 0, 20000, None)]
+    df = spark.createDataFrame(rows, "hotel_id int, restriction_id int, status int, metadata string, from_day int, "
+                                     "to_day int, inserted_at string")
+    assert [r.hotel_id for r in active_restrictions(df, P).collect()] == [2]
+    assert active_restrictions(df.drop("inserted_at"), P).count() == 3
+    d = spark.createDataFrame([(1, 3, 1, "{}", "201701"), (2, 3, 1, "{}", "202001")],
+                              "country_id int, policy_id int, status int, metadata string, inserted_at string")
+    assert [r.country_id for r in default_policies_active(d, P).collect()] == [2]
