@@ -53,7 +53,8 @@ def main() -> None:
     print(f"# Physical plans (final adaptive plans, {sf_dir}, local[8], 8 shuffle partitions)\n")
     print("Generated by `tools/plan_report.py`. Exchanges are listed with their partitioning keys; joins are the\n"
           "strategies AQE settled on after measuring stage outputs.\n")
-    for name in NAMES:
+    names = NAMES + tuple(n for n in QUERIES if n not in NAMES)
+    for name in names:
         df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         print(summarize(name, df._jdf.queryExecution().executedPlan().toString()))
