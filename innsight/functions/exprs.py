@@ -51,9 +51,11 @@ def booking_nights(checkin="checkin", checkout="checkout") -> Column:
 def per_night(value: Column, nights: Column) -> Column:
     """Value spread over the nights of a stay, as a double (the original divides doubles).
 
-    Only used on rows that come out of the stay-night expansion, where nights >= 1.
+    Zero-night stays have no nights and are dropped by the stay-night expansion. The division is
+    ``try_divide`` (NULL for 0 nights), so it cannot raise under ANSI mode even when Spark evaluates it
+    before that filter.
     """
-    return value.cast("double") / nights
+    return F.try_divide(value.cast("double"), nights)
 
 
 def row_sum(columns: Sequence[str | Column]) -> Column:

@@ -279,3 +279,10 @@ def test_policy_month_floor_applies_when_tables_record_months(spark):
     d = spark.createDataFrame([(1, 3, 1, "{}", "201701"), (2, 3, 1, "{}", "202001")],
                               "country_id int, policy_id int, status int, metadata string, inserted_at string")
     assert [r.country_id for r in default_policies_active(d, P).collect()] == [2]
+
+
+def test_per_night_value_never_raises_on_zero_nights(spark):
+    from innsight.functions.exprs import per_night
+
+    df = spark.createDataFrame([(10.0, 0), (10.0, 4)], "v double, r int")
+    assert [r.x for r in df.select(per_night(df.v, df.r).alias("x")).collect()] == [None, 2.5]
