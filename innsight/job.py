@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from .params import ReportParams
 from .plans.report import report_narrow, report_wide, write_report_csv
+from .sources import check_sources
 from .sources.fixtures import LodgingSources
 from .sources.stored import CatalogSources, StoredSources
 
@@ -25,6 +26,7 @@ from .sources.stored import CatalogSources, StoredSources
 def run_report(sources, params: ReportParams, out: str, channel: str = "Walk In",
                cut_lineage: bool = False) -> tuple[str, str]:
     """Write ``<out>/wide`` and ``<out>/narrow`` (CSV, header, ``NA`` for NULL, replacing earlier content)."""
+    check_sources(sources)
     wide = report_wide(sources, params, cut_lineage=cut_lineage)
     wide_path, narrow_path = f"{out.rstrip('/')}/wide", f"{out.rstrip('/')}/narrow"
     write_report_csv(wide, wide_path)

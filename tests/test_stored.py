@@ -48,3 +48,21 @@ def test_report_job_writes_wide_and_narrow_csv(spark, both):
     narrow = spark.read.option("header", True).csv(narrow_path)
     assert wide.count() == narrow.count() == OPERATORS["report_wide"](derived).count() > 0
     assert len(narrow.columns) == 20 and len(wide.columns) > 200
+
+
+def test_source_contract_is_checked(spark, both):
+    from innsight.sources import check_sources, missing_columns
+
+    derived, _ = both
+    assert missing_columns(derived) == {}
+
+    class Broken:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            df = getattr(self.inner, name)
+            return df.drop("rooms") if name in ("bookings", "bookings_base") else df
+
+    with pytest.raises(ValueError, match="bookings: rooms"):
+        check_sources(Broken(derived))
