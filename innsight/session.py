@@ -40,14 +40,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a scratch folder created and registered.
+    Only a local-mode session that names none (tests, benchmarks) gets a scratch folder. On a cluster a
+    machine-local folder would be lost with its executor, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="innsight-ckpt-"))
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or an "
+                               "object store) for checkpoints and report output")
+        configured = tempfile.mkdtemp(prefix="innsight-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
