@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -18,6 +19,7 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="innsight-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -66,3 +66,15 @@ def test_source_contract_is_checked(spark, both):
 
     with pytest.raises(ValueError, match="bookings: rooms"):
         check_sources(Broken(derived))
+
+
+def test_bucketed_tables_make_the_tax_path_shuffle_free(spark, both):
+    from innsight.sources.stored import store_tables
+
+    derived, _ = both
+    tables = store_tables(LodgingSources(spark, SF_SMOKE), "innsight_bucketed", buckets=8)
+    for name in ("room_nights_daily", "exclusive_tax_by_booking"):
+        df = OPERATORS[name](tables)
+        assert lines(df) == lines(OPERATORS[name](derived))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"hashpartitioning\(id#\d+", plan), plan
