@@ -139,3 +139,55 @@ def test_restriction_class_matches_model(spark, metas):
     df = spark.createDataFrame([(m,) for m in metas], "m string")
     got = [r.c for r in df.select(restriction_class("m").alias("c")).collect()]
     assert got == [restriction_model(m) for m in metas]
+
+
+# -- payment-policy class ----------------------------------------------------------------------------------
+def payment_model(meta):
+    try:
+        doc = json.loads(meta) if meta is not None else None
+    except ValueError:
+        doc = None
+
+    def text(*path):
+        cur = doc
+        for key in path:
+            if not isinstance(cur, dict) or key not in cur:
+                return None
+            cur = cur[key]
+        return None if cur is None else (cur if isinstance(cur, str) else json.dumps(cur))
+
+    t = text("prepaid", "advance")
+    advance = int(t) if t is not None and t.lstrip("-").isdigit() and t.count("-") <= 1 and not t.endswith("-") \
+        else None
+    if advance == 100:
+        return "Prepaid"
+    if advance is not None and 0 < advance < 100:
+        return "Partial Prepaid"
+    if text("cash_at_hotel") == "true":
+        return "Postpaid"
+    if "true" in (text("pay_before_free_cancellation_ends"), text("pay_after_free_cancellation_ends")):
+        return "Pay Later"
+    return "Rest"
+
+
+flags = st.one_of(st.none(), st.booleans(), st.sampled_from(["true", "false", "yes", 1]))
+policies = st.one_of(
+    st.none(), st.sampled_from(["{}", "{broken", "[]"]),
+    st.fixed_dictionaries({}, optional={
+        "prepaid": st.one_of(st.none(), st.fixed_dictionaries({}, optional={"advance": st.one_of(
+            st.none(), st.integers(-20, 150), st.integers(-20, 150).map(str), st.sampled_from(["abc", "50.5"]),
+            st.booleans(), st.floats(0, 150, allow_nan=False).map(lambda f: round(f, 1)))})),
+        "cash_at_hotel": flags,
+        "pay_before_free_cancellation_ends": flags,
+        "pay_after_free_cancellation_ends": flags,
+    }).map(json.dumps))
+
+
+@SETTINGS
+@given(metas=st.lists(policies, min_size=1, max_size=40))
+def test_payment_policy_class_matches_model(spark, metas):
+    from innsight.operators.policy import payment_policy_class
+
+    df = spark.createDataFrame([(m,) for m in metas], "m string")
+    got = [r.c for r in df.select(payment_policy_class("m").alias("c")).collect()]
+    assert got == [payment_model(m) for m in metas]
