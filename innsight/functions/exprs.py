@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,12 +56,6 @@ def per_night(value: Column, nights: Column) -> Column:
     return F.try_divide(value.cast("double"), nights)
 
 
-def row_sum(columns: Sequence[str | Column]) -> Column:
-    """Row-wise sum with NULL counted as 0 (R ``rowSums(na.rm=TRUE)``); an empty set gives 0."""
-    terms = [F.coalesce(col(c), F.lit(0)) for c in columns]
-    return reduce(add, terms) if terms else F.lit(0)
-
-
 def utc_offset_minutes(offset: str | Column) -> Column:
     """``+HH:MM`` -> minutes; any text not starting with ``+`` counts as negative."""
     o = col(offset)

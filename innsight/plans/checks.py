@@ -1,4 +1,4 @@
-"""Data checks of the report: grain duplicates, NULL keys and the average-daily-URN sanity figure."""
+"""Data checks of the report: grain duplicates, NULL merge keys and the average-daily-URN sanity figure."""
 
 from __future__ import annotations
 
@@ -16,14 +16,6 @@ def grain_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with a NULL in any merge key (a plain equi-join would not match them)."""
-    cond = None
-    for k in keys:
-        cond = F.col(k).isNull() if cond is None else cond | F.col(k).isNull()
-    return df.filter(cond)
-
-
 def avg_daily_urn(daily: DataFrame, p: ReportParams) -> DataFrame:
     """Sum of daily used room nights over a fixed period divided by its day count (one row)."""
     period = daily.filter(F.col("date").between(F.lit(p.check_start), F.lit(p.check_end)))
