@@ -1,7 +1,7 @@
 """Report job: build the wide and narrow report for a run date and write both as CSV.
 
     python -m innsight.job --as-of 2026-11-30 --out <shared folder> [--stored <folder> | --catalog <db>]
-                           [--channel "Walk In"] [--cut-lineage]
+                           [--channel "Walk In"] [--cut-lineage] [--set countries=NATION_1,NATION_6 ...]
 
 Without ``--stored`` / ``--catalog`` the lodging tables are derived from the driver tables in ``--sf-dir``.
 The session is the submitter's (cluster settings, ``spark.checkpoint.dir``); only ``--as-of`` and the lists in
@@ -34,6 +34,27 @@ def run_report(sources, params: ReportParams, out: str, channel: str = "Walk In"
     return wide_path, narrow_path
 
 
+def parse_overrides(pairs: list[str], base: ReportParams) -> ReportParams:
+    """``NAME=VALUE`` overrides of report parameters, typed by the field's default: comma-separated lists for
+    tuples, ISO dates, integers and text (e.g. ``countries=NATION_1,NATION_6``, ``check_days=24``)."""
+    changes = {}
+    for pair in pairs:
+        name, _, raw = pair.partition("=")
+        if name not in {f.name for f in dataclasses.fields(base)} or name == "extra":
+            raise SystemExit(f"unknown parameter {name!r}")
+        current = getattr(base, name)
+        if isinstance(current, tuple):
+            kind = type(current[0]) if current else str
+            changes[name] = tuple(kind(v) for v in raw.split(",") if v != "")
+        elif isinstance(current, dt.date):
+            changes[name] = dt.date.fromisoformat(raw)
+        elif isinstance(current, int):
+            changes[name] = int(raw)
+        else:
+            changes[name] = raw
+    return dataclasses.replace(base, **changes)
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=ReportParams().as_of)
@@ -43,6 +64,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--catalog")
     ap.add_argument("--channel", default="Walk In")
     ap.add_argument("--cut-lineage", action="store_true")
+    ap.add_argument("--set", action="append", default=[], metavar="NAME=VALUE",
+                    help="override a report parameter (see innsight.params.ReportParams)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("innsight-report").getOrCreate()
     if args.catalog:
@@ -51,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
         sources = StoredSources(spark, args.stored)
     else:
         sources = LodgingSources(spark, args.sf_dir)
-    params = dataclasses.replace(ReportParams(), as_of=args.as_of)
+    params = parse_overrides(args.set, dataclasses.replace(ReportParams(), as_of=args.as_of))
     for path in run_report(sources, params, args.out, args.channel, args.cut_lineage):
         print(path)
 
