@@ -15,23 +15,30 @@ import dataclasses
 import datetime as dt
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .params import ReportParams
-from .plans.report import report_narrow, report_wide, write_report_csv
+from .plans.report import publish_report, report_narrow, report_wide, write_report_csv
 from .sources import check_sources
 from .sources.fixtures import LodgingSources
 from .sources.stored import CatalogSources, StoredSources
 
 
 def run_report(sources, params: ReportParams, out: str, channel: str = "Walk In",
-               cut_lineage: bool = False) -> tuple[str, str]:
-    """Write ``<out>/wide`` and ``<out>/narrow`` (CSV, header, ``NA`` for NULL, replacing earlier content)."""
+               cut_lineage: bool = False, publish: str | None = None) -> tuple[str, ...]:
+    """Write ``<out>/wide`` and ``<out>/narrow`` (CSV, header, ``NA`` for NULL, replacing earlier content);
+    with ``publish``, also replace that location with the zero-filled narrow report."""
     check_sources(sources)
     wide = report_wide(sources, params, cut_lineage=cut_lineage)
+    narrow = report_narrow(wide, channel)
     wide_path, narrow_path = f"{out.rstrip('/')}/wide", f"{out.rstrip('/')}/narrow"
     write_report_csv(wide, wide_path)
-    write_report_csv(report_narrow(wide, channel), narrow_path)
-    return wide_path, narrow_path
+    write_report_csv(narrow, narrow_path)
+    if publish is None:
+        return wide_path, narrow_path
+    schema = narrow.withColumn("live_date2", F.col("live_date2").cast("string")).schema
+    publish_report(sources.spark, narrow_path, schema, publish)
+    return wide_path, narrow_path, publish
 
 
 def parse_overrides(pairs: list[str], base: ReportParams) -> ReportParams:
@@ -64,6 +71,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--catalog")
     ap.add_argument("--channel", default="Walk In")
     ap.add_argument("--cut-lineage", action="store_true")
+    ap.add_argument("--publish", help="also replace this location with the zero-filled narrow report")
     ap.add_argument("--set", action="append", default=[], metavar="NAME=VALUE",
                     help="override a report parameter (see innsight.params.ReportParams)")
     args = ap.parse_args(argv)
@@ -75,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         sources = LodgingSources(spark, args.sf_dir)
     params = parse_overrides(args.set, dataclasses.replace(ReportParams(), as_of=args.as_of))
-    for path in run_report(sources, params, args.out, args.channel, args.cut_lineage):
+    for path in run_report(sources, params, args.out, args.channel, args.cut_lineage, args.publish):
         print(path)
 
 

@@ -263,6 +263,13 @@ def publishable(df: DataFrame) -> DataFrame:
     return zero_fill(df, text_fill="0")
 
 
+def publish_report(spark: SparkSession, written_path: str, schema, publish_path: str) -> DataFrame:
+    """The publishing step: re-read a written report, zero-fill it and fully replace ``publish_path`` with it."""
+    published = publishable(read_report_csv(spark, written_path, schema))
+    write_report_csv(published, publish_path)
+    return read_report_csv(spark, publish_path, published.schema)
+
+
 def report_csv_roundtrip(spark: SparkSession, narrow: DataFrame, path: str | None = None) -> DataFrame:
     """Write the narrow report, read it back with dates as text, and zero-fill it for publishing."""
     path = path or output_path(spark, "report-narrow-csv")

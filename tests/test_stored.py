@@ -43,11 +43,15 @@ def test_report_job_writes_wide_and_narrow_csv(spark, both):
 
     derived, _ = both
     out = tempfile.mkdtemp(prefix="innsight-job-")
-    wide_path, narrow_path = run_report(derived, DEFAULT_PARAMS, out)
+    wide_path, narrow_path, published_path = run_report(derived, DEFAULT_PARAMS, out, publish=out + "/published")
     wide = spark.read.option("header", True).csv(wide_path)
     narrow = spark.read.option("header", True).csv(narrow_path)
-    assert wide.count() == narrow.count() == OPERATORS["report_wide"](derived).count() > 0
+    published = spark.read.option("header", True).csv(published_path)
+    assert wide.count() == narrow.count() == published.count() == OPERATORS["report_wide"](derived).count() > 0
     assert len(narrow.columns) == 20 and len(wide.columns) > 200
+    # Publishing replaces every missing value (written as NA) by 0 and changes nothing else.
+    filled = sorted(tuple("0" if v == "NA" else v for v in r) for r in narrow.collect())
+    assert sorted(tuple(r) for r in published.select(*narrow.columns).collect()) == filled
 
 
 def test_source_contract_is_checked(spark, both):
