@@ -30,18 +30,27 @@ def with_value(bookings: DataFrame) -> DataFrame:
     return bookings.withColumns({"gmv": booking_gmv(), "r": booking_nights()})
 
 
-def stay_nights(bookings: DataFrame, start: dt.date, end: dt.date, date_col: str = "date") -> DataFrame:
+def stay_nights(bookings: DataFrame, start: dt.date, end: dt.date, date_col: str = "date",
+                calendar: DataFrame | None = None) -> DataFrame:
     """One row per night ``d`` with ``checkin <= d < checkout`` and ``start <= d <= end``.
 
     This is the half-open calendar range join written as a generator: only stays that overlap the window
     are kept (zero-night stays drop out, as in the join), and the night sequence is clipped to the window,
     so a long stay never expands past it. No nested-loop or cartesian join is planned.
+
+    The generator stands for a complete date spine. When a ``calendar`` (column ``d``) may leave days out,
+    pass it: nights are then kept only on its dates, through a broadcast semi join with its distinct dates
+    inside the window (at most one row per window day).
     """
     lo, hi = F.lit(start), F.lit(end)
     overlapping = bookings.filter((F.col("checkin") < F.col("checkout"))
                                   & (F.col("checkin") <= hi) & (F.col("checkout") > lo))
     nights = F.sequence(F.greatest(F.col("checkin"), lo), F.least(F.date_sub(F.col("checkout"), 1), hi))
-    return overlapping.withColumn(date_col, F.explode(nights))
+    out = overlapping.withColumn(date_col, F.explode(nights))
+    if calendar is None:
+        return out
+    days = calendar.filter(F.col("d").between(lo, hi)).select(F.col("d").alias(date_col)).distinct()
+    return out.join(F.broadcast(days), date_col, "left_semi")
 
 
 def attach_property(bookings: DataFrame, properties: DataFrame, columns: tuple[str, ...] = ("property_code",)

@@ -301,3 +301,11 @@ def test_exclusive_tax_reads_documents_from_the_booking_rows_when_present(spark)
         return sorted((r[0], *(None if v is None else round(v, 6) for v in r[1:])) for r in df.collect())
 
     assert rounded(split) == rounded(merged) != []
+
+
+def test_stay_nights_follow_a_calendar_with_gaps(spark):
+    df = spark.createDataFrame(STAYS, "id int, checkin date, checkout date")
+    cal = spark.createDataFrame([(D(1998, 5, 2),), (D(1998, 5, 3),), (D(1998, 5, 3),), (D(1998, 7, 1),)], "d date")
+    got = sorted((r.id, r.date) for r in stay_nights(df, P.window_start, P.window_end, calendar=cal).collect())
+    assert got == sorted((i, d) for i, d in brute_force_nights(STAYS, P.window_start, P.window_end)
+                         if d in (D(1998, 5, 2), D(1998, 5, 3)))
