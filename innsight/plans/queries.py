@@ -102,13 +102,16 @@ def q_exclusive_tax_by_booking(s):
 
 # -- joins ----------------------------------------------------------------------------------------------
 def q_stay_nights(s):
+    """Stay nights on the calendar's dates (the range join with the calendar table)."""
     b = bookable_bookings(s.bookings, P)
-    return stay_nights(b, P.window_start, P.window_end).select("id", "hotel_id", "date", "status", "rooms")
+    return stay_nights(b, P.window_start, P.window_end, calendar=s.calendar).select(
+        "id", "hotel_id", "date", "status", "rooms")
 
 
 def stay_nights_by_property(s):
     b = attach_property(bookable_bookings(s.bookings, P), eligible_properties(s.hotel_dim, P))
-    return stay_nights(b, P.window_start, P.window_end).select("id", KEY, "date", "status", "rooms")
+    return stay_nights(b, P.window_start, P.window_end, calendar=s.calendar).select(
+        "id", KEY, "date", "status", "rooms")
 
 
 def q_contracted_rooms(s):
