@@ -191,3 +191,47 @@ def test_payment_policy_class_matches_model(spark, metas):
     df = spark.createDataFrame([(m,) for m in metas], "m string")
     got = [r.c for r in df.select(payment_policy_class("m").alias("c")).collect()]
     assert got == [payment_model(m) for m in metas]
+
+
+# -- local cancellation time and late flag ------------------------------------------------------------------
+def local_time_model(cancel, updated, offset):
+    raw = cancel if cancel is not None else updated
+    text = raw if raw is not None and raw != "null" else "2000-01-01 01:01:01"
+    try:
+        ts = dt.datetime.strptime(text[:19], "%Y-%m-%d %H:%M:%S")
+    except ValueError:
+        ts = None
+    return None if ts is None or offset is None else ts + dt.timedelta(minutes=offset)
+
+
+def late_model(status, local, checkin):
+    if status != 3:
+        return False
+    if local is None:
+        return None
+    return (local.date() == checkin and local.hour >= 18) or local.date() > checkin
+
+
+stamps = st.one_of(
+    st.none(), st.just("null"), st.just("garbage"),
+    st.datetimes(min_value=dt.datetime(1998, 4, 1), max_value=dt.datetime(1998, 5, 10)).map(
+        lambda d: d.strftime("%Y-%m-%d %H:%M:%S") + ".000"))
+cancel_rows = st.lists(st.tuples(stamps, stamps, st.one_of(st.none(), st.integers(-600, 600)),
+                                 st.sampled_from([0, 3, 4]),
+                                 st.dates(min_value=dt.date(1998, 4, 1), max_value=dt.date(1998, 5, 10))),
+                       min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(rows=cancel_rows)
+def test_local_cancel_time_and_late_flag_match_model(spark, rows):
+    from innsight.functions.exprs import is_late_cancellation, local_cancel_time
+
+    df = spark.createDataFrame(rows, "c string, u string, o int, status int, checkin date")
+    out = (df.withColumn("lt", local_cancel_time("c", "u", "o"))
+           .select("lt", is_late_cancellation("status", "lt", "checkin").alias("late")).collect())
+    expected = []
+    for c, u, o, status, checkin in rows:
+        local = local_time_model(c, u, o)
+        expected.append((local, late_model(status, local, checkin)))
+    assert [(r.lt, r.late) for r in out] == expected
