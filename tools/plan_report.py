@@ -18,6 +18,21 @@ NAMES = ("report_wide", "room_nights_daily", "room_nights_by_channel", "realizat
          "exclusive_tax_by_booking", "policy_resolution", "latest_live_date", "first_booking")
 
 
+KEY_TEXT = """How to read `report_wide` below:
+
+- `(property_code, d, hotel_status)`: the first-level supply aggregate (one scan of the daily supply fact).
+- `(property_code, date, booking_source)` x 2: the first-level demand and realization aggregates, fed by the
+  stay-night `Generate`. Partial aggregates sit below them, so raw nights are never shuffled.
+- `(property_code, date)` REPARTITION_BY_COL: narrow supply rows and narrow per-channel rows, co-partitioned
+  before the contracted-rooms window and the pivots. All (property, day) joins then reuse that partitioning.
+- `(property_code, date)` ENSURE_REQUIREMENTS: the supply rows again, after the per-property joins.
+- `(property_code)`: per-property aggregates (first booking, live date) and per-property joins onto the
+  narrow supply rows.
+- `(id)` x 2: tax documents joined to bookings and the tax lookup. The bucketed layout removes both.
+- The rest: small dimension-side aggregates (distinct restrictions, policy rows, observed channels).
+"""
+
+
 def clean(s: str) -> str:
     return re.sub(r"#\d+L?", "", s)
 
@@ -53,6 +68,7 @@ def main() -> None:
     print(f"# Physical plans (final adaptive plans, {sf_dir}, local[8], 8 shuffle partitions)\n")
     print("Generated by `tools/plan_report.py`. Exchanges are listed with their partitioning keys; joins are the\n"
           "strategies AQE settled on after measuring stage outputs.\n")
+    print(KEY_TEXT)
     names = NAMES + tuple(n for n in QUERIES if n not in NAMES)
     for name in names:
         df = QUERIES[name](spark, sf_dir)
