@@ -82,3 +82,13 @@ def test_bucketed_tables_make_the_tax_path_shuffle_free(spark, both):
         assert lines(df) == lines(OPERATORS[name](derived))
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"hashpartitioning\(id#\d+", plan), plan
+
+
+def test_stored_tables_read_without_recorded_schemas(spark, both):
+    """As the job's --stored option reads them: parquet schemas inferred, inserted_at discovered as a partition."""
+    from innsight.sources.stored import StoredSources
+
+    derived, stored = both
+    inferred = StoredSources(spark, stored.path)
+    for name in ("report_wide", "room_nights_daily", "first_booking"):
+        assert lines(OPERATORS[name](inferred)) == lines(OPERATORS[name](derived))
