@@ -88,8 +88,10 @@ def _cache(spark: SparkSession, cache_path: str, tokenizer: str) -> DataFrame |
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return (stored.where(F.col("tokenizer") == tokenizer).groupBy("content")
-            .agg(F.max("n_tokens").alias("n_tokens")))  # two runs may have stored the same content
+    # Two runs may have stored the same content. Grouping by both digests leaves the join by content an exchange of
+    # its own, whose partitions Spark splits where one text has very many copies.
+    return (stored.where(F.col("tokenizer") == tokenizer).groupBy("content", "tokenizer")
+            .agg(F.max("n_tokens").alias("n_tokens")).drop("tokenizer"))
 
 
 def content_digest(text: Column) -> Column:
