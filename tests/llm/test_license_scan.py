@@ -1,0 +1,81 @@
+import re
+
+from innsight.llm import license_scan as ls
+
+WORD = re.compile(ls.WORD)
+BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def ascii_lower(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+
+
+def brute_base(text):
+    w = WORD.findall(ascii_lower(text or ""))
+    places = [(i, label) for phrase, label in BASE.items() for p in [phrase.split()]
+              for i in range(len(w) - len(p) + 1) if w[i:i + len(p)] == p]
+    at = [i for i, _ in places]
+    return (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})))
+
+
+MIT = ls.NOTICES[0].text
+GPL = ls.NOTICES[3].text
+TEXTS = [None, "", "...", "no license here", "Released under the MIT License.", "UNDER-THE  mit\nlicense under the mit license",
+         "Apache License, Version 2.0", "CC BY-NC 4.0 cc by nc by nc cc by", "under the É mit license", "a b",
+         "éunder the mit license", "under the mit licensé", ("under the mit license " * 3000), MIT, MIT.replace("deal in", "deal freely in"),
+         "x " * 50 + GPL.replace("modify it", "change modify it") + " y" * 9, "all rights reserved", "x" * 300_000,
+         "cc by nc " * 7 + "under the mit license", MIT.replace("free of charge ", "")]
+
+
+def test_base_places_equal_brute_force(docs_of):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, TEXTS[4]), (4, TEXTS[4]), (4, "cc by nc")]
+    got = [(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)
+           for r in ls.license_scan(docs_of(rows)).collect()]
+    assert sorted(map(str, got)) == sorted(str((i, *brute_base(t))) for i, t in rows)
+
+
+def test_labels_of_notices(docs_of):
+    got = {r.doc_id: r for r in ls.license_scan(docs_of(list(enumerate(TEXTS)))).collect()}
+    assert got[13].labels == "mit" and got[13].score == 1.0 and got[13].n_base == 0
+    assert got[14].labels == "mit" and got[14].score == 1.0  # a word put in
+    assert got[15].labels == "gpl" and got[15].score == 1.0
+    assert got[19].labels == "mit" and 0.8 <= got[19].score < 1.0  # words left out
+    assert got[16].labels == "proprietary" and got[16].base_labels == ""
+    assert got[3].labels == "" and got[3].score == 0.0 and got[6].labels == "apache-2"
+    for r in got.values():  # base labels stay
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+
+
+def test_neighbouring_diagonals_are_one_span(docs_of):
+    words = MIT.split()
+    text = " ".join(words[:8] + ["really"] + words[8:20] + words[21:])  # a word in, a word out
+    docs = docs_of([(1, text), (2, text + " " + "filler " * 40 + text)])
+    from pyspark.sql import functions as F
+
+    own = docs.select("doc_id", F.xxhash64("text").alias("digest"), ls.words_of(F.col("text")).alias("words"))
+    found = ls.spans(ls.votes(own, ls.TEMPLATES), ls.TEMPLATES).where("template = 3").collect()
+    assert sorted(r.doc_id for r in found) == [1, 2, 2]
+    assert all(r.last - r.first == len(words) - 1 for r in found)
+
+
+def test_empty_table(docs_of):
+    assert ls.license_scan(docs_of([])).collect() == []
+
+
+def test_query_against_brute_force(spark):
+    from innsight.llm.queries import op4_license_scan, table
+
+    d = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in table(spark, d, "documents").collect()}
+    got = op4_license_scan(spark, d).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_base(texts[r.doc_id])
+    assert {"mit", "apache-2", "cc-by-nc", "gpl", "proprietary"} <= {x for r in got for x in r.labels.split(",")}
+
+
+def test_main_path_runs_no_python(spark):
+    from innsight.llm.queries import op4_license_scan
+
+    plan = op4_license_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

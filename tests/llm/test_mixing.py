@@ -1,0 +1,120 @@
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from innsight.llm import mixing as mx
+
+W = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_targets(sizes, cycle=(3, 1, 2)):
+    names = sorted((n for n in sizes if n is not None)) + [None] * (None in sizes)
+    weight = {n: cycle[i % 3] for i, n in enumerate(names)}
+    low, high = 0.0, 1e12  # the water level: each target is min(2 size, level * weight)
+    for _ in range(300):
+        mid = (low + high) / 2
+        if sum(min(2 * sizes[n], mid * weight[n]) for n in names) < 1.5 * sum(sizes.values()):
+            low = mid
+        else:
+            high = mid
+    return {n: min(2 * sizes[n], low * weight[n]) for n in names}
+
+
+def test_targets():
+    for sizes in ({"a": 100, "b": 50, "c": 10}, {"a": 5, "b": 1000, None: 7, "Z": 9}, {"x": 10}, {"a": 0, "b": 4}, {}):
+        got = mx.targets(sizes, mx.default_weights(list(sizes)))
+        want = brute_targets(sizes)
+        assert got.keys() == want.keys() and all(abs(got[n] - want[n]) < 1e-6 for n in got)
+
+
+def test_leaves_are_disjoint_and_exact():
+    counts = [100, 7, 0, 31]
+    for shards in (1, 5, 8):
+        held = [set() for _ in counts]
+        totals = []
+        for shard in range(shards):
+            first, number = mx.leaf_draws(counts, shards, shard, 3)
+            totals.append(int(number.sum()))
+            for s, (a, n) in enumerate(zip(first, number)):
+                new = set(range(a, a + n))
+                assert not new & held[s]
+                held[s] |= new
+        assert held == [set(range(n)) for n in counts]
+        assert max(totals) - min(totals) <= np.ceil(np.log2(shards)) + 1
+
+
+ROWS = ([(i, "w " * (i % 40 + 1), "big") for i in range(600)] + [(1000 + i, "w x " * 5, "mid") for i in range(60)]
+        + [(2000 + i, "w", "small") for i in range(9)] + [(3000, None, "mid"), (3001, "", "mid"), (3002, "a b c", None),
+           (None, "a b", "mid"), (5, "w " * 6, "big"), (4000, "long " * 30_000, "tall"), (4001, "  ", "blank")])
+
+
+def test_report(docs_of):
+    got = mx.mix_report(docs_of(ROWS)).collect()
+    assert len(got) == len(ROWS)
+    sizes, taken, target = defaultdict(int), defaultdict(int), {}
+    source = {r[0]: r[2] for r in ROWS}
+    for r in got:
+        n = source[r.doc_id]
+        sizes[n] += r["size"]
+        taken[n] += r.taken
+        target[n] = r.target
+        assert 0 <= r.taken <= 2 * r["size"]
+    want_sizes = defaultdict(int)
+    for _, t, n in ROWS:
+        want_sizes[n] += len(W.findall(t or ""))
+    assert sizes == want_sizes and all(r.source_size == sizes[source[r.doc_id]] for r in got)
+    want = brute_targets(sizes)
+    for n in want:
+        assert abs(target[n] - want[n]) < 1e-6 and abs(taken[n] - want[n]) <= max(2, 0.01 * want[n])
+
+
+def test_reruns_agree_in_any_order_and_partitioning(docs_of):
+    docs = docs_of(ROWS)
+    key = lambda df: sorted(map(str, df.select("doc_id", "size", "taken", "shards").collect()))
+    assert key(mx.mix_report(docs)) == key(mx.mix_report(docs.repartition(7).sortWithinPartitions("text")))
+
+
+def test_mixed_documents(docs_of):
+    docs = docs_of(ROWS)
+    report = defaultdict(int)
+    for r in mx.mix_report(docs).collect():
+        report[r.doc_id] += r.taken
+    mixed = mx.mix(docs, length_col="n_chars")
+    assert mixed.columns == docs.columns
+    words = defaultdict(int)
+    texts = {r[0]: r[1] for r in ROWS}
+    for r in mixed.collect():
+        words[r.doc_id] += len(W.findall(r.text))
+        assert texts[r.doc_id].startswith(r.text) and r.n_chars in (len(r.text), len(texts[r.doc_id] or ""))
+    assert words == {d: n for d, n in report.items() if n}
+
+
+def test_empty_and_wordless_tables(docs_of):
+    assert mx.mix_report(docs_of([])).collect() == [] and mx.mix(docs_of([])).collect() == []
+    got = mx.mix_report(docs_of([(1, None, "a"), (2, "", None)])).collect()
+    assert [(r["size"], r.taken) for r in got] == [(0, 0), (0, 0)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_cut_text(n):
+    assert mx.cut_text("  one two\nthree four ", n) == ["", "  one", None, "  one two\nthree"][n]
+
+
+def test_query(spark):
+    from innsight.llm.queries import op7_source_mixing, table
+
+    d = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r for r in table(spark, d, "documents").collect()}
+    got = op7_source_mixing(spark, d).collect()
+    sizes, taken, target = defaultdict(int), defaultdict(int), {}
+    for r in got:
+        s = docs[r.doc_id].source
+        assert r["size"] == len(W.findall(docs[r.doc_id].text))
+        sizes[s] += r["size"]
+        taken[s] += r.taken
+        target[s] = r.target
+    want = brute_targets(sizes)
+    assert len(got) == len(docs)
+    assert all(abs(target[s] - want[s]) < 1e-3 and abs(taken[s] - want[s]) < 0.005 * want[s] for s in want)

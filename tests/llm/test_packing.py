@@ -1,0 +1,84 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from innsight.llm import packing as pk
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TOK = Tokenizer.from_file(PATH)
+
+
+def ids_of(text):
+    return TOK.encode(text or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from([*"ab1é'.\n\t\xa0\x1c ́<|>sßΣ", " ", "  ", "<|endoftext|>", "'s", "ﬁ"]), max_size=40)
+       .map("".join))
+def test_ids_equal_the_librarys(text):
+    assert np.frombuffer(pk.token_bytes([text], PATH)[0], "<u4").tolist() == ids_of(text)
+
+
+def test_differencing():
+    rng = random.Random(2)
+    assert sorted(map(sorted, pk.difference([8, 7, 6, 5, 4], 2))) in ([[0, 1], [2, 3, 4]], [[0, 3], [1, 2, 4]], [[0, 4], [1, 2, 3]], [[0, 2], [1, 3, 4]])
+    for _ in range(30):
+        sizes = [rng.randrange(1, 513) for _ in range(rng.randrange(1, 200))]
+        found = pk.windows_of(sizes)
+        assert sorted(i for w in found for i in w) == list(range(len(sizes)))
+        sums = [sum(sizes[i] for i in w) for w in found]
+        assert max(sums) <= 4096 and len(found) <= -(-sum(sizes) // 4096) + 1
+    assert pk.windows_of([]) == []
+    assert len(pk.windows_of([3000, 3000, 3000], 4096)) == 3  # the count rises where two windows can't hold them
+
+
+def test_cut():
+    for n in (1, 511, 512, 513, 4095, 4096, 4097, 20_000):
+        pieces = pk.cut(n)
+        assert [a for a, _ in pieces] == [sum(k for _, k in pieces[:i]) for i in range(len(pieces))]
+        assert sum(k for _, k in pieces) == n and all(0 < k <= 4096 for _, k in pieces)
+
+
+def check(rows, docs):
+    """Every id of every document in exactly one piece; sequences gapless and within the window."""
+    texts = defaultdict(list)
+    for i, t in docs:
+        texts[i].append(ids_of(t) + [2])
+    by_doc, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert by_doc.keys() == texts.keys()
+    for i, copies in texts.items():
+        want = sorted((a, k, zlib.crc32(np.array(ids[a:a + k], "<u4").tobytes()), len(ids))
+                      for ids in copies for a, k in pk.cut(len(ids)))
+        assert sorted((r.start, r.length, r.ids_crc32, r.doc_tokens) for r in by_doc[i]) == want
+    for s in sequences.values():
+        at = 0
+        for offset, n in sorted(s):
+            assert offset == at
+            at += n
+        assert at <= 4096
+    return [sum(n for _, n in s) for s in sequences.values()]
+
+
+def test_documents_with_nulls_ties_repeats_and_long_texts(docs_of):
+    docs = [(1, None), (2, ""), (3, "hello"), (3, "hello"), (None, "no id"), (2 ** 60 + 1, "big id"), (5, "the and of " * 9000),
+            (6, "<|endoftext|> x"), (7, " ")]
+    check(pk.pack(docs_of(docs), PATH).collect(), docs)
+    assert pk.pack(docs_of([]), PATH).collect() == []
+
+
+def test_query_packs_tightly(spark):
+    from innsight.llm.queries import op10_packing, table
+
+    d = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text) for r in table(spark, d, "documents").collect()]
+    lengths = check(op10_packing(spark, d).collect(), docs)
+    assert sum(lengths) >= 0.97 * 4096 * len(lengths)
