@@ -29,11 +29,11 @@ class Settings:
     k-th best distance is at most ``stop`` times the round's radius, the distance at which a vector collides in as
     many projections as the threshold asks for."""
 
-    projections: int = 48
-    threshold: int = 28
-    width: float = 0.5
-    growth: float = 1.25
-    stop: float = 1.0
+    projections: int = 32
+    threshold: int = 20
+    width: float = 1.0
+    growth: float = 1.2
+    stop: float = 0.95
     seed: int = 5
 
 
@@ -46,7 +46,7 @@ class Block:
         self.directions = rng.standard_normal((vectors.shape[1] + 1, s.projections))
         extra = np.sqrt(np.maximum(longest ** 2 - (vectors ** 2).sum(1), 0.0))
         projected = np.hstack([vectors, extra[:, None]]) @ self.directions / longest
-        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
+        self.order = np.ascontiguousarray(np.argsort(projected, axis=0, kind="stable").T)
         self.sorted = np.take_along_axis(projected.T, self.order, 1)
 
     def nearest(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -57,51 +57,45 @@ class Block:
         # share of projections in which vectors at distance r collide in a window of half-width h is about
         # P(|N(0, 1)| <= h / r); the radius of a round is where that meets the threshold
         z = _normal_quantile(0.5 + s.threshold / s.projections / 2)
-        out = []
         rounds = [s.width]
-        while rounds[-1] < 2 * z * 2:  # unit vectors are at most 2 apart
+        while rounds[-1] < 4 * z:  # unit vectors are at most 2 apart
             rounds.append(rounds[-1] * s.growth)
         half = np.array(rounds) / 2
-        low = np.empty((len(half), s.projections, len(queries)), dtype=np.int32)
-        high = np.empty_like(low)
-        for j in range(s.projections):
-            low[:, j] = np.searchsorted(self.sorted[j], centre[:, j][None, :] - half[:, None], "left")
-            high[:, j] = np.searchsorted(self.sorted[j], centre[:, j][None, :] + half[:, None], "right")
-        scale = np.sqrt((queries ** 2).sum(1))
-        for q in range(len(queries)):
-            hits = np.zeros(n, dtype=np.int64)
-            seen = np.zeros(n, dtype=bool)
-            seen[self.ids == own[q]] = True
-            scores = np.full(n, -np.inf)
-            before = None
-            for r, h in enumerate(half):
-                a, b = low[r, :, q], high[r, :, q]
-                if before is None:
-                    parts = [self.order[j, a[j]:b[j]] for j in range(s.projections)]
-                else:
-                    parts = [x for j in range(s.projections)
-                             for x in (self.order[j, a[j]:before[0][j]], self.order[j, before[1][j]:b[j]])]
-                before = a, b
-                hits += np.bincount(np.concatenate(parts), minlength=n)
-                new = np.flatnonzero((hits >= s.threshold) & ~seen)
-                seen[new] = True
-                scores[new] = inner(self.vectors[new], queries[q])
-                if seen.all():
+        # where each round's windows begin and end in the sorted arrays: (query, round, projection)
+        low, high = (np.stack([np.searchsorted(self.sorted[j], centre[:, j, None] + sign * half, side)
+                               for j in range(s.projections)], axis=2) for sign, side in ((-1, "left"), (1, "right")))
+        scale = np.sqrt((queries ** 2).sum(1)) * self.longest
+        return [self._nearest(queries[q], own[q], k, low[q], high[q], scale[q], half / z) for q in range(len(queries))]
+
+    def _nearest(self, query: np.ndarray, own: int, k: int, low: np.ndarray, high: np.ndarray, scale: float,
+                 radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One query's search; ``low`` and ``high`` bound its windows by round and projection."""
+        s, n = self.s, len(self.ids)
+        hits = np.zeros(n, dtype=np.int64)
+        unseen = self.ids != own
+        found, scores = np.empty(0, dtype=np.int64), np.empty(0)
+        arrays = list(self.order)
+        for r in range(len(radius)):
+            if r == 0:
+                parts = [o[a:b] for o, a, b in zip(arrays, low[0].tolist(), high[0].tolist())]
+            else:
+                parts = [o[a:b] for o, a, b in zip(arrays, low[r].tolist(), low[r - 1].tolist())]
+                parts += [o[a:b] for o, a, b in zip(arrays, high[r - 1].tolist(), high[r].tolist())]
+            hits += np.bincount(np.concatenate(parts), minlength=n)
+            last = r == len(radius) - 1  # the widest windows: whatever hasn't collided often enough is verified too
+            new = np.flatnonzero(unseen if last else (hits >= s.threshold) & unseen)
+            if len(new):
+                unseen[new] = False
+                found, scores = np.r_[found, new], np.r_[scores, self.vectors[new] @ query]
+            if len(found) >= k:
+                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                if np.sqrt(max(0.0, 2 - 2 * kth / scale)) <= s.stop * radius[r]:
                     break
-                if np.count_nonzero(scores > -np.inf) >= k:
-                    kth = -np.partition(-scores, k - 1)[k - 1] / (self.longest * scale[q])
-                    if np.sqrt(max(0.0, 2 - 2 * kth)) <= s.stop * h / z:
-                        break
-            else:  # the widest windows hold everything: whatever hasn't collided often enough is verified too
-                new = np.flatnonzero(~seen)
-                scores[new] = inner(self.vectors[new], queries[q])
-            found = np.flatnonzero(scores > -np.inf)
-            if len(found) > k:
-                least = -np.partition(-scores[found], k - 1)[k - 1]
-                found = found[scores[found] >= least]
-            found = found[np.lexsort((self.ids[found], -scores[found]))][:k]
-            out.append((self.ids[found], scores[found]))
-        return out
+        if len(found) > k:  # with a margin for how products were rounded above; summed in order below
+            found = found[scores >= np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9 * scale]
+        scores = inner(self.vectors[found], query)
+        best = np.lexsort((self.ids[found], -scores))[:k]
+        return self.ids[found[best]], scores[best]
 
 
 def inner(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:

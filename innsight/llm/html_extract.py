@@ -20,9 +20,12 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|"
-                    r"(?P<text>[^<]+|<)", re.S)
+#: Every alternative takes what it began with to its end or the page's, without going back, so a page is read in
+#: time proportional to its length however broken it is.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|"
+                    r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
+                    r"(?P<attrs>(?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?P<end>>|\Z)|"
+                    r"(?P<text>[^<]++|<)", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _NAME = re.compile(r"[a-z0-9]+")
@@ -78,10 +81,6 @@ def parse(page: str) -> Node:
     at, pos = root, 0
     while pos < len(page):
         m = _TOKEN.match(page, pos)
-        if m is None:  # a tag that never ends: text
-            at.items.append(page[pos])
-            pos += 1
-            continue
         pos = m.end()
         if (text := m["text"]) is not None:
             at.items.append(html.unescape(text) if "&" in text else text)
@@ -89,7 +88,7 @@ def parse(page: str) -> Node:
         if m["cdata"] is not None:
             at.items.append(m["cdata"])
             continue
-        if m["tag"] is None:
+        if m["tag"] is None or not m["end"]:  # a tag that the page's end cuts off is none
             continue
         tag = m["tag"].lower()
         if m["close"]:

@@ -1,0 +1,81 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from innsight.llm import ann
+
+
+def brute(rows, k=20, every=20):
+    """{query: [(score, vec_id)]} by all inner products, summed in order."""
+    ok = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            ok[i] = np.array(v, dtype=np.float32).astype(float)
+    out = {}
+    for q, x in ok.items():
+        if q % every == 0:
+            found = [(-float(np.add.accumulate(x * y)[-1]), i) for i, y in ok.items() if i != q and len(y) == len(x)]
+            out[q] = [(-s, i) for s, i in sorted(found)[:k]]
+    return out
+
+
+def search(spark, rows, **settings):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit("clash")) \
+        .withColumn("norm", F.lit(3)).withColumn("block", F.lit("clash")).withColumn("query_id", F.lit(1))
+    out = {}
+    for r in ann.nearest_neighbours(df, F.col("vec_id") % 20 == 0, **settings).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def recall(got, want):
+    return sum(len({i for _, i in got.get(q, [])} & {i for _, i in w}) for q, w in want.items()) / sum(
+        map(len, want.values()))
+
+
+def test_recall_and_exact_scores(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((12, 24)) * 2
+    rows = [(i, (centres[i % 12] + rng.standard_normal(24) * rng.uniform(0.5, 2)).tolist()) for i in range(1500)]
+    want = brute(rows)
+    got = search(spark, rows, block_rows=400, query_rows=30)  # several blocks of each kind
+    assert recall(got, want) >= 0.9
+    vectors = {i: np.array(v, dtype=np.float32).astype(float) for i, v in rows}
+    for q, found in got.items():
+        assert len(found) == 20 and found == sorted(found, key=lambda x: (-x[0], x[1]))
+        assert all(s == np.add.accumulate(vectors[q] * vectors[i])[-1] and i != q for s, i in found)
+
+
+def test_nulls_ties_repeats_and_short_lists(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]),
+            (7, [inf, 1.0]), (8, [None, 1.0]), (None, [1.0, 1.0]), (9, [-1.0, 0.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]),
+            (40, [1.0, 2.0, 3.0]), (60, [0.0, 0.0]), (80, None), (1, [1.0, 0.0])]
+    assert search(spark, rows) == {q: f for q, f in brute(rows).items() if f}
+
+
+def test_large_group_of_equal_vectors(spark):
+    rows = [(i, [0.6, 0.8]) for i in range(900)] + [(2000 + i, [0.8, 0.6]) for i in range(10)]
+    got = search(spark, rows, block_rows=300)
+    assert got == brute(rows)
+
+
+def test_tables_without_vectors(spark):
+    assert search(spark, []) == {}
+    assert search(spark, [(0, None), (20, [0.0])]) == {}
+    assert search(spark, [(0, [1.0])]) == {}
+
+
+def test_query_recall(spark):
+    from innsight.llm.queries import op8_nearest_neighbours, table
+
+    d = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, r.embedding) for r in table(spark, d, "embeddings").collect()]
+    got = {}
+    for r in op8_nearest_neighbours(spark, d).collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    want = brute(rows)
+    assert got.keys() == want.keys() and all(len(x) == 20 for x in got.values())
+    assert recall(got, want) >= 0.9
