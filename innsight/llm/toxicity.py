@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import ship
 
 MAX_GAP = 3
-CHANCE = 7.0
+CHANCE = 14.0
 DECAY = 0.5
 #: Longer words are read in windows of this many letters, each half overlapping the last.
 WINDOW = 16
@@ -185,10 +185,10 @@ def _stems(segment: str) -> set[str]:
 
 
 def _tell_tale(toxic: list[str], in_clean: Counter, suspicious: set[str], clean: int) -> dict[str, int]:
-    """Stems that toxic documents have more often than chance would give, with their support: the number of
-    documents or of different neighbours (words before and after), whichever is less. Near copies of one toxic
-    document share neighbours, so what they have in common has little support. Clean documents with a word of the
-    stem count three times against it."""
+    """Stems that toxic documents have more often than chance would give, with their support: the documents that
+    have the stem between neighbours (the words before and after) that no document before has it between. Near
+    copies of one toxic document share neighbours, so what they have in common has little support. Clean documents
+    with a word of the stem count three times against it."""
     in_docs: Counter = Counter()
     found = []
     for text in toxic:
@@ -197,20 +197,24 @@ def _tell_tale(toxic: list[str], in_clean: Counter, suspicious: set[str], clean:
             *(_stems(x) for x in segments_of(w) if x in suspicious))] if st]
         found.append([(hash((tuple(words[max(0, i - 1):i]), tuple(words[i + 1:i + 2]))), st) for i, st in hits])
         in_docs.update(set().union(*(st for _, st in hits)))
-    least = CHANCE / np.log((len(toxic) + clean) / len(toxic))  # so many toxic and no clean ones, at odds of e^-7
+    least = CHANCE / np.log((len(toxic) + clean) / len(toxic))  # so many toxic and no clean ones, at odds of e^-CHANCE
     often = {s for s, n in in_docs.items() if n >= least}
     neighbours: dict[str, set[int]] = {s: set() for s in often}
+    support: Counter = Counter()
     for hits in found:
+        here: dict[str, set[int]] = {}
         for context, st in hits:
             for s in st & often:
-                neighbours[s].add(context)
+                here.setdefault(s, set()).add(context)
+        for s, contexts in here.items():
+            support[s] += neighbours[s].isdisjoint(contexts)
+            neighbours[s] |= contexts
     against: Counter = Counter()
     for word, n in in_clean.items():
         for s in _stems(word) & often:
             against[s] += n
     penalty = 3 * len(toxic) / max(1, clean)
-    support = {s: min(in_docs[s], len(neighbours[s])) - penalty * against[s] for s in sorted(often)}
-    return {s: n for s, n in support.items() if n >= least}
+    return {s: n for s in sorted(often) if (n := support[s] - penalty * against[s]) >= least}
 
 
 def _with_insertion(segment: str, rng: np.random.Generator) -> str:
@@ -272,7 +276,7 @@ def fit(documents: Sequence[tuple[str, int]], n_landmarks: int = 192, rounds: in
         # documents have it
         pos = pos[value[pos] > 0]
         best = np.array([ids[value[ids].argmax()] for ids in toxic_ids])
-        pos = np.union1d(pos, best[~is_clean[best] & (value[best] > 0)])
+        pos = np.union1d(pos, best[~is_clean[best] & (value[best] >= 1)])
         near = clean_ids[np.argsort(-value[clean_ids], kind="stable")[:1000]]  # clean, but most like toxic ones
         hard = np.union1d(hard, near)
         hardest = [names[i] for i in near[:n_landmarks // 4]]
