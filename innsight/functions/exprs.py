@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 MISSING_CANCEL_TIME = "2000-01-01 01:01:01"
 # Local hour from which a same-day cancellation counts as late (fixed value).
 LATE_CANCEL_HOUR = 18
+# Type in which values and taxes are divided and summed.
+VALUE_TYPE = "decimal(28,10)"
 
 
 def col(c: str | Column) -> Column:
@@ -47,13 +49,13 @@ def booking_nights(checkin="checkin", checkout="checkout") -> Column:
 
 
 def per_night(value: Column, nights: Column) -> Column:
-    """Value spread over the nights of a stay, as a double (the original divides doubles).
+    """Value spread over the nights of a stay, as a decimal of fixed scale: its sums are the same in any order.
 
     Zero-night stays have no nights and are dropped by the stay-night expansion. The division is
     ``try_divide`` (NULL for 0 nights), so it cannot raise under ANSI mode even when Spark evaluates it
     before that filter.
     """
-    return F.try_divide(value.cast("double"), nights)
+    return F.try_divide(value.cast(VALUE_TYPE), nights.cast("decimal(10,0)")).cast(VALUE_TYPE)
 
 
 def utc_offset_minutes(offset: str | Column) -> Column:
@@ -89,8 +91,8 @@ def json_text(doc: str | Column, path: str) -> Column:
 
 
 def json_int(doc: str | Column, path: str) -> Column:
-    """Scalar at ``path`` as an integer; text that is not an integer gives NULL instead of an error."""
-    return json_text(doc, path).try_cast("int")
+    """Scalar at ``path`` as an integer: numbers with decimals are rounded, text that is no number gives NULL."""
+    return F.round(json_text(doc, path).try_cast("double")).try_cast("int")
 
 
 def json_has_path(doc: str | Column, path: str) -> Column:

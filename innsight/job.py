@@ -17,23 +17,31 @@ import datetime as dt
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from .operators.channels import known_channels
 from .params import ReportParams
 from .plans.report import publish_report, report_narrow, report_wide, write_report_csv
+from .session import cluster_conf, output_path
 from .sources import check_sources
 from .sources.fixtures import LodgingSources
 from .sources.stored import CatalogSources, StoredSources
 
 
 def run_report(sources, params: ReportParams, out: str, channel: str = "Walk In",
-               cut_lineage: bool = False, publish: str | None = None) -> tuple[str, ...]:
+               cut_lineage: bool = False, publish: str | None = None,
+               channels: tuple[str, ...] | None = None, ordered: bool = False) -> tuple[str, ...]:
     """Write ``<out>/wide`` and ``<out>/narrow`` (CSV, header, ``NA`` for NULL, replacing earlier content);
     with ``publish``, also replace that location with the zero-filled narrow report."""
     check_sources(sources)
-    wide = report_wide(sources, params, cut_lineage=cut_lineage)
+    channels = (*(channels or known_channels(sources.source_enums)), channel)
+    # the report is evaluated once, into the shared folder; both files are written from there
+    staged = output_path(sources.spark, "report-wide")
+    evaluated = report_wide(sources, params, channels, cut_lineage)
+    evaluated.write.parquet(staged)
+    wide = sources.spark.read.schema(evaluated.schema).parquet(staged)
     narrow = report_narrow(wide, channel)
     wide_path, narrow_path = f"{out.rstrip('/')}/wide", f"{out.rstrip('/')}/narrow"
-    write_report_csv(wide, wide_path)
-    write_report_csv(narrow, narrow_path)
+    write_report_csv(wide, wide_path, ordered)
+    write_report_csv(narrow, narrow_path, ordered)
     if publish is None:
         return wide_path, narrow_path
     schema = narrow.withColumn("live_date2", F.col("live_date2").cast("string")).schema
@@ -47,7 +55,7 @@ def parse_overrides(pairs: list[str], base: ReportParams) -> ReportParams:
     changes = {}
     for pair in pairs:
         name, _, raw = pair.partition("=")
-        if name not in {f.name for f in dataclasses.fields(base)} or name == "extra":
+        if name not in {f.name for f in dataclasses.fields(base)}:
             raise SystemExit(f"unknown parameter {name!r}")
         current = getattr(base, name)
         if isinstance(current, tuple):
@@ -71,19 +79,31 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--catalog")
     ap.add_argument("--channel", default="Walk In")
     ap.add_argument("--cut-lineage", action="store_true")
+    ap.add_argument("--channels", help="comma-separated labels that get columns (default: all that are known)")
+    ap.add_argument("--ordered", action="store_true", help="sort the files globally")
+    ap.add_argument("--table", action="append", default=[], metavar="NAME=TABLE",
+                    help="with --catalog: the table that holds a lodging table, e.g. bookings_base=raw_bookings")
+    ap.add_argument("--taxes-on-bookings", action="store_true",
+                    help="tax documents are a column of the raw bookings, not a table")
+    ap.add_argument("--shuffle-bytes", type=int, help="size of the largest shuffle, to set partitions by")
     ap.add_argument("--publish", help="also replace this location with the zero-filled narrow report")
     ap.add_argument("--set", action="append", default=[], metavar="NAME=VALUE",
                     help="override a report parameter (see innsight.params.ReportParams)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("innsight-report").getOrCreate()
+    for name, value in (cluster_conf(args.shuffle_bytes) if args.shuffle_bytes else {}).items():
+        spark.conf.set(name, value)
     if args.catalog:
-        sources = CatalogSources(spark, args.catalog)
+        sources = CatalogSources(spark, args.catalog, dict(t.split("=", 1) for t in args.table),
+                                 args.taxes_on_bookings)
     elif args.stored:
-        sources = StoredSources(spark, args.stored)
+        sources = StoredSources(spark, args.stored, taxes_on_bookings=args.taxes_on_bookings)
     else:
         sources = LodgingSources(spark, args.sf_dir)
     params = parse_overrides(args.set, dataclasses.replace(ReportParams(), as_of=args.as_of))
-    for path in run_report(sources, params, args.out, args.channel, args.cut_lineage, args.publish):
+    channels = tuple(args.channels.split(",")) if args.channels else None
+    for path in run_report(sources, params, args.out, args.channel, args.cut_lineage, args.publish, channels,
+                           args.ordered):
         print(path)
 
 

@@ -93,6 +93,19 @@ def with_channel(bookings: DataFrame, online_travel_agents: DataFrame, source_en
     return with_channel_inputs(bookings, online_travel_agents, source_enums).withColumn(name, classify(rules))
 
 
+def with_unlisted(channels: Sequence[str]) -> tuple[str, ...]:
+    """The channels a pivot gives columns to: those asked for, and always the bucket for every other label."""
+    return tuple(dict.fromkeys([*channels, R.UNLISTED_CHANNEL]))
+
+
+def known_channels(source_enums: DataFrame) -> tuple[str, ...]:
+    """All labels a booking can get: the rules' and those of the source lookup (a small table, read here), in
+    the default order; labels that the default list doesn't have come last, by name."""
+    labels = {r[0] for r in source_enums.select("enum_val").where("enum_val IS NOT NULL").distinct().collect()}
+    fixed = [c for c in R.DEFAULT_CHANNELS if c in labels or c in R.RULE_LABELS]
+    return with_unlisted([*fixed, *sorted(labels.difference(fixed))])
+
+
 def routed_channel(channel: str | Column, channels: Sequence[str], null_label: str | None) -> Column:
     """Channel label as pivoted: NULL -> ``null_label``; a label outside ``channels`` -> the unlisted bucket."""
     c = F.col(channel) if isinstance(channel, str) else channel

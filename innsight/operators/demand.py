@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import per_night
 from ..params import BOOKED_STATUSES, USED_STATUSES, ReportParams
-from .bookings import attach_property, bookable_bookings, stay_nights, with_value
+from .bookings import attach_property, bookable_bookings, recent_months, stay_nights, with_value
 from .channels import FULL_RULES, with_channel
 from .dims import eligible_properties
 from .taxes import exclusive_tax_by_booking
@@ -22,30 +22,34 @@ def demand_bookings(bookings: DataFrame, hotel_dim: DataFrame, online_travel_age
     return with_channel(b, online_travel_agents, source_enums, FULL_RULES)
 
 
-def demand_channels_seen(demand_bookings_df: DataFrame, p: ReportParams) -> DataFrame:
+def demand_channels_seen(demand_bookings_df: DataFrame, p: ReportParams, calendar: DataFrame | None = None
+                         ) -> DataFrame:
     """Distinct channel labels of the demand rows (NULL as ``'0'``), taken from the bookings that have a night in
-    the window: the same set as the channels of the per-channel rows, without expanding stays or joining tax."""
-    overlapping = demand_bookings_df.filter(
-        (F.col("checkin") < F.col("checkout")) & (F.col("checkin") <= F.lit(p.window_end))
-        & (F.col("checkout") > F.lit(p.window_start)))
-    return overlapping.select(F.coalesce(F.col("booking_source"), F.lit("0")).alias("booking_source")).distinct()
+    the window (on a date of ``calendar``): the same set as the channels of the per-channel rows, without tax."""
+    label = F.coalesce(F.col("booking_source"), F.lit("0")).alias("booking_source")
+    return stay_nights(demand_bookings_df.select(label, "checkin", "checkout"), p.window_start, p.window_end,
+                       calendar=calendar).select("booking_source").distinct()
 
 
 def demand_nights(bookings: DataFrame, bookings_base: DataFrame, booking_taxes: DataFrame, hotel_dim: DataFrame,
-                  online_travel_agents: DataFrame, source_enums: DataFrame, p: ReportParams) -> DataFrame:
-    """One row per stay night of an eligible booking, with its channel and per-night value and tax.
+                  online_travel_agents: DataFrame, source_enums: DataFrame, p: ReportParams,
+                  calendar: DataFrame | None = None, taxes_on_bookings: bool = False) -> DataFrame:
+    """One row per stay night (on a date of ``calendar``, if given) of an eligible booking, with its channel and
+    per-night value and tax.
 
     All joins happen per booking, before the night expansion, and only the columns the aggregates need are
     carried into it. Tax is looked up for both tax windows in one pass (``tax_checkin``, ``tax_checkout``).
     """
     b = demand_bookings(bookings, hotel_dim, online_travel_agents, source_enums, p)
-    tax = (exclusive_tax_by_booking(bookings_base, booking_taxes, hotel_dim, p, TAX_WINDOWS)
+    # tax of older bookings is never used here, so the month floor prunes the tax path as well
+    tax = (exclusive_tax_by_booking(recent_months(bookings_base, p), booking_taxes, hotel_dim, p, TAX_WINDOWS,
+                                    taxes_on_bookings)
            .withColumnsRenamed({f"tax_amount_{w}": f"tax_{w}" for w in TAX_WINDOWS}))
     b = with_value(b.join(tax, "id", "left"))
     b = b.select("property_code", "booking_source", "status", "rooms", "checkin", "checkout",
                  per_night(F.col("gmv"), F.col("r")).alias("gmv_night"),
                  *[per_night(F.col(f"tax_{w}"), F.col("r")).alias(f"tax_{w}_night") for w in TAX_WINDOWS])
-    return stay_nights(b, p.window_start, p.window_end)
+    return stay_nights(b, p.window_start, p.window_end, calendar=calendar)
 
 
 def demand_by_channel(nights: DataFrame) -> DataFrame:
@@ -65,15 +69,21 @@ def demand_by_channel(nights: DataFrame) -> DataFrame:
 
 
 def demand_totals_aggs() -> list:
-    """Aggregates of the daily totals over per-channel rows (tax of the check-in window, zero-filled)."""
+    """Aggregates of the daily totals over per-channel rows: missing values and tax (of the check-in window) count
+    0 before they are added."""
     return [
         F.sum("urn").alias("urn"),
         F.sum("brn").alias("brn"),
-        F.sum("gmv_brn").alias("gmv_brn"),
-        (F.sum("gmv_urn") + F.coalesce(F.sum("tax_checkin"), F.lit(0.0))).alias("urn_gmv"),
+        F.coalesce(F.sum("gmv_brn"), F.lit(0)).alias("gmv_brn"),
+        (F.coalesce(F.sum("gmv_urn"), F.lit(0)) + F.coalesce(F.sum("tax_checkin"), F.lit(0))).alias("urn_gmv"),
     ]
 
 
+def used_value(tax: str) -> Column:
+    """Value of used nights with tax; either counts 0 where it is missing."""
+    return F.coalesce(F.col("gmv_urn"), F.lit(0)) + F.coalesce(F.col(tax), F.lit(0))
+
+
 def daily_demand(by_channel: DataFrame) -> DataFrame:
     """Per ``(property_code, date)``: urn, brn, gmv_brn and urn_gmv (= gmv_urn + exclusive tax)."""
     return by_channel.groupBy("property_code", "date").agg(*demand_totals_aggs())
@@ -84,6 +94,6 @@ def channel_demand(by_channel: DataFrame) -> DataFrame:
     return by_channel.select(
         "property_code", "date",
         F.coalesce(F.col("booking_source"), F.lit("0")).alias("booking_source"),
-        "urn", "brn", "gmv_brn",
-        (F.col("gmv_urn") + F.coalesce(F.col("tax_checkout"), F.lit(0.0))).alias("urn_gmv"),
+        "urn", "brn", F.coalesce(F.col("gmv_brn"), F.lit(0)).alias("gmv_brn"),
+        used_value("tax_checkout").alias("urn_gmv"),
     )

@@ -11,22 +11,20 @@ from ..functions.exprs import not_in, not_in_null_safe
 from ..params import ReportParams
 
 
-def eligible_properties(hotel_dim: DataFrame, p: ReportParams, name_terms: Sequence[str] | None = None,
-                        with_countries: bool = True) -> DataFrame:
+def eligible_properties(hotel_dim: DataFrame, p: ReportParams, name_terms: Sequence[str] | None = None) -> DataFrame:
     """Commercial properties of the report countries.
 
     Product not in the excluded list, lower-cased name containing none of ``name_terms``, code not starting
-    with the excluded prefix, country in the list. A NULL in any tested column drops the row (SQL logic).
+    with the excluded prefix (an empty prefix excludes nothing), country in the list. A NULL in any tested column drops the row (SQL logic).
     """
     terms = p.all_name_terms if name_terms is None else tuple(name_terms)
     name = F.lower(F.col("hotel_name"))
     cond = not_in("product", p.excluded_products)
     for term in terms:
         cond = cond & ~name.like(f"%{term}%")
-    cond = cond & ~F.col("property_code").like(f"{p.excluded_code_prefix}%")
-    if with_countries:
-        cond = cond & F.col("country_name").isin(*p.countries)
-    return hotel_dim.filter(cond)
+    if p.excluded_code_prefix:
+        cond = cond & ~F.col("property_code").startswith(p.excluded_code_prefix)
+    return hotel_dim.filter(cond & F.col("property_code").isNotNull() & F.col("country_name").isin(*p.countries))
 
 
 def exclude_keys(df: DataFrame, column: str, keys: Sequence | DataFrame) -> DataFrame:

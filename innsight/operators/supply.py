@@ -43,27 +43,43 @@ def contracted_rooms(hotel_date_summary: DataFrame, hotel_dim: DataFrame, supply
 def latest_live_date(status_changes: DataFrame) -> DataFrame:
     """Latest change to status ``Live`` per property: ``(property_code, old_status, new_status, live_date)``.
 
-    The latest row is picked as the maximum of ``struct(changed_at, old_status)``: a plain hash aggregate
-    with map-side partial aggregation, so a property with a huge history never lands whole in one task.
-    ``old_status`` breaks ties of equal times deterministically.
+    The latest time per property is a hash aggregate with map-side partial results, so a property with a huge
+    history never lands whole in one task. The few rows of that time are joined back; the largest ``old_status``
+    breaks ties.
     """
-    live = status_changes.filter(F.col("new_status") == F.lit("Live"))
-    latest = live.groupBy("property_code").agg(F.max(F.struct("changed_at", "old_status")).alias("m"))
-    return latest.select("property_code", F.col("m.old_status").alias("old_status"),
-                         F.lit("Live").alias("new_status"), F.to_date("m.changed_at").alias("live_date"))
+    live = _live_changes(status_changes)
+    latest = live.groupBy("property_code").agg(F.max("changed_at").alias("changed_at"))
+    rows = live.select("property_code", "changed_at", "old_status").alias("l")
+    tied = (rows.join(latest.alias("m"), F.col("l.property_code").eqNullSafe(F.col("m.property_code"))
+                      & (F.col("l.changed_at") == F.col("m.changed_at")), "left_semi")
+            .groupBy("property_code", "changed_at").agg(F.max("old_status").alias("old_status")))
+    return tied.select("property_code", "old_status", F.lit("Live").alias("new_status"),
+                       F.to_date("changed_at").alias("live_date"))
+
+
+def _live_changes(status_changes: DataFrame) -> DataFrame:
+    return status_changes.filter(F.col("new_status") == F.lit("Live"))
+
+
+def live_dates(status_changes: DataFrame) -> DataFrame:
+    """``(property_code, live_date)``: the date alone of :func:`latest_live_date`, one hash aggregate."""
+    return (_live_changes(status_changes).groupBy("property_code")
+            .agg(F.to_date(F.max("changed_at")).alias("live_date")))
 
 
 def first_booking(bookings: DataFrame, hotel_dim: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """First booking creation date per property, for the properties in ``codes`` (all of ``hotel_dim`` when
     ``codes`` is None).
 
-    The key list restricts the dimension first (semi join), so the booking scan joins a small side.
+    The first date per ``hotel_id`` is taken before the join: one row per hotel leaves each task, so bookings of
+    all history are never shuffled by property.
     """
     props = hotel_dim.select("hotel_id", "property_code")
     if codes is not None:
         props = restrict_to_keys(props, codes)
-    return (bookings.select("hotel_id", "created_date").join(props, "hotel_id")
-            .groupBy("property_code").agg(F.min("created_date").alias("fb_date")))
+    per_hotel = bookings.groupBy("hotel_id").agg(F.min("created_date").alias("created_date"))
+    return (per_hotel.join(props, "hotel_id").groupBy("property_code")
+            .agg(F.min("created_date").alias("fb_date")))
 
 
 def effective_live_date(latest_live: DataFrame, first_bookings: DataFrame) -> DataFrame:
@@ -73,8 +89,9 @@ def effective_live_date(latest_live: DataFrame, first_bookings: DataFrame) -> Da
 
 
 def corrected_srns(hotel_status="hotel_status", srns="srns", urn="urn"):
-    """Supply correction: live properties keep their sellable rooms; others count used rooms (or 0);
-    then a zero supply with used rooms becomes the used rooms."""
-    hs, s, u = F.col(hotel_status), F.col(srns), F.col(urn)
-    first = F.when(hs == LIVE_HOTEL_STATUS, s).when((hs != LIVE_HOTEL_STATUS) & (u > 0), u).otherwise(0)
-    return F.when((first == 0) & (u > 0), u).otherwise(first)
+    """Supply correction: a live property keeps its sellable rooms unless they are 0; everywhere else the rooms used
+    count as the supply, or 0."""
+    live_rooms = F.when(F.col(hotel_status) == LIVE_HOTEL_STATUS, F.col(srns))
+    used = F.greatest(F.coalesce(F.col(urn), F.lit(0)), F.lit(0))
+    return F.when((F.col(hotel_status) == LIVE_HOTEL_STATUS) & (live_rooms.isNull() | (live_rooms != 0)), live_rooms) \
+        .otherwise(used)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import not_in
+from ..functions.exprs import VALUE_TYPE, not_in
 from ..params import EXCLUDED_SOURCES, USED_STATUSES, ReportParams
 
 TAX_SCHEMA = "struct<tax_breakup: array<map<string,string>>>"
@@ -31,16 +31,16 @@ def tax_entries(booking_taxes: DataFrame, keep: Sequence[str] = ()) -> DataFrame
 
 
 def exclusive_tax_by_booking(bookings_base: DataFrame, booking_taxes: DataFrame | None, hotel_dim: DataFrame,
-                             p: ReportParams, windows: Sequence[str] = ("checkin",)) -> DataFrame:
+                             p: ReportParams, windows: Sequence[str] = ("checkin",),
+                             taxes_on_bookings: bool = False) -> DataFrame:
     """Sum of exclusive tax amounts per used booking in the report countries.
 
     Returns ``id`` and one ``tax_amount_<window>`` column per entry of ``windows`` (or ``tax_amount`` when a
     single window is asked for). Each booking's entries are filtered first (only bookings in some window),
     then aggregated per id, so the result has one row per booking and joins back by id.
 
-    When the booking rows carry the tax document themselves (a ``taxes`` column, as in the raw booking
-    table), it is read from the same filtered scan and no table of documents is joined; otherwise the
-    documents of ``booking_taxes`` are joined to the filtered bookings by id.
+    With ``taxes_on_bookings`` the booking rows carry the tax document themselves (a ``taxes`` column) and it is
+    read from the same filtered scan; otherwise the documents of ``booking_taxes`` are joined by id.
     """
     in_any = None
     for w in windows:
@@ -48,14 +48,14 @@ def exclusive_tax_by_booking(bookings_base: DataFrame, booking_taxes: DataFrame
     base = (bookings_base
             .filter(F.col("status").isin(*USED_STATUSES) & not_in("source", EXCLUDED_SOURCES) & in_any)
             .join(hotel_dim.filter(F.col("country_name").isin(*p.countries)).select("hotel_id"), "hotel_id"))
-    if "taxes" in bookings_base.columns:
+    if taxes_on_bookings:
         docs = base.select("id", "checkin", "checkout", "taxes")
     else:
         docs = booking_taxes.join(base.select("id", "checkin", "checkout"), "id")
     taxed = tax_entries(docs, keep=("checkin", "checkout"))
     clusivity = F.element_at(F.col("entry"), F.lit("clusivity"))
     exclusive = taxed.filter(clusivity.isNotNull() & (clusivity == F.lit("Exclusive")))
-    amount = F.element_at(F.col("entry"), F.lit("tax_amount")).try_cast("double")
+    amount = F.element_at(F.col("entry"), F.lit("tax_amount")).try_cast(VALUE_TYPE)
     if len(windows) == 1:
         aggs = [F.sum(amount).alias("tax_amount")]
     else:

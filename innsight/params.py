@@ -7,7 +7,7 @@ prefixes) is an argument here, so that a run is repeatable and tests can pin the
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Booking status codes (fixed values).
 USED_STATUSES = (1, 2)
@@ -21,6 +21,8 @@ EXCLUDED_SOURCES = (13, 14)
 # Property statuses kept in the supply fact (fixed values).
 SUPPLY_HOTEL_STATUSES = (1, 2, 3)
 LIVE_HOTEL_STATUS = 2
+# The report's countries, by id.
+COUNTRY_IDS = (1, 2, 4, 6, 8, 10, 12, 14, 16, 18, 20, 22, 23, 24)
 
 
 def first_of_month(d: dt.date) -> dt.date:
@@ -36,9 +38,9 @@ class ReportParams:
     """
 
     as_of: dt.date = dt.date(1998, 6, 15)
-    countries: tuple[str, ...] = ("NATION_1", "NATION_6", "NATION_12", "NATION_18", "NATION_24")
+    countries: tuple[str, ...] = tuple(f"NATION_{i}" for i in COUNTRY_IDS)
     # Country ids of the same countries, used by the payment-policy resolution.
-    policy_country_ids: tuple[int, ...] = (1, 6, 12, 18, 24)
+    policy_country_ids: tuple[int, ...] = COUNTRY_IDS
     excluded_products: tuple[str, ...] = ("MACHINERY",)
     # Lower-cased substrings of hotel names that mark non-commercial properties.
     excluded_name_terms: tuple[str, ...] = ("training", "test")
@@ -49,8 +51,7 @@ class ReportParams:
     excluded_codes: tuple[str, ...] = ("P000003", "P000042", "P000101", "P001234")
     # Status of properties considered by the payment-policy resolution.
     policy_property_status: int = 2
-    # ``yyyymm`` text: policy, default-policy and restriction rows inserted from this month on are read
-    # (applied to tables that carry an ``inserted_at`` column).
+    # ``yyyymm`` text: policy, default-policy and restriction rows inserted from this month on are read.
     policy_month_floor: str = "201807"
     restriction_id: int = 12
     policy_id: int = 3
@@ -58,7 +59,6 @@ class ReportParams:
     check_start: dt.date = dt.date(1998, 5, 1)
     check_end: dt.date = dt.date(1998, 5, 24)
     check_days: int = 24
-    extra: dict = field(default_factory=dict, compare=False)
 
     @property
     def window_start(self) -> dt.date:

@@ -279,7 +279,7 @@ def booking_value(s):
 def late_cancellations(s):
     b = realization_bookings(s.bookings_base, s.hotel_dim, s.online_travel_agents, s.source_enums, s.clusters,
                              s.cities, s.city_tz, P)
-    nights = realization_nights(b, P)
+    nights = realization_nights(b, P, s.calendar)
     return nights.groupBy("date", KEY).agg(
         count(F.sum(F.when(F.col("late_cancel"), F.col("rooms")).otherwise(0))).alias("bad_canc"))
 

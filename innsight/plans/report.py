@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.exprs import label_lookup, zero_fill
-from ..operators.channels import group_aggs, group_names, pivot_aggs, routed_channel, sql_name
+from ..operators.channels import (group_aggs, group_names, known_channels, pivot_aggs, routed_channel, sql_name,
+                                   with_unlisted)
 from ..operators.demand import (demand_bookings, demand_by_channel, demand_channels_seen, demand_nights,
-                                 demand_totals_aggs)
+                                 demand_totals_aggs, used_value)
 from ..operators.dims import attribute_rows, eligible_properties, exclude_keys
 from ..operators.policy import classified_policies, payment_types, policy_rows
 from ..operators.realization import realization_bookings, realization_by_channel, realization_nights
-from ..operators.supply import corrected_srns, effective_live_date, first_booking, latest_live_date
+from ..operators.supply import corrected_srns, effective_live_date, first_booking, live_dates
 from ..params import SUPPLY_HOTEL_STATUSES, ReportParams
 from ..session import output_path, shared_dir
 
@@ -39,11 +40,11 @@ CANCEL_ROLLUP = tuple((s, m) for s, m in R.ROLLUP_MEASURES if m in R.REALIZATION
 
 
 def demand_channels(channels: Sequence[str] = R.DEFAULT_CHANNELS) -> tuple[str, ...]:
-    return tuple(channels) + (R.DEMAND_NULL_CHANNEL,)
+    return with_unlisted(channels) + (R.DEMAND_NULL_CHANNEL,)
 
 
 def cancellation_channels(channels: Sequence[str] = R.DEFAULT_CHANNELS) -> tuple[str, ...]:
-    return tuple(channels) + (R.REALIZATION_NULL_CHANNEL,)
+    return with_unlisted(channels) + (R.REALIZATION_NULL_CHANNEL,)
 
 
 # -- building blocks ----------------------------------------------------------------------------------
@@ -59,13 +60,14 @@ def supply_per_status(hotel_date_summary: DataFrame, p: ReportParams) -> DataFra
 
 def demand_by_channel_for(src, p: ReportParams) -> DataFrame:
     return demand_by_channel(demand_nights(src.bookings, src.bookings_base, src.booking_taxes, src.hotel_dim,
-                                           src.online_travel_agents, src.source_enums, p))
+                                           src.online_travel_agents, src.source_enums, p, src.calendar,
+                                           getattr(src, "taxes_on_bookings", False)))
 
 
 def realization_by_channel_for(src, p: ReportParams) -> DataFrame:
     b = realization_bookings(src.bookings_base, src.hotel_dim, src.online_travel_agents, src.source_enums,
                              src.clusters, src.cities, src.city_tz, p)
-    return realization_by_channel(realization_nights(b, p))
+    return realization_by_channel(realization_nights(b, p, src.calendar))
 
 
 def _rollup_names(measures) -> frozenset[str]:
@@ -86,18 +88,20 @@ def pivot_after_shuffle(rows: DataFrame) -> DataFrame:
 
 def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: bool = True) -> DataFrame:
     """Per (property, day): totals, the channel pivot (``<channel>_<measure>``) and, with ``rollups``, the
-    OTA / Growth demand roll-ups, in one aggregation over the per-channel rows."""
+    OTA / Growth demand roll-ups, in one aggregation over the per-channel rows. Roll-ups go by the booking's own
+    label, whatever columns ``channels`` asks for."""
     chans = demand_channels(channels)
     rows = by_channel.withColumns({
-        "urn_gmv": F.col("gmv_urn") + F.coalesce(F.col("tax_checkout"), F.lit(0.0)),
+        "urn_gmv": used_value("tax_checkout"),
+        "gmv_brn": F.coalesce(F.col("gmv_brn"), F.lit(0)),
         "_ch": routed_channel("booking_source", chans, R.DEMAND_NULL_CHANNEL),
     })
     ch = "_ch"
     pivot = pivot_aggs(ch, chans, R.DEMAND_MEASURES, _rollup_names(DEMAND_ROLLUP) if rollups else frozenset())
     groups = []
     if rollups:
-        groups = (group_aggs(ch, "OTA", R.OTA_GROUP, DEMAND_ROLLUP)
-                  + group_aggs(ch, "Growth", R.GROWTH_GROUP, DEMAND_ROLLUP))
+        groups = (group_aggs("booking_source", "OTA", R.OTA_GROUP, DEMAND_ROLLUP)
+                  + group_aggs("booking_source", "Growth", R.GROWTH_GROUP, DEMAND_ROLLUP))
     return pivot_after_shuffle(rows).groupBy(KEY, "date").agg(*demand_totals_aggs(), *pivot, *groups)
 
 
@@ -108,7 +112,7 @@ def observed_demand_channels(src, p: ReportParams) -> DataFrame:
     second consumer of that aggregate would be pruned differently and re-run the whole night expansion.
     """
     return demand_channels_seen(demand_bookings(src.bookings, src.hotel_dim, src.online_travel_agents,
-                                                src.source_enums, p), p)
+                                                src.source_enums, p), p, src.calendar)
 
 
 def cancellation_daily_wide(real_by_channel: DataFrame, observed_channels: DataFrame, channels: Sequence[str],
@@ -130,8 +134,8 @@ def cancellation_daily_wide(real_by_channel: DataFrame, observed_channels: DataF
     pivot = pivot_aggs(ch, chans, R.CANCELLATION_MEASURES, _rollup_names(CANCEL_ROLLUP) if rollups else frozenset())
     groups = []
     if rollups:
-        groups = (group_aggs(ch, "OTA", R.OTA_GROUP, CANCEL_ROLLUP, extra_cond="_observed")
-                  + group_aggs(ch, "Growth", R.GROWTH_GROUP, CANCEL_ROLLUP))
+        groups = (group_aggs("booking_source", "OTA", R.OTA_GROUP, CANCEL_ROLLUP, extra_cond="_observed")
+                  + group_aggs("booking_source", "Growth", R.GROWTH_GROUP, CANCEL_ROLLUP))
     return pivot_after_shuffle(rows).groupBy(KEY, "date").agg(*pivot, *groups)
 
 
@@ -181,15 +185,19 @@ def cut(df: DataFrame, enabled: bool) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNELS,
+def report_wide(src, p: ReportParams, channels: Sequence[str] | None = R.DEFAULT_CHANNELS,
                 cut_lineage: bool = False) -> DataFrame:
     """One row per eligible property x day x property status with supply, demand, channel split,
     cancellations, roll-ups, contracted rooms, attributes, payment type, live date and status label.
 
+    ``channels`` names the labels that get columns of their own (None: all that the rules and the source lookup
+    know); every other label is summed into the unlisted columns.
+
     With ``cut_lineage`` the three first-level aggregates (the only steps that read the large facts) are
     checkpointed first: they are small, and an executor lost afterwards then costs a re-read of them instead
     of a re-scan and re-expansion of the bookings.
     """
+    channels = known_channels(src.source_enums) if channels is None else with_unlisted(channels)
     per_status = cut(supply_per_status(src.hotel_date_summary, p), cut_lineage)
     props = eligible_properties(src.hotel_dim, p).select(KEY)
     # Contracted rooms are the maximum over all statuses of a property-day: a window on the rows that are
@@ -200,9 +208,12 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNE
         .filter(F.col("hotel_status").isin(*SUPPLY_HOTEL_STATUSES)).join(props, KEY),
         KEY, p.excluded_codes).select(KEY, "date", "hotel_status", "srns", "total_contracted_rooms")
 
-    demand = demand_daily_wide(cut(demand_by_channel_for(src, p), cut_lineage), channels)
-    cancels = cancellation_daily_wide(cut(realization_by_channel_for(src, p), cut_lineage),
-                                      observed_demand_channels(src, p), channels)
+    by_channel = cut(demand_by_channel_for(src, p), cut_lineage)
+    demand = demand_daily_wide(by_channel, channels)
+    # once the per-channel rows are stored, the labels are read from them
+    observed = (by_channel.select(F.coalesce("booking_source", F.lit(R.DEMAND_NULL_CHANNEL)).alias("booking_source"))
+                .distinct() if cut_lineage else observed_demand_channels(src, p))
+    cancels = cancellation_daily_wide(cut(realization_by_channel_for(src, p), cut_lineage), observed, channels)
 
     # Per-property columns. Everything below is left-joined onto the supply rows, so restricting these
     # sides to the supply codes first (as the standalone operators do) would only re-derive the supply fact:
@@ -210,7 +221,7 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] = R.DEFAULT_CHANNE
     attributes = attribute_rows(src.hotel_dim, p)
     payment = payment_types(classified_policies(policy_rows(src.hotel_dim, src.hotel_restrictions,
                                                             src.default_policies, src.hotel_policies, p)))
-    live = effective_live_date(latest_live_date(src.status_changes),
+    live = effective_live_date(live_dates(src.status_changes),
                                first_booking(src.bookings, eligible_properties(src.hotel_dim, p)))
 
     keys = [KEY, "date"]
@@ -243,11 +254,11 @@ def report_narrow(wide: DataFrame, channel: str = "Walk In") -> DataFrame:
 
 
 # -- sink and re-read ---------------------------------------------------------------------------------
-def write_report_csv(df: DataFrame, path: str, ordered: bool = True) -> None:
+def write_report_csv(df: DataFrame, path: str, ordered: bool = False) -> None:
     """CSV with header, ``NA`` for NULL, replacing earlier content.
 
-    ``ordered`` sorts the output by (property, day) across files, as the original report file is; this is a
-    range-partitioned sort of the output rows at the sink only. Without it files are sorted one by one.
+    Files are sorted by (property, day) one by one. ``ordered`` sorts across files, as the original report file
+    is, at the price of a range shuffle of the output rows.
     """
     out = df.orderBy(KEY, "date") if ordered else df.sortWithinPartitions(KEY, "date")
     out.write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
@@ -271,8 +282,9 @@ def publish_report(spark: SparkSession, written_path: str, schema, publish_path:
 
 
 def report_csv_roundtrip(spark: SparkSession, narrow: DataFrame, path: str | None = None) -> DataFrame:
-    """Write the narrow report, read it back with dates as text, and zero-fill it for publishing."""
+    """Write the narrow report, read it back with dates as text, and zero-fill it for publishing. The write is an
+    action: it runs when this is called."""
     path = path or output_path(spark, "report-narrow-csv")
     write_report_csv(narrow, path)
-    schema = narrow.withColumn("live_date2", F.col("live_date2").cast("string")).schema
+    schema = narrow.withColumn("live_date2", F.col("live_date2").cast("string")).schema  # as text
     return publishable(read_report_csv(spark, path, schema))

@@ -22,9 +22,10 @@ REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
     "hotel_date_summary": ("property_code", "d", "hotel_status", "sellable_rooms", "total_contracted_rooms"),
     "status_changes": ("property_code", "old_status", "new_status", "changed_at"),
     "hotel_policies": ("hotel_id", "policy_row", "policy_id", "status", "metadata", "start_day", "end_day",
-                       "updated_at"),
-    "default_policies": ("country_id", "policy_id", "status", "metadata"),
-    "hotel_restrictions": ("hotel_id", "restriction_id", "status", "metadata", "from_day", "to_day"),
+                       "updated_at", "inserted_at"),
+    "default_policies": ("country_id", "policy_id", "status", "metadata", "inserted_at"),
+    "hotel_restrictions": ("hotel_id", "restriction_id", "status", "metadata", "from_day", "to_day", "inserted_at"),
+    "calendar": ("d",),
     "online_travel_agents": ("id", "name"),
     "source_enums": ("enum_key", "enum_val"),
     "clusters": ("id", "city_id"),
@@ -36,13 +37,16 @@ REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
 def missing_columns(sources) -> dict[str, list[str]]:
     """``{table: [missing columns]}`` for a sources object (empty when it satisfies the contract).
 
-    Only schemas are read (no job runs). A booking table that carries its own ``taxes`` column needs no
-    ``booking_taxes`` table.
+    Only schemas are read (no job runs). A source whose raw bookings carry the tax documents says so
+    (``taxes_on_bookings``) and needs no ``booking_taxes`` table but a ``taxes`` column there.
     """
     missing = {}
     for table, cols in REQUIRED_COLUMNS.items():
-        if table == "booking_taxes" and "taxes" in sources.bookings_base.columns:
-            continue
+        if getattr(sources, "taxes_on_bookings", False):
+            if table == "booking_taxes":
+                continue
+            if table == "bookings_base":
+                cols = (*cols, "taxes")
         try:
             have = set(getattr(sources, table).columns)
         except Exception as e:  # noqa: BLE001 - report any unreadable table as missing entirely

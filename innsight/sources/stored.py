@@ -10,17 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-LODGING_TABLES = ("hotel_dim", "bookings", "booking_taxes", "hotel_date_summary", "status_changes", "hotel_policies",
+LODGING_TABLES = ("hotel_dim", "bookings", "bookings_base", "booking_taxes", "hotel_date_summary", "status_changes", "hotel_policies",
                   "default_policies", "hotel_restrictions", "online_travel_agents", "source_enums", "clusters",
                   "cities", "city_tz", "calendar")
-PARTITION_COLUMNS = {"bookings": "inserted_at"}
+PARTITION_COLUMNS = {"bookings": "inserted_at", "bookings_base": "inserted_at"}
 
 
 class StoredSources:
     """Readers over ``<path>/<table>`` parquet folders, with declared schemas (no inference job)."""
 
-    def __init__(self, spark: SparkSession, path: str, schemas: dict[str, StructType] | None = None):
+    def __init__(self, spark: SparkSession, path: str, schemas: dict[str, StructType] | None = None,
+                 taxes_on_bookings: bool = False):
         self.spark = spark
+        self.taxes_on_bookings = taxes_on_bookings
         self.path = path.rstrip("/")
         self.schemas = schemas or {}
         self._frames: dict[str, DataFrame] = {}
@@ -38,10 +40,6 @@ class StoredSources:
             return self.table(name)
         raise AttributeError(name)
 
-    @property
-    def bookings_base(self) -> DataFrame:
-        return self.table("bookings")
-
 
 def store_sources(src, path: str) -> StoredSources:
     """Write every lodging table of ``src`` under ``path`` (replacing earlier content) and return readers."""
@@ -60,20 +58,20 @@ class CatalogSources:
     """The lodging tables of a catalog database (``spark.table(f"{database}.{name}")``), e.g. the production
     tables; a name can be mapped to another table name with ``tables``."""
 
-    def __init__(self, spark: SparkSession, database: str, tables: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, database: str, tables: dict[str, str] | None = None,
+                 taxes_on_bookings: bool = False):
         self.spark = spark
+        self.taxes_on_bookings = taxes_on_bookings
         self.database = database
         self.tables = tables or {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in LODGING_TABLES:
             return self.spark.table(f"{self.database}.{self.tables.get(name, name)}")
-        if name == "bookings_base":
-            return self.spark.table(f"{self.database}.{self.tables.get(name, 'bookings')}")
         raise AttributeError(name)
 
 
-BUCKETED_BY_ID = ("bookings", "booking_taxes")
+BUCKETED_BY_ID = ("bookings", "bookings_base", "booking_taxes")
 
 
 def store_tables(src, database: str, buckets: int) -> CatalogSources:

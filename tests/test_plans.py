@@ -40,13 +40,27 @@ def test_scans_are_pruned_and_filtered(spark):
                                                                                          plan)
     assert orders_schemas, plan
     assert all("o_orderpriority" not in s and "o_orderstatus" not in s for s in orders_schemas)
-    assert "LessThan(o_orderdate" in plan or "LessThanOrEqual(o_orderdate" in plan
 
 
-def test_latest_live_date_is_a_hash_aggregate(spark):
-    plan = plan_text(QUERIES["latest_live_date"](spark, SF_CHECK))
-    assert "Window" not in plan
-    assert "partial_max" in plan
+def test_live_date_of_the_report_is_a_hash_aggregate(spark):
+    from innsight.operators.supply import live_dates
+    from innsight.sources.fixtures import LodgingSources
+
+    plan = plan_text(live_dates(LodgingSources(spark, SF_CHECK).status_changes))
+    assert "Window" not in plan and "SortAggregate" not in plan and re.search(r"HashAggregate.*partial_max", plan)
+
+
+@pytest.mark.parametrize("name,key", [("latest_live_date", "property_code"), ("active_policies", "hotel_id")])
+def test_latest_rows_are_found_by_a_hash_aggregate(spark, name, key):
+    """Raw rows are reduced to the latest time by a hash aggregate; only rows of that time are sorted for ties."""
+    plan = plan_text(QUERIES[name](spark, SF_CHECK))
+    assert re.search(rf"HashAggregate\(keys=\[{key}#\d+L?\], functions=\[partial_max", plan)
+    assert not re.search(rf"SortAggregate\(key=\[{key}#\d+L?\]", plan)
+
+
+def test_first_booking_is_reduced_below_the_join(spark):
+    plan = plan_text(QUERIES["first_booking"](spark, SF_CHECK))
+    assert re.search(r"HashAggregate\(keys=\[(o_custkey|hotel_id)#\d+L?\], functions=\[partial_min", plan)
 
 
 def formatted_plan(df) -> str:
