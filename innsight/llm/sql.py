@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .license_scan import BASE, MAX_SHIFT, TEMPLATES
+
 #: Turns read from the table with conversation -1 added; the template's lengths are counted, not its strings built.
 _OP3 = r"""
 WITH turns AS (
@@ -53,4 +55,49 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS
 FROM judged
 """
 
-ORACLE_SQL = {"op3_chat_formatting": _OP3, "op5_quality_rules": _OP5}
+
+
+def _op4() -> str:
+    """Votes of 3-word windows by diagonal; templates are written as rows, matched by text instead of hash."""
+    rows = ", ".join(f"({i}, '{t.label}', {i < len(BASE)}, {t.coverage}, '{t.text}')" for i, t in enumerate(TEMPLATES))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH templates AS (
+  SELECT *, string_split(words, ' ') AS w FROM (VALUES {rows}) AS v(template, label, base, coverage, words)),
+wanted AS (
+  SELECT template, t, array_to_string(w[t + 1:t + 3], ' ') AS gram
+  FROM (SELECT template, w, unnest(range(len(w) - 2)) AS t FROM templates)),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+votes AS (
+  SELECT r, template, p, t
+  FROM (SELECT r, w, unnest(range(greatest(len(w) - 2, 0))) AS p FROM docs)
+    JOIN wanted ON gram = w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3]),
+diagonals AS (
+  SELECT r, template, p - t AS diagonal, list(DISTINCT t) AS places, min(p) AS first FROM votes GROUP BY ALL),
+spans AS (
+  SELECT *, sum(CASE WHEN coverage < 1 AND gap <= {MAX_SHIFT} THEN 0 ELSE 1 END)
+    OVER (PARTITION BY r, template ORDER BY diagonal) AS span
+  FROM (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) AS gap FROM diagonals)
+    JOIN templates USING (template)),
+merged AS (
+  SELECT r, template, span, any_value(label) AS label, any_value(base) AS base, any_value(coverage) AS coverage,
+    min(first) AS first,
+    len(list_distinct(flatten(list_transform(flatten(list(places)), lambda t: [t, t + 1, t + 2])))) / any_value(len(w))
+      AS score
+  FROM spans GROUP BY r, template, span),
+found AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word,
+    max(first) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM merged WHERE score >= coverage GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0.0) AS score
+FROM docs LEFT JOIN found USING (r)
+"""
+
+
+ORACLE_SQL = {"op4_license_scan": _op4(), "op3_chat_formatting": _OP3, "op5_quality_rules": _OP5}

@@ -79,3 +79,13 @@ def test_main_path_runs_no_python(spark):
 
     plan = op4_license_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_against_sql(spark):
+    from innsight.llm.queries import QUERIES
+    from innsight.llm.sql import ORACLE_SQL
+    from innsight.oracle.compare import compare, duckdb_connection
+
+    d, name = "/root/testdata/sf0.01", "op4_license_scan"
+    found = compare(name, QUERIES[name](spark, d), duckdb_connection(d), ORACLE_SQL[name])
+    assert found.ok, str(found)
