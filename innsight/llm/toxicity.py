@@ -156,7 +156,9 @@ class Model:
 
 
 def constant_model(share: float) -> Model:
-    """For training rows without two classes: every text gets the smoothed share of toxic rows."""
+    """For training rows that don't tell the classes apart: every text gets the smoothed share of toxic rows, but less
+    than 0.5, as nothing speaks against it."""
+    share = min(share, 0.49)
     return Model(np.zeros(CLASSES ** 3), 0.0, 0.0, float(np.log(share / (1 - share))), 0.0)
 
 
@@ -276,7 +278,7 @@ def fit(documents: Sequence[tuple[str, int]], n_landmarks: int = 192, rounds: in
         # documents have it
         pos = pos[value[pos] > 0]
         best = np.array([ids[value[ids].argmax()] for ids in toxic_ids])
-        pos = np.union1d(pos, best[~is_clean[best] & (value[best] >= 1)])
+        pos = np.union1d(pos, best[~is_clean[best] & (value[best] > 0)])
         near = clean_ids[np.argsort(-value[clean_ids], kind="stable")[:1000]]  # clean, but most like toxic ones
         hard = np.union1d(hard, near)
         hardest = [names[i] for i in near[:n_landmarks // 4]]
@@ -338,7 +340,7 @@ def score_texts(texts: Sequence[str | None], model: Model, memo: dict[str, float
     if len(memo) > _MEMO:
         memo.clear()
     words = [words_of(t or "") for t in texts]
-    missing = sorted(set().union(*words) - memo.keys())
+    missing = sorted(set().union(*words).difference(memo))
     segments = [segments_of(w) for w in missing]
     distinct = sorted({s for found in segments for s in found})
     value = dict(zip(distinct, model.decide(distinct).tolist()))
