@@ -42,7 +42,7 @@ _SINGLES = re.compile(r"(?<!\w)\w(?:[\W_]+\w(?!\w)){2,}")
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)")
 _DIGITS = str.maketrans("013457", "oieast")
 #: Segments whose score a worker remembers before it starts anew.
-_MEMO = 1_000_000
+_MEMO = 600_000
 
 
 def letters(word: str) -> str:
@@ -191,21 +191,24 @@ def _tell_tale(toxic: list[str], in_clean: Counter, suspicious: set[str], clean:
     have the stem between neighbours (the words before and after) that no document before has it between. Near
     copies of one toxic document share neighbours, so what they have in common has little support. Clean documents
     with a word of the stem count three times against it."""
+    def hits(text: str) -> Iterator[tuple[int, set[str]]]:
+        """(hash of the neighbours, stems) of each suspicious word; told anew for each pass, to keep little."""
+        words = text.split()
+        for i, w in enumerate(words):
+            if st := set().union(*(_stems(x) for x in segments_of(w) if x in suspicious)):
+                yield hash((tuple(words[max(0, i - 1):i]), tuple(words[i + 1:i + 2]))), st
+
     in_docs: Counter = Counter()
-    found = []
     for text in toxic:
-        words = text.split()
-        hits = [(i, st) for i, w in enumerate(words) for st in [set().union(
-            *(_stems(x) for x in segments_of(w) if x in suspicious))] if st]
-        found.append([(hash((tuple(words[max(0, i - 1):i]), tuple(words[i + 1:i + 2]))), st) for i, st in hits])
-        in_docs.update(set().union(*(st for _, st in hits)))
+        in_docs.update(set().union(*(st for _, st in hits(text))))
     least = CHANCE / np.log((len(toxic) + clean) / len(toxic))  # so many toxic and no clean ones, at odds of e^-CHANCE
     often = {s for s, n in in_docs.items() if n >= least}
+    del in_docs
     neighbours: dict[str, set[int]] = {s: set() for s in often}
     support: Counter = Counter()
-    for hits in found:
+    for text in toxic:
         here: dict[str, set[int]] = {}
-        for context, st in hits:
+        for context, st in hits(text):
             for s in st & often:
                 here.setdefault(s, set()).add(context)
         for s, contexts in here.items():
