@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import functools
 import heapq
+import operator
 import os
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -24,35 +26,102 @@ from pyspark.sql import functions as F
 from .common import ship, stored
 
 WINDOW = 4096
-_MEMO_PIECES = 1_000_000
+#: Pieces in a worker's memo before it becomes the old one (about 250 bytes each, and two memos at most).
+_MEMO_PIECES = 600_000
+_SUM = operator.itemgetter(0)
 PIECE_SCHEMA = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+#: Letters of one word, then marks that neither join a word nor begin a contraction.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+class Encoder:
+    """Ids of whole texts by a tokenizer of lower-cased words with word ends, kept per piece between spaces.
+
+    The library splits at white space and between letters and marks whatever stands around them, so a text's ids
+    are those of its pieces, one after the other, and a piece's are those of its word and its marks."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        ids = [self._ids(x) for x in ("A b", "a", "b", "the,x", "the", ",", "x")]
+        self.by_piece = ids[0] == ids[1] + ids[2] and ids[3] == ids[4] + ids[5] + ids[6] and self.ends[ids[4][-1]]
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}  # the memo before this one; what is met again moves over
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tok.encode(text, add_special_tokens=False).ids
+
+    def _recall(self, piece: str) -> bool:
+        """Whether the piece's ids are in the memo, brought back from the old one if need be."""
+        if piece in self.memo:
+            return True
+        if (ids := self.old.get(piece)) is None:
+            return False
+        self.memo[piece] = ids
+        return True
+
+    def _learn(self, pieces: list[str]) -> None:
+        for x, e in zip(pieces, self.tok.encode_batch_fast(pieces, add_special_tokens=False)):
+            self.memo[x] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Ids of words of letters alone: encoded in one text, cut after each word's last token."""
+        for a in range(0, len(words), 2000):
+            part = words[a:a + 2000]
+            ids = np.array(self._ids(" ".join(part)), dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part):
+                self._learn(part)
+                continue
+            raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+            self.memo.update((w, raw[x:y]) for w, x, y in zip(part, at, at[1:]))
+
+    def encode(self, texts: Sequence[str]) -> list[bytes]:
+        """Each whole text's ids as little-endian unsigned 32-bit numbers, without special tokens added."""
+        if not self.by_piece:
+            return [np.array(e.ids, dtype="<u4").tobytes()
+                    for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
+        memo = self.memo
+        if len(memo) > _MEMO_PIECES:
+            self.memo, self.old = {}, memo
+            memo = self.memo
+        memo[""] = b""
+        pieces = [t.replace("\n", " ").split(" ") for t in texts]  # a line break only separates, as a space does
+        found = [list(map(memo.get, p)) for p in pieces]
+        missing = [(p, f, [i for i, x in enumerate(f) if x is None]) for p, f in zip(pieces, found) if None in f]
+        plain, others = [], set()
+        for x in {p[i] for p, _, at in missing for i in at}:
+            if self._recall(x):
+                continue
+            if m := _PLAIN.fullmatch(x):
+                plain.append((x, m[1].lower(), m[2]))
+            else:
+                others.add(x)
+        others.update(marks for marks in {marks for _, _, marks in plain} if not self._recall(marks))
+        self._learn(list(others))
+        self._learn_words([w for w in {w for _, w, _ in plain} if not self._recall(w)])
+        memo.update((x, memo[w] + memo[marks]) for x, w, marks in plain)
+        for p, f, at in missing:
+            for i in at:
+                f[i] = memo[p[i]]
+        return [b"".join(f) for f in found]
 
-    tok = Tokenizer.from_file(path)
-    # whether no id depends on characters beyond the next space: white space only separates words
-    apart = all(tok.encode(f"{a} {b}", add_special_tokens=False).ids
-                == tok.encode(a, add_special_tokens=False).ids + tok.encode(b, add_special_tokens=False).ids
-                for a, b in (("a", "b"), ("don't", "'s"), ("1.", ".x"), ("é", "́e")))
-    return tok, {}, apart
 
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
-def token_bytes(texts: Sequence[str], path: str) -> list[bytes]:
-    """Each whole text's ids, without special tokens of the library's, as little-endian unsigned 32-bit numbers.
 
-    For a tokenizer that only separates words at a space, ids of what stands between spaces are kept per worker."""
-    tok, memo, apart = _tokenizer(path)
-    pieces = [t.split(" ") if apart else [t] for t in texts]
-    if len(memo) > _MEMO_PIECES or not apart:
-        memo.clear()
-    missing = list(set().union(*pieces) - memo.keys())
-    for x, e in zip(missing, tok.encode_batch_fast(missing, add_special_tokens=False)):
-        memo[x] = np.array(e.ids, dtype="<u4").tobytes()
-    return [b"".join(map(memo.__getitem__, p)) for p in pieces]
+def token_bytes(texts: Sequence[str], path: str) -> list[bytes]:
+    """Each whole text's ids by the tokenizer in ``path``, as ``Encoder.encode`` gives them."""
+    return _encoder(path).encode(texts)
 
 
 def cut(n: int, window: int = WINDOW, grain: int = 512) -> list[tuple[int, int]]:
@@ -78,29 +147,28 @@ def _pieces(path: str, end_id: int, window: int, grain: int):
 
 
 def difference(sizes: Sequence[int], n: int) -> list[list[int]]:
-    """Karmarkar-Karp: indices of ``sizes`` in ``n`` windows with nearly equal sums."""
-    heap = []
-    for order, i in enumerate(sorted(range(len(sizes)), key=lambda i: -sizes[i])):
-        sums = np.zeros(n, dtype=np.int64)
-        sums[0] = sizes[i]
-        heap.append((-sizes[i], order, sums, [(i,)] + [None] * (n - 1)))  # fullest window first
-    heapq.heapify(heap)
+    """Karmarkar-Karp: indices of ``sizes`` in ``n`` windows with nearly equal sums.
+
+    A partial partition lists its windows that aren't empty as (sum, pieces), fullest first."""
+    heap = [(-k, order, [(k, (i,))]) for order, (k, i) in
+            enumerate(sorted(((k, i) for i, k in enumerate(sizes)), key=lambda x: (-x[0], x[1])))]
     order = len(heap)
     while len(heap) > 1:
-        _, _, s1, w1 = heapq.heappop(heap)
-        _, _, s2, w2 = heapq.heappop(heap)
-        sums = s1 + s2[::-1]
-        merged = [(a, b) if a and b else a or b for a, b in zip(w1, reversed(w2))]
-        by = np.argsort(-sums, kind="stable")
-        sums = sums[by]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), order, sums, [merged[k] for k in by]))
+        _, _, p = heapq.heappop(heap)
+        _, _, q = heapq.heappop(heap)
+        free_p, free_q = n - len(p), n - len(q)  # empty windows of either take the other's fullest as they are
+        met = [(a[0] + b[0], (a[1], b[1])) for a, b in zip(p[free_q:], reversed(q[free_p:]))]
+        merged = sorted(p[:free_q] + met + q[:free_p], key=_SUM, reverse=True)
+        least = merged[-1][0] if len(merged) == n else 0
+        heapq.heappush(heap, (least - merged[0][0], order, merged))
         order += 1
-    return [_indices(w) for w in heap[0][3]] if heap else [[] for _ in range(n)]
+    windows = [_indices(tree) for _, tree in heap[0][2]] if heap else []
+    return windows + [[] for _ in range(n - len(windows))]
 
 
-def _indices(tree) -> list[int]:
+def _indices(tree: tuple) -> list[int]:
     """Indices in a window's tree of pairs, in order of merging."""
-    out, todo = [], [tree] if tree else []
+    out, todo = [], [tree]
     while todo:
         x = todo.pop()
         if len(x) == 1:

@@ -19,12 +19,25 @@ def ids_of(text):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.lists(st.sampled_from([*"ab1é'.\n\t\xa0\x1c ́<|>sßΣ", " ", "  ", "<|endoftext|>", "'s", "ﬁ"]), max_size=40)
+@given(st.lists(st.sampled_from([*"ab1é'.\n\t\xa0\x1c ́<|>sßΣ", " ", "  ", "<|endoftext|>", "'s", "ﬁ", "Word", "ÉTÉ", "%%%", "İ"]), max_size=40)
        .map("".join))
 def test_ids_equal_the_librarys(text):
     assert np.frombuffer(pk.token_bytes([text], PATH)[0], "<u4").tolist() == ids_of(text)
 
 
+def test_ids_of_a_corpus_equal_the_librarys():
+    rng = random.Random(8)
+    parts = ["an", "TI", "é", "ß", "'s", "on", ",", "...", "'", "9", "<|", "startoftext|>", "|>", "\n", "İ", "ñ", "Û"]
+    texts = [" ".join("".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))) for _ in range(80))
+             for _ in range(300)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in pk.token_bytes(texts, PATH)]
+    assert got == [ids_of(t) for t in texts]
+    other = public_tokenizers.path("byte_bpe_50k.json")  # a tokenizer whose pieces can't be encoded apart
+    full = Tokenizer.from_file(other)
+    assert [np.frombuffer(x, "<u4").tolist() for x in pk.token_bytes(texts[:9], other)] == [
+        full.encode(t, add_special_tokens=False).ids for t in texts[:9]]
+
+
 def test_differencing():
     rng = random.Random(2)
     assert sorted(map(sorted, pk.difference([8, 7, 6, 5, 4], 2))) in ([[0, 1], [2, 3, 4]], [[0, 3], [1, 2, 4]], [[0, 4], [1, 2, 3]], [[0, 2], [1, 3, 4]])
