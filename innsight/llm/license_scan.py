@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, stored
 
 K = 3
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Diagonals so far apart still belong to one span: words put into or left out of a copy of a template.
 MAX_SHIFT = 3
@@ -63,31 +62,31 @@ TEMPLATES = BASE + NOTICES
 
 def words_of(text: Column) -> Column:
     """The text's words, in order."""
-    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BREAK), lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BREAK), "")
 
 
 def template_grams(spark: SparkSession, templates: Sequence[Template], k: int = K) -> DataFrame:
-    """(hash, gram, template, t): a row for each k-gram of each template; as many as the templates have words."""
+    """(hash, gram, template, t): a row for each k-gram of each template; as many as the templates have words. The
+    hash is one over the gram's words as k columns, as ``votes`` computes it."""
     rows = []
     for i, x in enumerate(templates):
         words = x.text.split()
         if len(words) < k:
             raise ValueError(f"a template needs {k} words: {x.text}")
-        rows += [(" ".join(words[t:t + k]), i, t) for t in range(len(words) - k + 1)]
-    grams = spark.createDataFrame(rows, "gram string, template int, t int")
-    return grams.withColumn("hash", F.xxhash64("gram"))
+        rows += [(words[t:t + k], i, t) for t in range(len(words) - k + 1)]
+    grams = spark.createDataFrame(rows, "gram array<string>, template int, t int")
+    return grams.withColumn("hash", F.xxhash64(*[F.get("gram", F.lit(j)) for j in range(k)]))
 
 
 def votes(docs: DataFrame, templates: Sequence[Template], k: int = K) -> DataFrame:
     """(doc_id, digest, template, p, t): the k-grams of ``docs`` (doc_id, digest, words) found in a template.
     The template side is a literal list and is broadcast; documents aren't shuffled."""
-    grams = F.transform(
-        F.sequence(F.lit(0), F.size("words") - k),
-        lambda i: F.xxhash64(F.concat_ws(" ", *[F.get("words", i + j) for j in range(k)])))
-    rolled = (docs.where(F.size("words") >= k)
-              .select("doc_id", "digest", "words", F.posexplode(grams).alias("p", "hash")))
-    found = rolled.join(F.broadcast(template_grams(docs.sparkSession, templates, k)), "hash")
-    same = F.concat_ws(" ", *[F.get("words", F.col("p") + j) for j in range(k)]) == F.col("gram")
+    rolled = (docs.select("doc_id", "digest", "words", F.posexplode("words").alias("p", "word"))
+              .where(F.col("p") <= F.size("words") - k))
+    words = [F.col("word"), *(F.get("words", F.col("p") + j) for j in range(1, k))]
+    found = (rolled.withColumn("hash", F.xxhash64(*words))
+             .join(F.broadcast(template_grams(docs.sparkSession, templates, k)), "hash"))
+    same = F.array(*words) == F.col("gram")
     return found.where(same).select("doc_id", "digest", "template", "p", "t").distinct()
 
 
@@ -142,8 +141,7 @@ def license_scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, n_b
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.sort_array(F.collect_set("label")), ",").alias("labels"),
         F.max("score").alias("score")))
-    rows = own.select("doc_id", "digest", F.regexp_count(ascii_lower(F.col("text")), F.lit(WORD)).cast("long")
-                      .alias("n_words"))
+    rows = own.select("doc_id", "digest", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     joined = rows.join(per_doc.withColumnsRenamed({"doc_id": "id", "digest": "found"}),
                        F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("found")), "left")
     return joined.select(

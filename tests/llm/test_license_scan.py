@@ -2,7 +2,7 @@ import re
 
 from innsight.llm import license_scan as ls
 
-WORD = re.compile(ls.WORD)
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 
