@@ -64,7 +64,7 @@ def count_tokens(texts: list[str], path: str) -> list[int]:
     for t in texts:
         first, *rest = _CUT.split(t)
         pieces.append([first, *[" " + x for x in rest]])
-    missing = list(set().union(*pieces) - memo.keys())
+    missing = list(set().union(*pieces).difference(memo))
     memo.update(zip(missing, (len(e.ids) for e in tok.encode_batch_fast(missing, add_special_tokens=False))))
     return [sum(map(memo.__getitem__, p)) for p in pieces]
 
