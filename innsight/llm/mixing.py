@@ -114,7 +114,9 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_passes: float = 2.0, cycle
     blocks = (dealt.withColumn("block", _block_no(F.col("n_blocks"), seed))
               .groupBy("source_no", "source", "source_size", "target", "n_blocks", "block")
               .agg(F.sum("size").alias("size")))
-    order = Window.partitionBy("source_no").orderBy(F.xxhash64(F.lit(f"order {seed}"), "source_no", "block"), "block")
+    # blocks without words come last and aren't drawn
+    order = Window.partitionBy("source_no").orderBy(
+        F.col("size") == 0, F.xxhash64(F.lit(f"order {seed}"), "source_no", "block"), "block")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("passes") * F.col("source_size")
     before = F.col("upto") - F.col("size")
@@ -123,10 +125,10 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_passes: float = 2.0, cycle
     ranked = stored(
         blocks.withColumn("place", F.row_number().over(order) - 1)
         .withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("present", F.count("*").over(Window.partitionBy("source_no")))
+        .withColumn("present", F.count_if(F.col("size") > 0).over(Window.partitionBy("source_no")))
         .withColumn("passes", passes.cast("long")).withColumn("portion", portion), "blocks")
     # a draw is a pass over a block; a source's draws are numbered pass by pass, in the order of its blocks
-    draws = ranked.select(
+    draws = ranked.where("size > 0").select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), "passes")).alias("pass")).select(
         "source_no", "block", F.when(F.col("pass") < F.col("passes"), 1.0).otherwise(F.col("portion")).alias("portion"),
         (F.col("pass") * F.col("present") + F.col("place")).alias("draw")).where("portion > 0")

@@ -91,6 +91,21 @@ def test_mixed_documents(docs_of):
     assert words == {d: n for d, n in report.items() if n}
 
 
+@pytest.mark.parametrize("n_texts, words, n_empty", [(1, 300_000, 30), (200, 5000, 40)])
+def test_wordless_blocks_lose_no_draws(docs_of, n_texts, words, n_empty):
+    """Few long documents beside many empty ones: every source reaches its target."""
+    rows = ([(i, "w " * words, "long") for i in range(n_texts)]
+            + [(1000 + i, None if i % 2 else " ", "long") for i in range(n_empty)]
+            + [(5000 + i, "w " * (words // 10), "other") for i in range(n_texts)])
+    docs = docs_of(rows)
+    taken, target = defaultdict(int), {}
+    source = {r[0]: r[2] for r in rows}
+    for r in mx.mix_report(docs).collect():
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    assert all(abs(taken[s] - target[s]) <= 0.001 * target[s] + 1 for s in target), (taken, target)
+
+
 def test_empty_and_wordless_tables(docs_of):
     assert mx.mix_report(docs_of([])).collect() == [] and mx.mix(docs_of([])).collect() == []
     got = mx.mix_report(docs_of([(1, None, "a"), (2, "", None)])).collect()
