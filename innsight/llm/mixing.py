@@ -2,8 +2,8 @@
 
 Sizes are words. Each source's target (words that the mix takes of it) comes from its weight; no target is above
 ``max_passes`` times the source. A source's documents are dealt to blocks by a hash of their id, and blocks have a
-random order. Whole passes take every block; the remainder takes blocks in that order until the target is met, the
-last one in part: each of its documents is cut to the same share.
+random order. Whole passes take every block; the remainder takes blocks in that order until the target is met. Of the
+last one documents are taken whole, in the order of a hash, and only the one at which the target is met is cut.
 
 Output shards draw the blocks without replacement. A binary tree over the shards splits the counts of blocks per
 source: a node holds exact counts, its left half gets a multivariate-hypergeometric draw of its share of them, the
@@ -88,20 +88,26 @@ def _block_no(n_blocks: Column, seed: int) -> Column:
                   n_blocks)
 
 
+def _sized_columns(id_col: str, source_col: str, text_col: str, seed: int) -> list[Column]:
+    """doc_id, source, size (words) and luck: the place of a document in a block that is taken in part."""
+    return [F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+            word_count(F.col(text_col)).alias("size"),
+            F.xxhash64(F.lit(f"cut {seed}"), F.col(id_col).cast("string"), F.col(text_col)).alias("luck")]
+
+
 def plan_mix(docs: DataFrame, share: float = 1.5, max_passes: float = 2.0, cycle: Sequence[float] = (3, 1, 2),
              block_words: int = 1000, blocks_per_source: int = 256, n_shards: int = 64, seed: int = 11,
              id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(source, n_blocks, block, source_size, target, takes): one row for each block that holds a document.
+    """(source, n_blocks, block, source_size, target, takes, cut): one row for each block that holds a document.
 
-    ``takes`` lists the block's draws as (shard, portion): portion 1.0 takes documents whole, less cuts each to
-    that share. A source has up to ``blocks_per_source`` blocks, fewer where they would hold under ``block_words``
+    ``takes`` lists the block's draws as (shard, whole). A draw that isn't whole takes the block's documents by
+    (luck, size) up to ``cut``: (luck, size, alike, copies, words), the document at which the target is met. Of
+    ``alike`` documents of that luck and size ``copies`` stay whole and the next keeps ``words`` words. A source has up to ``blocks_per_source`` blocks, fewer where they would hold under ``block_words``
     words, so the plan's size follows the number of sources, not that of documents. A block is a hash bucket;
-    its documents are never gathered."""
+    its documents are never gathered, and only those of a source's last block are put in order, by their sizes."""
     spark = docs.sparkSession
     ship(spark)
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        word_count(F.col(text_col)).alias("size"))
-    sized = stored(sized, "sizes")
+    sized = stored(docs.select(*_sized_columns(id_col, source_col, text_col, seed)), "sizes")
     totals = dict(_source_totals(sized))
     goals = targets(totals, default_weights(list(totals), cycle), share, max_passes)
     names = sorted((n for n in totals if n is not None)) + [None] * (None in totals)
@@ -120,18 +126,18 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_passes: float = 2.0, cycle
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("passes") * F.col("source_size")
     before = F.col("upto") - F.col("size")
-    portion = (F.when(F.col("size") == 0, 0.0)
-               .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), (rest - before) / F.col("size")))))
+    # words that the last pass takes of the block
+    left = F.least(F.col("size").cast("double"), F.greatest(F.lit(0.0), rest - before))
     ranked = stored(
         blocks.withColumn("place", F.row_number().over(order) - 1)
         .withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("present", F.count_if(F.col("size") > 0).over(Window.partitionBy("source_no")))
-        .withColumn("passes", passes.cast("long")).withColumn("portion", portion), "blocks")
+        .withColumn("passes", passes.cast("long")).withColumn("left", left), "blocks")
     # a draw is a pass over a block; a source's draws are numbered pass by pass, in the order of its blocks
     draws = ranked.where("size > 0").select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), "passes")).alias("pass")).select(
-        "source_no", "block", F.when(F.col("pass") < F.col("passes"), 1.0).otherwise(F.col("portion")).alias("portion"),
-        (F.col("pass") * F.col("present") + F.col("place")).alias("draw")).where("portion > 0")
+        "source_no", "block", ((F.col("pass") < F.col("passes")) | (F.col("left") >= F.col("size"))).alias("whole"),
+        (F.col("pass") * F.col("present") + F.col("place")).alias("draw"), "left").where("whole or left > 0")
     counts = [0] * len(names)
     for r in draws.groupBy("source_no").agg(F.count("*").alias("n")).collect():  # one row per source
         counts[r["source_no"]] = r["n"]
@@ -140,25 +146,51 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_passes: float = 2.0, cycle
               .where("number > 0")
               .select("shard", "source_no", F.explode(F.expr("sequence(first, first + number - 1)")).alias("draw")))
     drawn = (draws.join(leaves, ["source_no", "draw"]).groupBy("source_no", "block")
-             .agg(F.sort_array(F.collect_list(F.struct("shard", "portion"))).alias("takes")))  # at most 3 each
-    return (ranked.join(drawn, ["source_no", "block"], "left")
+             .agg(F.sort_array(F.collect_list(F.struct("shard", "whole"))).alias("takes")))  # at most 3 each
+    # a source has one block at most that is taken in part
+    parts = ranked.where("left > 0 and left < size").select("source_no", "block", "left")
+    upto = F.sum(F.col("size") * F.col("alike")).over(
+        Window.partitionBy("source_no").orderBy("luck", "size").rowsBetween(Window.unboundedPreceding, 0))
+    over = F.col("left") - (F.col("upto") - F.col("size") * F.col("alike"))
+    copies = F.least(F.floor(over / F.col("size")), F.col("alike") - 1)
+    cuts = (dealt.withColumn("block", _block_no(F.col("n_blocks"), seed)).where("size > 0")
+            .join(F.broadcast(parts), ["source_no", "block"])
+            .groupBy("source_no", "block", "left", "luck", "size").agg(F.count("*").alias("alike"))
+            .withColumn("upto", upto).withColumn("over", over).where("over > 0 and upto >= left")
+            .select("source_no", "block", F.struct(
+                "luck", "size", "alike", copies.alias("copies"),
+                F.round(F.col("over") - copies * F.col("size")).cast("long").alias("words")).alias("cut")))
+    return (ranked.join(drawn, ["source_no", "block"], "left").join(cuts, ["source_no", "block"], "left")
             .select("source", "n_blocks", "block", "source_size", "target",
-                    F.coalesce("takes", F.array().cast("array<struct<shard: bigint, portion: double>>"))
-                    .alias("takes")))
+                    F.coalesce("takes", F.array().cast("array<struct<shard: bigint, whole: boolean>>"))
+                    .alias("takes"), "cut"))
 
 
 def _with_takes(docs: DataFrame, plan: DataFrame, seed: int, id_col: str, source_col: str) -> DataFrame:
-    """``docs`` (a struct column ``row``, doc_id, source and size) with their block's plan."""
+    """``docs`` (doc_id, source, size, luck and others) with their block's plan, and ``part``: the words that a
+    draw takes which isn't whole."""
     sources = plan.select(F.col("source").alias("name"), "n_blocks").distinct()
     keyed = (docs.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("name")))  # one row per source
              .withColumn("block", _block_no(F.col("n_blocks"), seed)).drop("name", "n_blocks"))
     p = plan.select(F.col("source").alias("plan_source"), F.col("block").alias("plan_block"), "source_size",
-                    "target", "takes")
-    return keyed.join(p, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("block") == F.col("plan_block")))
-
-
-def _words(portion: Column) -> Column:
-    return F.round(portion * F.col("size")).cast("long")
+                    "target", "takes", "cut")
+    dealt = keyed.join(p, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("block") == F.col("plan_block")))
+    here, last = F.struct("luck", "size"), F.struct("cut.luck", "cut.size")
+    part = F.when(here < last, F.col("size")).when(here == last, F.col("cut.words")).otherwise(0)
+    if plan.where("cut.alike > 1").isEmpty():
+        return dealt.withColumn("part", part)
+    # documents that can't be told apart, where the target is met among them: they are counted off
+    tied = F.coalesce((here == last) & (F.col("cut.alike") > 1), F.lit(False))
+    nth = F.row_number().over(Window.partitionBy("source").orderBy("luck")) - 1
+    counted = (dealt.where(tied).withColumn("nth", nth)
+               .withColumn("part", F.when(F.col("nth") < F.col("cut.copies"), F.col("size"))
+                           .when(F.col("nth") == F.col("cut.copies"), F.col("cut.words")).otherwise(0))
+               .drop("nth"))
+    return dealt.where(~tied).withColumn("part", part).unionByName(counted)
+
+
+def _words(take: Column) -> Column:
+    return F.when(take["whole"], F.col("size")).otherwise(F.col("part"))
 
 
 def mix_report(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_col: str = "source",
@@ -169,10 +201,8 @@ def mix_report(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_c
     block. An empty table gives an empty result; columns other than id, source and text are not read."""
     plan = stored(plan_mix(docs, seed=seed, id_col=id_col, source_col=source_col, text_col=text_col, **settings),
                   "mix")
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        word_count(F.col(text_col)).alias("size"))
-    taken = F.aggregate("takes", F.lit(0).cast("long"), lambda n, x: n + _words(x["portion"]))
-    return _with_takes(sized, plan, seed, id_col, source_col).select(
+    taken = F.aggregate("takes", F.lit(0).cast("long"), lambda n, x: n + _words(x))
+    return _with_takes(docs.select(*_sized_columns(id_col, source_col, text_col, seed)), plan, seed, id_col, source_col).select(
         "doc_id", "size", "source_size", "target", taken.alias("taken"),
         F.col("takes.shard").alias("shards"))
 
@@ -192,12 +222,11 @@ def mix(docs: DataFrame, seed: int = 11, n_shards: int = 64, id_col: str = "doc_
     if ``length_col`` is named, its length there. Documents that the mix doesn't take, and those without words, go."""
     plan = stored(plan_mix(docs, seed=seed, n_shards=n_shards, id_col=id_col, source_col=source_col,
                            text_col=text_col, **settings), "mix")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
-        "row", F.col(f"row.{id_col}").alias("doc_id"), F.col(f"row.{source_col}").alias("source"),
-        word_count(F.col(f"row.{text_col}")).alias("size"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", *_sized_columns(f"row.{id_col}", f"row.{source_col}", f"row.{text_col}", seed))
     taken = (_with_takes(rows, plan, seed, id_col, source_col)
-             .select("row", "doc_id", "size", F.posexplode("takes").alias("copy", "take"))
-             .withColumn("words", _words(F.col("take.portion"))).where("words > 0"))
+             .select("row", "doc_id", "size", "part", F.posexplode("takes").alias("copy", "take"))
+             .withColumn("words", _words(F.col("take"))).where("words > 0"))
 
     @F.pandas_udf("string")
     def first_words(texts: pd.Series, n: pd.Series) -> pd.Series:

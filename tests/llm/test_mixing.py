@@ -76,6 +76,25 @@ def test_reruns_agree_in_any_order_and_partitioning(docs_of):
     assert key(mx.mix_report(docs)) == key(mx.mix_report(docs.repartition(7).sortWithinPartitions("text")))
 
 
+def test_one_document_a_source_is_cut(docs_of):
+    """Documents are taken whole up to the target; copies that can't be told apart are counted off."""
+    rows = ([(i, f"w{i} " * (i % 40 + 1), "big") for i in range(600)] + [(1000 + i, "w x " * 5, "mid") for i in range(60)]
+            + [(None, "a b c d e f g", "alike")] * 3000)
+    docs = docs_of(rows)
+    texts = {(r[0], r[1]) for r in rows}
+    cut, taken = defaultdict(int), defaultdict(int)
+    for r in mx.mix(docs).collect():
+        cut[r.source] += (r.doc_id, r.text) not in texts
+        taken[r.source] += len(W.findall(r.text))
+    target, report = {}, defaultdict(int)
+    source = {r[0]: r[2] for r in rows}
+    for r in mx.mix_report(docs).collect():
+        target[source[r.doc_id]] = r.target
+        report[source[r.doc_id]] += r.taken
+    assert max(cut.values()) <= 1 and taken == report, cut
+    assert all(abs(taken[s] - target[s]) <= 1 for s in target), (taken, target)
+
+
 def test_mixed_documents(docs_of):
     docs = docs_of(ROWS)
     report = defaultdict(int)
