@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from innsight.llm import ann
@@ -79,3 +80,24 @@ def test_query_recall(spark):
     want = brute(rows)
     assert got.keys() == want.keys() and all(len(x) == 20 for x in got.values())
     assert recall(got, want) >= 0.9
+
+
+def test_a_vector_at_the_kth_distance_has_collided_at_the_stop():
+    from statistics import NormalDist
+
+    s = ann.Settings()
+    p = 2 * NormalDist().cdf(ann._normal_quantile(0.5 + s.threshold / s.projections / 2) / s.stop) - 1
+    assert sum(math.comb(s.projections, i) * p ** i * (1 - p) ** (s.projections - i)
+               for i in range(s.threshold, s.projections + 1)) >= 0.95
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_recall_on_small_tables(spark, sf):
+    from innsight.llm.queries import op8_nearest_neighbours, table
+
+    d = f"/root/testdata/{sf}"
+    want = brute([(r.vec_id, r.embedding) for r in table(spark, d, "embeddings").collect()])
+    got = {}
+    for r in op8_nearest_neighbours(spark, d).collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    assert got.keys() == want.keys() and recall(got, want) >= 0.95
