@@ -51,7 +51,7 @@ def latest_live_date(status_changes: DataFrame) -> DataFrame:
     latest = live.groupBy("property_code").agg(F.max("changed_at").alias("changed_at"))
     rows = live.select("property_code", "changed_at", "old_status").alias("l")
     tied = (rows.join(latest.alias("m"), F.col("l.property_code").eqNullSafe(F.col("m.property_code"))
-                      & (F.col("l.changed_at") == F.col("m.changed_at")), "left_semi")
+                      & F.col("l.changed_at").eqNullSafe(F.col("m.changed_at")), "left_semi")
             .groupBy("property_code", "changed_at").agg(F.max("old_status").alias("old_status")))
     return tied.select("property_code", "old_status", F.lit("Live").alias("new_status"),
                        F.to_date("changed_at").alias("live_date"))

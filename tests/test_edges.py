@@ -259,6 +259,24 @@ def test_latest_live_date_tie_is_deterministic(spark):
     assert out == [("P1", "On Hold", "Live", D(2024, 1, 5))]
 
 
+def test_latest_rows_with_null_times_are_kept(spark):
+    from innsight.operators.policy import active_policies
+
+    t = dt.datetime(2024, 1, 5, 10, 0)
+    rows = [("P1", "Blocked", "Live", None), ("P1", "On Hold", "Live", None), ("P2", "Active", "Live", t),
+            ("P2", "Blocked", "Live", None), (None, "Active", "Live", None)]
+    df = spark.createDataFrame(rows, "property_code string, old_status string, new_status string, "
+                                     "changed_at timestamp_ntz")
+    out = {r.property_code: (r.old_status, r.live_date) for r in latest_live_date(df).collect()}
+    assert out == {"P1": ("On Hold", None), "P2": ("Active", D(2024, 1, 5)), None: ("Active", None)}
+    rows = [(1, None, 1, "a"), (1, None, 2, "b"), (2, t, 1, "c"), (2, None, 2, "d"), (None, None, 1, "e")]
+    df = spark.createDataFrame([(*r, P.policy_id, 1, 0, 99_999_999, "209901") for r in rows],
+                               "hotel_id int, updated_at timestamp_ntz, policy_row int, metadata string, "
+                               "policy_id int, status int, start_day int, end_day int, inserted_at string")
+    out = {r.hotel_id: (r.policy_row, r.metadata, r.updated_at) for r in active_policies(df, P).collect()}
+    assert out == {1: (2, "b", None), 2: (1, "c", t), None: (1, "e", None)}
+
+
 def test_zero_fill_numbers_and_text(spark):
     df = spark.createDataFrame([(None, None, None, D(2020, 1, 1))], "a bigint, b double, s string, d date")
     r = zero_fill(df).first()
