@@ -1,6 +1,7 @@
 import hashlib
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -114,3 +115,24 @@ def test_main_path_runs_no_python(spark):
 
     plan = op3_chat_formatting(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_query_has_no_parser_limit(spark):
+    """Spark's JSON parser gives null above 20 million characters in a text or 128 MB in all."""
+    from innsight.llm.queries import op3_chat_formatting
+
+    plan = op3_chat_formatting(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString().lower()
+    assert "collect_list" in plan and "json" not in plan and "variant" not in plan
+
+
+def test_structs_format_as_json_records_do(spark):
+    rows = [(1, 2, "gpt", "b<|im_end|>"), (1, None, "human", None), (1, 0, None, "x\n"), (None, 1, "a%\nb", ""), (3, 1, "bot", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(cf.format_conversations(turns)) == key(cf.format_chats(cf.conversation_records(turns)))
+
+
+def test_a_long_record_that_is_not_parsed_is_an_error(spark):
+    text = F.concat(F.lit('{"prompt": "'), F.repeat(F.lit("a"), 20_100_000), F.lit('", "completion": "b"}'))
+    with pytest.raises(Exception, match="bytes can't be parsed"):
+        cf.format_chats(spark.range(1).select("id", text.alias("record"))).select("layout", F.length("formatted")).collect()
