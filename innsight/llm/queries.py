@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, chat_format, html_extract, license_scan, mixing, packing, quality_rules, simhash_dedup,
-               token_counts, toxicity)
+from . import (ann, centroid_clustering, chat_format, decontamination, html_extract, license_scan, mixing, packing,
+               quality_rules, simhash_dedup, spelling, token_counts, toxicity)
 from .common import scratch
 
 
@@ -67,6 +67,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), thin=97)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
@@ -90,4 +102,4 @@ def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_chat_formatting, op4_license_scan, op5_quality_rules,
                             op6_simhash_dedup, op7_source_mixing, op8_nearest_neighbours, op9_html_extraction,
-                            op10_packing)}
+                            op10_packing, op11_spelling_variants, op12_decontamination, op13_centroid_clustering)}

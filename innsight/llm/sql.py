@@ -100,4 +100,67 @@ FROM docs LEFT JOIN found USING (r)
 """
 
 
-ORACLE_SQL = {"op4_license_scan": _op4(), "op3_chat_formatting": _OP3, "op5_quality_rules": _OP5}
+_OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p + 1:p + least(10, len(w))], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(len(w) - least(10, len(w)) + 1)) AS p FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT r, p, n, array_to_string(w[p + 1:p + n], ' ') AS gram
+  FROM (SELECT r, w, unnest(range(len(w))) AS p FROM docs) CROSS JOIN (SELECT DISTINCT n FROM windows)
+  WHERE p + n <= len(w)),
+hits AS (SELECT r, p, n, item_id FROM places JOIN windows USING (n, gram)),
+words AS (SELECT r, count(DISTINCT p + k) AS n_hit FROM hits, range(10) AS x(k) WHERE k < n GROUP BY r),
+found AS (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL),
+listed AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM found GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN listed USING (r)
+"""
+
+
+def _op13(k: int = 16, rounds: int = 3) -> str:
+    """Lloyd's rounds as one pair of relations each, all distances computed."""
+    parts = [rf"""
+WITH x AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS e FROM embeddings),
+rows AS MATERIALIZED (
+  SELECT r, vec_id, list_transform(e, lambda c: CAST(floor(64 * c) AS BIGINT)) AS v FROM x
+  WHERE len(e) = 64 AND len(list_filter(e, lambda c: c IS NOT NULL AND isfinite(c))) = 64),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), v) - 1 AS c, v AS centre FROM rows
+  QUALIFY c < {k})"""]
+    near = """
+a{0} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT r, c, CAST(list_sum(list_transform(list_zip(v, centre), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)
+      AS d FROM rows, c{0})
+  GROUP BY r)"""
+    move = """
+m{0} AS (
+  SELECT c, j, (s - ((s % n) + n) % n) // n AS y FROM (
+    SELECT c, j, sum(y) AS s, count(*) AS n
+    FROM (SELECT r, unnest(v) AS y, generate_subscripts(v, 1) AS j FROM rows) JOIN a{0} USING (r) GROUP BY c, j)),
+c{1} AS MATERIALIZED (
+  SELECT c, coalesce(moved, centre) AS centre
+  FROM c{0} LEFT JOIN (SELECT c, list(CAST(y AS BIGINT) ORDER BY j) AS moved FROM m{0} GROUP BY c) USING (c))"""
+    for i in range(rounds):
+        parts += [near.format(i), move.format(i, i + 1)]
+    parts.append(near.format(rounds))
+    return ",".join(parts) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(centre, ',')) AS centroid_sha256
+FROM rows JOIN a{rounds} USING (r) JOIN c{rounds} USING (c)
+"""
+
+
+ORACLE_SQL = {"op4_license_scan": _op4(), "op3_chat_formatting": _OP3, "op5_quality_rules": _OP5,
+              "op12_decontamination": _OP12, "op13_centroid_clustering": _op13()}

@@ -1,0 +1,112 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from innsight.llm import centroid_clustering as cc
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, k=16, rounds=3, dim=64):
+    kept = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda r: (hashlib.sha256(f"1:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centres = [v for _, v in order[:k]]
+
+    def place(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centres))
+
+    for _ in range(rounds):
+        members = {}
+        for _, v in kept:
+            members.setdefault(place(v)[1], []).append(v)
+        for j, vs in members.items():
+            centres[j] = [sum(x) // len(vs) for x in zip(*vs)]
+    final = [(i, *place(v)) for i, v in kept]
+    per = {}
+    for _, d, j in final:
+        per[j] = per.get(j, 0) + d
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return sorted(str((i, j, d, per[j], sum(per.values()), digest[j])) for i, d, j in final)
+
+
+def got(df):
+    return sorted(str((r.vec_id, r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid_sha256)) for r in df.collect())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(*[st.integers(-3, 3)] * 3), min_size=1, max_size=40), st.integers(1, 30))
+def test_tree_search_equals_all_distances(points, k):
+    """Small integer grids: many equal distances and equal centroids; ties go to the smaller number."""
+    centres, vectors = np.array(points[:k]), np.array(points)
+    which, distance, _ = cc.nearest(cc.build_tree(centres), vectors)
+    every = ((vectors[:, None, :] - centres[None]) ** 2).sum(2)
+    assert which.tolist() == every.argmin(1).tolist() and distance.tolist() == every.min(1).tolist()
+
+
+def test_tree_prunes():
+    rng = np.random.default_rng(1)
+    centres = rng.integers(-1000, 1000, (400, 2))
+    vectors = rng.integers(-1000, 1000, (3000, 2))
+    which, distance, computed = cc.nearest(cc.build_tree(centres), vectors)
+    every = ((vectors[:, None, :] - centres[None]) ** 2).sum(2)
+    assert which.tolist() == every.argmin(1).tolist() and distance.tolist() == every.min(1).tolist()
+    assert computed < 0.3 * every.size
+
+
+def test_large_components_are_exact():
+    top = cc.LIMIT - 1
+    centres = np.array([[top] * 64, [top] * 63 + [top - 1], [-top] * 64])
+    which, distance, _ = cc.nearest(cc.build_tree(centres), np.array([[top] * 63 + [top - 1], [-top] * 64, [top] * 64]))
+    assert which.tolist() == [1, 2, 0] and distance.tolist() == [0, 0, 0]
+
+
+def vectors_of(spark, rows):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    for c in ("v", "x", "cluster", "distance", "n"):
+        df = df.withColumn(c, F.lit("clash"))
+    return df
+
+
+def sample(n, seed=2, levels=5):
+    rng = np.random.default_rng(seed)
+    return [(i, (rng.integers(-levels, levels, 64) / 64 + 0.004).tolist()) for i in range(n)]
+
+
+def test_edges_equal_brute_force(spark):
+    rows = sample(120) + [(500, None), (501, []), (502, [0.5] * 63), (503, [0.5] * 63 + [None]),
+                          (504, [float("nan")] + [0.1] * 63), (505, [float("inf")] + [0.1] * 63), (506, [0.0] * 64),
+                          (None, [0.25] * 64), (7, [0.3] * 64), (7, [0.3] * 64), (2**60 + 1, [-0.3] * 64)]
+    rows += [(600 + i, [0.3] * 64) for i in range(30)]  # copies, so that centroids may be equal or empty
+    assert got(cc.clusters(vectors_of(spark, rows))) == brute(rows)
+
+
+def test_few_and_no_vectors(spark):
+    rows = sample(5)
+    assert got(cc.clusters(vectors_of(spark, rows))) == brute(rows)
+    assert cc.clusters(vectors_of(spark, [])).collect() == []
+    assert cc.clusters(vectors_of(spark, [(1, None), (2, [0.1])])).collect() == []
+    assert cc.clusters(vectors_of(spark, [])).dtypes == cc.clusters(vectors_of(spark, rows)).dtypes
+
+
+def test_too_large_components_are_an_error(spark):
+    with pytest.raises(Exception, match="too large"):
+        cc.clusters(vectors_of(spark, [(1, [1e30] * 64)])).collect()
+
+
+def test_query_against_sql_and_brute_force(spark):
+    from innsight.llm.queries import QUERIES, table
+    from innsight.llm.sql import ORACLE_SQL
+    from innsight.oracle.compare import compare, duckdb_connection
+
+    d, name = "/root/testdata/sf0.01", "op13_centroid_clustering"
+    df = QUERIES[name](spark, d)
+    found = compare(name, df, duckdb_connection(d), ORACLE_SQL[name])
+    assert found.ok, str(found)
+    assert got(df) == brute([(r.vec_id, r.embedding) for r in table(spark, d, "embeddings").collect()])
