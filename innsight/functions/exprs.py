@@ -90,9 +90,9 @@ def json_text(doc: str | Column, path: str) -> Column:
     return F.get_json_object(col(doc), path)
 
 
-def json_int(doc: str | Column, path: str) -> Column:
-    """Scalar at ``path`` as an integer: numbers with decimals are rounded, text that is no number gives NULL."""
-    return F.round(json_text(doc, path).try_cast("double")).try_cast("int")
+def whole_number(text: str | Column) -> Column:
+    """Text as an integer: numbers with decimals are rounded, text that is no number gives NULL."""
+    return F.round(col(text).try_cast("double")).try_cast("int")
 
 
 def json_has_path(doc: str | Column, path: str) -> Column:

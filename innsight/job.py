@@ -30,7 +30,7 @@ def run_report(sources, params: ReportParams, out: str, channel: str = "Walk In"
                cut_lineage: bool = False, publish: str | None = None,
                channels: tuple[str, ...] | None = None, ordered: bool = False) -> tuple[str, ...]:
     """Write ``<out>/wide`` and ``<out>/narrow`` (CSV, header, ``NA`` for NULL, replacing earlier content);
-    with ``publish``, also replace that location with the zero-filled narrow report."""
+    with ``publish``, also make the zero-filled narrow report that location's current version."""
     check_sources(sources)
     channels = (*(channels or known_channels(sources.source_enums)), channel)
     # the report is evaluated once, into the shared folder; both files are written from there
@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--taxes-on-bookings", action="store_true",
                     help="tax documents are a column of the raw bookings, not a table")
     ap.add_argument("--shuffle-bytes", type=int, help="size of the largest shuffle, to set partitions by")
-    ap.add_argument("--publish", help="also replace this location with the zero-filled narrow report")
+    ap.add_argument("--publish", help="also publish the zero-filled narrow report there, as the location's current version")
     ap.add_argument("--set", action="append", default=[], metavar="NAME=VALUE",
                     help="override a report parameter (see innsight.params.ReportParams)")
     args = ap.parse_args(argv)

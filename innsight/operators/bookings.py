@@ -49,8 +49,13 @@ def stay_nights(bookings: DataFrame, start: dt.date, end: dt.date, date_col: str
     out = overlapping.withColumn(date_col, F.explode(nights))
     if calendar is None:
         return out
-    days = calendar.filter(F.col("d").between(lo, hi)).select(F.col("d").alias(date_col)).distinct()
-    return out.join(F.broadcast(days), date_col, "left_semi")
+    return out.join(F.broadcast(calendar_days(calendar, start, end, date_col)), date_col, "left_semi")
+
+
+def calendar_days(calendar: DataFrame, start: dt.date, end: dt.date, date_col: str = "date") -> DataFrame:
+    """The distinct dates of a calendar inside the window: at most one row per window day."""
+    return (calendar.filter(F.col("d").between(F.lit(start), F.lit(end)))
+            .select(F.col("d").alias(date_col)).distinct())
 
 
 def attach_property(bookings: DataFrame, properties: DataFrame, columns: tuple[str, ...] = ("property_code",)

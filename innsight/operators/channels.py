@@ -106,14 +106,6 @@ def known_channels(source_enums: DataFrame) -> tuple[str, ...]:
     return with_unlisted([*fixed, *sorted(labels.difference(fixed))])
 
 
-def routed_channel(channel: str | Column, channels: Sequence[str], null_label: str | None) -> Column:
-    """Channel label as pivoted: NULL -> ``null_label``; a label outside ``channels`` -> the unlisted bucket."""
-    c = F.col(channel) if isinstance(channel, str) else channel
-    if null_label is not None:
-        c = F.coalesce(c, F.lit(null_label))
-    return F.when(c.isin(*channels), c).otherwise(F.lit(R.UNLISTED_CHANNEL))
-
-
 def sql_name(name: str) -> str:
     """Quoted SQL identifier."""
     return "`" + name.replace("`", "``") + "`"
@@ -124,18 +116,49 @@ def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def pivot_aggs(channel: str, channels: Sequence[str], measures: Sequence[str],
-               skip: frozenset[str] = frozenset()) -> list[Column]:
-    """One conditional sum per (channel, measure), named ``<channel>_<measure>``, 0 when absent.
-
-    Equivalent to ``groupBy(keys).pivot(channel, channels).agg(sum(m) ...)`` followed by a zero fill, written
-    as conditional sums so that totals and roll-ups can share the same aggregation (one shuffle). Names in
-    ``skip`` are left out. The expressions are given as SQL text: a report has a few hundred of them, and
-    one expression per call keeps building the plan cheap on the driver.
-    """
-    return [F.expr(f"sum(CASE WHEN {sql_name(channel)} = {sql_text(ch)} THEN {sql_name(m)} ELSE 0 END)"
-                   f" AS {sql_name(f'{ch}_{m}')}")
-            for ch in channels for m in measures if f"{ch}_{m}" not in skip]
+# Key of the NULL label in a channel map (map keys can't be NULL); no label has it.
+NULL_KEY = "\u0000"
+CHANNEL_MAP = "__channels"
+
+
+def pivot_state(channel: str, channels: Sequence[str], measures: Sequence[str], null_label: str) -> list[Column]:
+    """Aggregates that hold a pivot by channel: a map from each listed label to its measures, and the sums over all
+    labels that are not listed (NULL is listed if ``null_label`` is).
+
+    The rows are already one per key and label, so the map has at most one entry per listed label and no sum is kept
+    for every channel x measure. ``pivot_columns`` reads the pivot's columns from it."""
+    label = sql_name(channel)
+    listed = ", ".join(sql_text(c) for c in channels if c != R.UNLISTED_CHANNEL)
+    fields = ", ".join(f"{sql_text(m)}, {sql_name(m)}" for m in measures)
+    known = f"coalesce({label} IN ({listed}), {'true' if null_label in channels else 'false'})" if listed else "false"
+    entry = f"struct(coalesce({label}, {sql_text(NULL_KEY)}), named_struct({fields}))"
+    return [F.expr(f"map_from_entries(collect_list(CASE WHEN {known} THEN {entry} END)) AS {sql_name(CHANNEL_MAP)}"),
+            *[F.expr(f"sum(CASE WHEN {known} THEN 0 ELSE {sql_name(m)} END) AS "
+                     f"{sql_name(f'{R.UNLISTED_CHANNEL}_{m}')}") for m in measures]]
+
+
+def pivot_columns(df: DataFrame, channels: Sequence[str], measures: Sequence[str], null_label: str,
+                  skip: frozenset[str] = frozenset()) -> DataFrame:
+    """``df`` with :func:`pivot_state` aggregates as ``<channel>_<measure>`` columns, 0 when absent; ``null_label`` is
+    the column of the NULL label. Names in ``skip``, which other columns have, are left out.
+
+    Each label is looked up once per row. The expressions are given as SQL text: a report has a few hundred of them,
+    and one expression per call keeps building the plan cheap on the driver."""
+    listed = [c for c in channels if c != R.UNLISTED_CHANNEL]
+    state = sql_name(CHANNEL_MAP)
+    keep = [sql_name(c) for c in df.columns if c != CHANNEL_MAP]
+    found = df.selectExpr("*", *[f"try_element_at({state}, {sql_text(c)}) AS `__c{i}`" for i, c in enumerate(listed)],
+                          f"try_element_at({state}, {sql_text(NULL_KEY)}) AS `__c_null`")
+    columns = []
+    for i, c in enumerate(listed):
+        for m in measures:
+            if f"{c}_{m}" in skip:
+                continue
+            value = f"coalesce(`__c{i}`.{sql_name(m)}, 0)"
+            if c == null_label:
+                value += f" + coalesce(`__c_null`.{sql_name(m)}, 0)"
+            columns.append(f"{value} AS {sql_name(f'{c}_{m}')}")
+    return found.selectExpr(*keep, *columns)
 
 
 def group_names(group: str, measures: Sequence[tuple[str, str]]) -> frozenset[str]:

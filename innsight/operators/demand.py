@@ -10,6 +10,7 @@ from ..params import BOOKED_STATUSES, USED_STATUSES, ReportParams
 from .bookings import attach_property, bookable_bookings, recent_months, stay_nights, with_value
 from .channels import FULL_RULES, with_channel
 from .dims import eligible_properties
+from .intervals import sums_by_night
 from .taxes import exclusive_tax_by_booking
 
 TAX_WINDOWS = ("checkin", "checkout")
@@ -25,20 +26,21 @@ def demand_bookings(bookings: DataFrame, hotel_dim: DataFrame, online_travel_age
 def demand_channels_seen(demand_bookings_df: DataFrame, p: ReportParams, calendar: DataFrame | None = None
                          ) -> DataFrame:
     """Distinct channel labels of the demand rows (NULL as ``'0'``), taken from the bookings that have a night in
-    the window (on a date of ``calendar``): the same set as the channels of the per-channel rows, without tax."""
+    the window (on a date of ``calendar``): the same set as the channels of the per-channel rows, without tax.
+
+    Distinct (label, stay) rows come first, so each label's nights are looked at once per pair of days."""
     label = F.coalesce(F.col("booking_source"), F.lit("0")).alias("booking_source")
-    return stay_nights(demand_bookings_df.select(label, "checkin", "checkout"), p.window_start, p.window_end,
-                       calendar=calendar).select("booking_source").distinct()
+    stays = demand_bookings_df.select(label, "checkin", "checkout").distinct()
+    return stay_nights(stays, p.window_start, p.window_end, calendar=calendar).select("booking_source").distinct()
 
 
-def demand_nights(bookings: DataFrame, bookings_base: DataFrame, booking_taxes: DataFrame, hotel_dim: DataFrame,
-                  online_travel_agents: DataFrame, source_enums: DataFrame, p: ReportParams,
-                  calendar: DataFrame | None = None, taxes_on_bookings: bool = False) -> DataFrame:
-    """One row per stay night (on a date of ``calendar``, if given) of an eligible booking, with its channel and
-    per-night value and tax.
+def demand_stays(bookings: DataFrame, bookings_base: DataFrame, booking_taxes: DataFrame, hotel_dim: DataFrame,
+                 online_travel_agents: DataFrame, source_enums: DataFrame, p: ReportParams,
+                 taxes_on_bookings: bool = False) -> DataFrame:
+    """Eligible bookings with their channel and per-night value and tax.
 
-    All joins happen per booking, before the night expansion, and only the columns the aggregates need are
-    carried into it. Tax is looked up for both tax windows in one pass (``tax_checkin``, ``tax_checkout``).
+    All joins happen per booking, and only the columns the aggregates need are kept. Tax is looked up for both tax
+    windows in one pass (``tax_checkin``, ``tax_checkout``).
     """
     b = demand_bookings(bookings, hotel_dim, online_travel_agents, source_enums, p)
     # tax of older bookings is never used here, so the month floor prunes the tax path as well
@@ -46,26 +48,30 @@ def demand_nights(bookings: DataFrame, bookings_base: DataFrame, booking_taxes:
                                     taxes_on_bookings)
            .withColumnsRenamed({f"tax_amount_{w}": f"tax_{w}" for w in TAX_WINDOWS}))
     b = with_value(b.join(tax, "id", "left"))
-    b = b.select("property_code", "booking_source", "status", "rooms", "checkin", "checkout",
-                 per_night(F.col("gmv"), F.col("r")).alias("gmv_night"),
-                 *[per_night(F.col(f"tax_{w}"), F.col("r")).alias(f"tax_{w}_night") for w in TAX_WINDOWS])
-    return stay_nights(b, p.window_start, p.window_end, calendar=calendar)
-
+    return b.select("property_code", "booking_source", "status", "rooms", "checkin", "checkout",
+                    per_night(F.col("gmv"), F.col("r")).alias("gmv_night"),
+                    *[per_night(F.col(f"tax_{w}"), F.col("r")).alias(f"tax_{w}_night") for w in TAX_WINDOWS])
 
-def demand_by_channel(nights: DataFrame) -> DataFrame:
-    """Per ``(property_code, date, booking_source)``: urn, gmv_urn, brn, gmv_brn and the two tax sums.
 
-    Tax sums stay NULL when no night of the group had exclusive tax (zero-filled by the callers).
-    """
+def demand_measures() -> dict[str, Column]:
+    """What a stay adds to each night: urn, gmv_urn, brn, gmv_brn and the two taxes."""
     used = F.col("status").isin(*USED_STATUSES)
     booked = F.col("status").isin(*BOOKED_STATUSES)
-    return nights.groupBy("property_code", "date", "booking_source").agg(
-        F.sum(F.when(used, F.col("rooms")).otherwise(0)).alias("urn"),
-        F.sum(F.when(used, F.col("gmv_night")).otherwise(0)).alias("gmv_urn"),
-        F.sum(F.when(booked, F.col("rooms")).otherwise(0)).alias("brn"),
-        F.sum(F.when(booked, F.col("gmv_night")).otherwise(0)).alias("gmv_brn"),
-        *[F.sum(f"tax_{w}_night").alias(f"tax_{w}") for w in TAX_WINDOWS],
-    )
+    return {"urn": F.when(used, F.col("rooms")).otherwise(0), "gmv_urn": F.when(used, F.col("gmv_night")).otherwise(0),
+            "brn": F.when(booked, F.col("rooms")).otherwise(0),
+            "gmv_brn": F.when(booked, F.col("gmv_night")).otherwise(0),
+            **{f"tax_{w}": F.col(f"tax_{w}_night") for w in TAX_WINDOWS}}
+
+
+def demand_by_channel(stays: DataFrame, p: ReportParams, calendar: DataFrame | None = None) -> DataFrame:
+    """Per ``(property_code, date, booking_source)``: urn, gmv_urn, brn, gmv_brn and the two tax sums of the nights of
+    :func:`demand_stays` (on dates of ``calendar``, if given).
+
+    Values and taxes stay NULL when no stay of the night has any (zero-filled by the callers).
+    """
+    measures = demand_measures()
+    return sums_by_night(stays, ["property_code", "booking_source"], measures, p.window_start, p.window_end, calendar,
+                         nullable=[m for m in measures if m not in ("urn", "brn")])
 
 
 def demand_totals_aggs() -> list:

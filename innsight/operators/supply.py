@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import LIVE_HOTEL_STATUS, SUPPLY_HOTEL_STATUSES, ReportParams
@@ -43,18 +45,21 @@ def contracted_rooms(hotel_date_summary: DataFrame, hotel_dim: DataFrame, supply
 def latest_live_date(status_changes: DataFrame) -> DataFrame:
     """Latest change to status ``Live`` per property: ``(property_code, old_status, new_status, live_date)``.
 
-    The latest time per property is a hash aggregate with map-side partial results, so a property with a huge
-    history never lands whole in one task. The few rows of that time are joined back; the largest ``old_status``
-    breaks ties.
+    The largest ``old_status`` breaks ties; a property without any time keeps a row. See :func:`latest_per_key`.
     """
-    live = _live_changes(status_changes)
-    latest = live.groupBy("property_code").agg(F.max("changed_at").alias("changed_at"))
-    rows = live.select("property_code", "changed_at", "old_status").alias("l")
-    tied = (rows.join(latest.alias("m"), F.col("l.property_code").eqNullSafe(F.col("m.property_code"))
-                      & F.col("l.changed_at").eqNullSafe(F.col("m.changed_at")), "left_semi")
-            .groupBy("property_code", "changed_at").agg(F.max("old_status").alias("old_status")))
-    return tied.select("property_code", "old_status", F.lit("Live").alias("new_status"),
-                       F.to_date("changed_at").alias("live_date"))
+    latest = latest_per_key(_live_changes(status_changes).select("property_code", "changed_at", "old_status"),
+                            "property_code", ["changed_at", "old_status"])
+    return latest.select("property_code", "old_status", F.lit("Live").alias("new_status"),
+                         F.to_date("changed_at").alias("live_date"))
+
+
+def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The row of each key (NULL is one) that comes last by the columns of ``order``; NULLs come first in it.
+
+    One scan and one shuffle: a limit of one row per key is planned below the exchange as well (WindowGroupLimit), so
+    every map task hands on a single row per key, and a key with a huge history never lands whole in one task."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return df.withColumn("__nth", F.row_number().over(w)).filter(F.col("__nth") == 1).drop("__nth")
 
 
 def _live_changes(status_changes: DataFrame) -> DataFrame:

@@ -461,4 +461,10 @@ WHERE property_code IS NULL OR date IS NULL"""),
     "report_wide": report(),
     "report_narrow": narrow(),
     "report_csv_roundtrip": narrow(published=True),
+    "report_ordered_files": f"""SELECT property_code, date,
+  CAST(sum(count(*)) OVER (ORDER BY property_code, date) - count(*) AS BIGINT) AS first_position,
+  CAST(sum(count(*)) OVER (ORDER BY property_code, date) - 1 AS BIGINT) AS last_position, count(*) AS n_rows
+FROM ({narrow()}) GROUP BY property_code, date""",
+    "bookings_of_run_months": query("""SELECT inserted_at, count(*) AS n_bookings, CAST(sum(rooms) AS BIGINT) AS n_rooms
+FROM bookings WHERE inserted_at IN (SELECT strftime(date, '%Y%m') FROM open_days) GROUP BY inserted_at"""),
 }

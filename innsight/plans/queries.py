@@ -19,17 +19,20 @@ from ..operators.bookings import attach_property, bookable_bookings, recent_mont
 from ..operators.channels import FULL_RULES, REDUCED_RULES, labelled_agents, with_channel, with_channel_inputs
 from ..operators.demand import channel_demand, daily_demand
 from ..operators.dims import eligible_properties, property_attributes
-from ..operators.policy import (active_policies, active_restrictions, classified_policies, payment_policy_class,
-                                payment_types, policy_rows, restriction_class)
+from ..operators.policy import (active_policies, active_restrictions, classes_by_text, classified_policies,
+                                payment_class_of, payment_types, policy_rows, restriction_class_of)
 from ..operators.realization import realization_bookings, realization_nights
 from ..operators.reshape import measures_long
 from ..operators.supply import (contracted_rooms, corrected_srns, effective_live_date, first_booking,
                                 latest_live_date, supply_by_status, supply_rows)
 from ..operators.taxes import exclusive_tax_by_booking
 from ..params import DEFAULT_PARAMS, ReportParams
+from ..session import output_path
 from ..sources.fixtures import LodgingSources
+from ..sources.stored import store_by_month
 from . import report as rp
 from .checks import avg_daily_urn, grain_duplicates, null_key_counts
+from .ordered import file_positions, write_ordered_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 P: ReportParams = DEFAULT_PARAMS
@@ -257,13 +260,13 @@ def ota_labels(s):
 
 
 def q_payment_policy_class(s):
-    return s.hotel_policies.select("hotel_id", "policy_row",
-                                                     payment_policy_class("metadata").alias("payment_policy"))
+    return classes_by_text(s.hotel_policies.select("hotel_id", "policy_row", "metadata"), "metadata", "payment_policy",
+                           payment_class_of).drop("metadata")
 
 
 def q_restriction_class(s):
-    return s.hotel_restrictions.select(
-        "hotel_id", "restriction_id", "metadata", restriction_class("metadata").alias("restriction_class"))
+    return classes_by_text(s.hotel_restrictions.select("hotel_id", "restriction_id", "metadata"), "metadata",
+                           "restriction_class", restriction_class_of)
 
 
 def q_effective_payment_type(s):
@@ -320,6 +323,23 @@ def report_csv_roundtrip(s):
     return rp.report_csv_roundtrip(s.spark, rp.report_narrow(rp.report_wide(s, P)))
 
 
+def report_ordered_files(s):
+    """Where each (property, day) of the narrow report stands when its ordered files are read one after the other."""
+    path = output_path(s.spark, "report-ordered")
+    narrow = rp.report_narrow(rp.report_wide(s, P))
+    write_ordered_csv(narrow, path, (KEY, "date"), rows_per_file=1000)
+    placed = file_positions(s.spark, path, narrow.withColumn("live_date2", F.col("live_date2").cast("string")).schema)
+    return placed.groupBy(KEY, "date").agg(F.min("position").alias("first_position"),
+                                           F.max("position").alias("last_position"), F.count("*").alias("n_rows"))
+
+
+def bookings_of_run_months(s):
+    """Bookings per month, for the months of the run's window, read from a table partitioned by month: the months
+    come from the calendar at run time and prune the folders that are read (dynamic partition pruning)."""
+    return rp.bookings_of_months(store_by_month(s.bookings, output_path(s.spark, "bookings-by-month")),
+                                 rp.run_months(s.calendar, P))
+
+
 OPERATORS: dict[str, Callable[[LodgingSources], DataFrame]] = {
     "scan_property_dim": scan_property_dim,
     "scan_recent_months": scan_recent_months,
@@ -367,6 +387,8 @@ OPERATORS: dict[str, Callable[[LodgingSources], DataFrame]] = {
     "report_wide": report_wide,
     "report_narrow": report_narrow,
     "report_csv_roundtrip": report_csv_roundtrip,
+    "report_ordered_files": report_ordered_files,
+    "bookings_of_run_months": bookings_of_run_months,
 }
 
 

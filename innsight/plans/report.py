@@ -22,16 +22,18 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.exprs import label_lookup, zero_fill
-from ..operators.channels import (group_aggs, group_names, known_channels, pivot_aggs, routed_channel, sql_name,
-                                   with_unlisted)
-from ..operators.demand import (demand_bookings, demand_by_channel, demand_channels_seen, demand_nights,
-                                 demand_totals_aggs, used_value)
+from ..operators.channels import (group_aggs, group_names, known_channels, pivot_columns, pivot_state, sql_name,
+                                  with_unlisted)
+from ..operators.demand import (demand_bookings, demand_by_channel, demand_channels_seen, demand_stays,
+                                demand_totals_aggs, used_value)
 from ..operators.dims import attribute_rows, eligible_properties, exclude_keys
 from ..operators.policy import classified_policies, payment_types, policy_rows
-from ..operators.realization import realization_bookings, realization_by_channel, realization_nights
+from ..operators.realization import realization_bookings, realization_by_channel
 from ..operators.supply import corrected_srns, effective_live_date, first_booking, live_dates
 from ..params import SUPPLY_HOTEL_STATUSES, ReportParams
 from ..session import output_path, shared_dir
+from .ordered import write_ordered_csv
+from .publish import publish, read_published
 
 KEY = "property_code"
 
@@ -59,15 +61,28 @@ def supply_per_status(hotel_date_summary: DataFrame, p: ReportParams) -> DataFra
 
 
 def demand_by_channel_for(src, p: ReportParams) -> DataFrame:
-    return demand_by_channel(demand_nights(src.bookings, src.bookings_base, src.booking_taxes, src.hotel_dim,
-                                           src.online_travel_agents, src.source_enums, p, src.calendar,
-                                           getattr(src, "taxes_on_bookings", False)))
+    stays = demand_stays(src.bookings, src.bookings_base, src.booking_taxes, src.hotel_dim, src.online_travel_agents,
+                         src.source_enums, p, getattr(src, "taxes_on_bookings", False))
+    return demand_by_channel(stays, p, src.calendar)
 
 
 def realization_by_channel_for(src, p: ReportParams) -> DataFrame:
     b = realization_bookings(src.bookings_base, src.hotel_dim, src.online_travel_agents, src.source_enums,
                              src.clusters, src.cities, src.city_tz, p)
-    return realization_by_channel(realization_nights(b, p, src.calendar))
+    return realization_by_channel(b, p, src.calendar)
+
+
+def run_months(calendar: DataFrame, p: ReportParams) -> DataFrame:
+    """(inserted_at): the months (``yyyymm`` text) that the run's window has days in, a handful of rows."""
+    days = calendar.filter(F.col("d").between(F.lit(p.window_start), F.lit(p.window_end)))
+    return days.select(F.date_format("d", "yyyyMM").alias("inserted_at")).distinct()
+
+
+def bookings_of_months(bookings: DataFrame, months: DataFrame) -> DataFrame:
+    """(inserted_at, n_bookings, n_rooms) of the bookings of ``months``. On a table partitioned by month Spark prunes the
+    folders by the months that it finds when the query runs."""
+    return (bookings.join(F.broadcast(months), "inserted_at").groupBy("inserted_at")  # months of a window
+            .agg(F.count("*").alias("n_bookings"), F.sum("rooms").alias("n_rooms")))
 
 
 def _rollup_names(measures) -> frozenset[str]:
@@ -76,17 +91,17 @@ def _rollup_names(measures) -> frozenset[str]:
     return group_names("OTA", measures) | group_names("Growth", measures)
 
 
-def pivot_after_shuffle(rows: DataFrame) -> DataFrame:
-    """Hash the narrow per-channel rows on (property, day) before pivoting them.
+def pivot_after_shuffle(rows: DataFrame, placed: bool = False) -> DataFrame:
+    """Hash the narrow per-channel rows on (property, day) before pivoting them, unless they are ``placed`` so already.
 
-    Without it Spark would pre-aggregate the pivot map-side and shuffle one partial row per key carrying a
-    partial sum for every channel x measure (100+ columns), while a property-day has only a few channel rows.
-    The group-by on the same keys then needs no exchange of its own.
+    The group-by on the same keys then needs no exchange of its own, and only the narrow rows cross the network,
+    neither maps of them nor the pivot's columns.
     """
-    return rows.repartition(KEY, "date")
+    return rows if placed else rows.repartition(KEY, "date")
 
 
-def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: bool = True) -> DataFrame:
+def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: bool = True,
+                      placed: bool = False) -> DataFrame:
     """Per (property, day): totals, the channel pivot (``<channel>_<measure>``) and, with ``rollups``, the
     OTA / Growth demand roll-ups, in one aggregation over the per-channel rows. Roll-ups go by the booking's own
     label, whatever columns ``channels`` asks for."""
@@ -94,15 +109,15 @@ def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: b
     rows = by_channel.withColumns({
         "urn_gmv": used_value("tax_checkout"),
         "gmv_brn": F.coalesce(F.col("gmv_brn"), F.lit(0)),
-        "_ch": routed_channel("booking_source", chans, R.DEMAND_NULL_CHANNEL),
     })
-    ch = "_ch"
-    pivot = pivot_aggs(ch, chans, R.DEMAND_MEASURES, _rollup_names(DEMAND_ROLLUP) if rollups else frozenset())
-    groups = []
+    groups, rolled = [], frozenset()
     if rollups:
         groups = (group_aggs("booking_source", "OTA", R.OTA_GROUP, DEMAND_ROLLUP)
                   + group_aggs("booking_source", "Growth", R.GROWTH_GROUP, DEMAND_ROLLUP))
-    return pivot_after_shuffle(rows).groupBy(KEY, "date").agg(*demand_totals_aggs(), *pivot, *groups)
+        rolled = _rollup_names(DEMAND_ROLLUP)
+    state = pivot_after_shuffle(rows, placed).groupBy(KEY, "date").agg(
+        *demand_totals_aggs(), *pivot_state("booking_source", chans, R.DEMAND_MEASURES, R.DEMAND_NULL_CHANNEL), *groups)
+    return pivot_columns(state, chans, R.DEMAND_MEASURES, R.DEMAND_NULL_CHANNEL, rolled)
 
 
 def observed_demand_channels(src, p: ReportParams) -> DataFrame:
@@ -116,7 +131,7 @@ def observed_demand_channels(src, p: ReportParams) -> DataFrame:
 
 
 def cancellation_daily_wide(real_by_channel: DataFrame, observed_channels: DataFrame, channels: Sequence[str],
-                            rollups: bool = True) -> DataFrame:
+                            rollups: bool = True, placed: bool = False) -> DataFrame:
     """Per (property, day): cancellation / no-show pivot and the OTA / Growth roll-ups of them.
 
     OTA roll-ups count only channels that also occur in the demand rows (the report sums the columns of
@@ -128,15 +143,15 @@ def cancellation_daily_wide(real_by_channel: DataFrame, observed_channels: DataF
     # Broadcast so the per-channel rows are never hashed on a ~30-value key.
     observed = F.broadcast(observed_channels.select(F.col("booking_source").alias("_obs"),
                                                     F.lit(True).alias("_observed")))
-    rows = (real_by_channel.withColumn("_ch", routed_channel("booking_source", chans, R.REALIZATION_NULL_CHANNEL))
-            .join(observed, F.col("booking_source") == F.col("_obs"), "left"))
-    ch = "_ch"
-    pivot = pivot_aggs(ch, chans, R.CANCELLATION_MEASURES, _rollup_names(CANCEL_ROLLUP) if rollups else frozenset())
-    groups = []
+    rows = real_by_channel.join(observed, F.col("booking_source") == F.col("_obs"), "left")
+    groups, rolled = [], frozenset()
     if rollups:
         groups = (group_aggs("booking_source", "OTA", R.OTA_GROUP, CANCEL_ROLLUP, extra_cond="_observed")
                   + group_aggs("booking_source", "Growth", R.GROWTH_GROUP, CANCEL_ROLLUP))
-    return pivot_after_shuffle(rows).groupBy(KEY, "date").agg(*pivot, *groups)
+        rolled = _rollup_names(CANCEL_ROLLUP)
+    state = pivot_after_shuffle(rows, placed).groupBy(KEY, "date").agg(
+        *pivot_state("booking_source", chans, R.CANCELLATION_MEASURES, R.REALIZATION_NULL_CHANNEL), *groups)
+    return pivot_columns(state, chans, R.CANCELLATION_MEASURES, R.REALIZATION_NULL_CHANNEL, rolled)
 
 
 def report_column_kinds(channels: Sequence[str] = R.DEFAULT_CHANNELS) -> list[tuple[str, str]]:
@@ -186,7 +201,7 @@ def cut(df: DataFrame, enabled: bool) -> DataFrame:
 
 
 def report_wide(src, p: ReportParams, channels: Sequence[str] | None = R.DEFAULT_CHANNELS,
-                cut_lineage: bool = False) -> DataFrame:
+                cut_lineage: bool = False, aggregates=None) -> DataFrame:
     """One row per eligible property x day x property status with supply, demand, channel split,
     cancellations, roll-ups, contracted rooms, attributes, payment type, live date and status label.
 
@@ -195,10 +210,12 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] | None = R.DEFAULT
 
     With ``cut_lineage`` the three first-level aggregates (the only steps that read the large facts) are
     checkpointed first: they are small, and an executor lost afterwards then costs a re-read of them instead
-    of a re-scan and re-expansion of the bookings.
+    of a re-scan of the bookings. With ``aggregates`` (:class:`aggregates.Aggregates`, stored bucketed by property and
+    day) those are read in place of the facts, and the merges by (property, day) need no exchange.
     """
     channels = known_channels(src.source_enums) if channels is None else with_unlisted(channels)
-    per_status = cut(supply_per_status(src.hotel_date_summary, p), cut_lineage)
+    placed = aggregates is not None
+    per_status = aggregates.supply_per_status if placed else cut(supply_per_status(src.hotel_date_summary, p), cut_lineage)
     props = eligible_properties(src.hotel_dim, p).select(KEY)
     # Contracted rooms are the maximum over all statuses of a property-day: a window on the rows that are
     # already partitioned by (property, day), so supply and contracted rooms share one scan and one shuffle.
@@ -208,12 +225,13 @@ def report_wide(src, p: ReportParams, channels: Sequence[str] | None = R.DEFAULT
         .filter(F.col("hotel_status").isin(*SUPPLY_HOTEL_STATUSES)).join(props, KEY),
         KEY, p.excluded_codes).select(KEY, "date", "hotel_status", "srns", "total_contracted_rooms")
 
-    by_channel = cut(demand_by_channel_for(src, p), cut_lineage)
-    demand = demand_daily_wide(by_channel, channels)
+    by_channel = aggregates.demand_by_channel if placed else cut(demand_by_channel_for(src, p), cut_lineage)
+    demand = demand_daily_wide(by_channel, channels, placed=placed)
     # once the per-channel rows are stored, the labels are read from them
     observed = (by_channel.select(F.coalesce("booking_source", F.lit(R.DEMAND_NULL_CHANNEL)).alias("booking_source"))
-                .distinct() if cut_lineage else observed_demand_channels(src, p))
-    cancels = cancellation_daily_wide(cut(realization_by_channel_for(src, p), cut_lineage), observed, channels)
+                .distinct() if cut_lineage or placed else observed_demand_channels(src, p))
+    realized = aggregates.realization_by_channel if placed else cut(realization_by_channel_for(src, p), cut_lineage)
+    cancels = cancellation_daily_wide(realized, observed, channels, placed=placed)
 
     # Per-property columns. Everything below is left-joined onto the supply rows, so restricting these
     # sides to the supply codes first (as the standalone operators do) would only re-derive the supply fact:
@@ -258,9 +276,11 @@ def write_report_csv(df: DataFrame, path: str, ordered: bool = False) -> None:
     """CSV with header, ``NA`` for NULL, replacing earlier content.
 
     Files are sorted by (property, day) one by one. ``ordered`` sorts across files, as the original report file
-    is, at the price of a range shuffle of the output rows.
+    is, at the price of a range shuffle of the output rows (:mod:`ordered`).
     """
-    out = df.orderBy(KEY, "date") if ordered else df.sortWithinPartitions(KEY, "date")
+    if ordered:
+        return write_ordered_csv(df, path, (KEY, "date"))
+    out = df.sortWithinPartitions(KEY, "date")
     out.write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
 
 
@@ -275,10 +295,16 @@ def publishable(df: DataFrame) -> DataFrame:
 
 
 def publish_report(spark: SparkSession, written_path: str, schema, publish_path: str) -> DataFrame:
-    """The publishing step: re-read a written report, zero-fill it and fully replace ``publish_path`` with it."""
+    """The publishing step: re-read a written report, zero-fill it and make it the current version of
+    ``publish_path`` in one step (:mod:`publish`); :func:`read_published_report` reads it."""
     published = publishable(read_report_csv(spark, written_path, schema))
-    write_report_csv(published, publish_path)
-    return read_report_csv(spark, publish_path, published.schema)
+    publish(published, publish_path, write_report_csv)
+    return read_published_report(spark, publish_path, published.schema)
+
+
+def read_published_report(spark: SparkSession, publish_path: str, schema) -> DataFrame:
+    """The current version of a published report."""
+    return read_published(spark, publish_path, lambda s, folder: read_report_csv(s, folder, schema))
 
 
 def report_csv_roundtrip(spark: SparkSession, narrow: DataFrame, path: str | None = None) -> DataFrame:

@@ -79,5 +79,25 @@ def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        **runtime_filter_conf(),
+    }
+
+
+def runtime_filter_conf(scan_bytes: int = 1 << 30, build_bytes: int = 64 << 30, items: int = 64_000_000) -> dict[str, str]:
+    """Settings under which a Bloom filter over the smaller side's keys drops rows of the larger side before they are
+    shuffled: tax documents (and their parsing) are limited to bookings in the window.
+
+    It is built where the larger side's scan is over ``scan_bytes`` and the smaller side, which must be filtered, under
+    ``build_bytes``; it has eight bits for each of ``items`` keys, 64 MB by default, however large the data is. With
+    more keys it lets more rows through, which the join drops."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    return {
+        f"{prefix}.enabled": "true",
+        f"{prefix}.applicationSideScanSizeThreshold": str(scan_bytes),
+        f"{prefix}.creationSideThreshold": str(build_bytes),
+        f"{prefix}.expectedNumItems": str(items),
+        f"{prefix}.maxNumItems": str(items),
+        f"{prefix}.numBits": str(8 * items),
+        f"{prefix}.maxNumBits": str(8 * items),
     }
 

@@ -203,10 +203,11 @@ class LodgingSources:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        """Date spine over the booking dates; every eleventh day is missing, and so are its nights."""
-        b = self.bookings
-        return (b.agg(F.min("checkin").alias("lo"), F.max("checkout").alias("hi"))
-                .select(F.explode(F.sequence("lo", "hi")).alias("d")).where(F.unix_date("d") % 11 != 5))
+        """Date spine over the days that bookings can have, four to a nation; every eleventh day is missing, and so
+        are its nights. A calendar is a small table of its own, so it is never derived from the bookings."""
+        first = F.date_add(F.lit("1998-03-20").cast("date"), (4 * F.col("n_nationkey")).cast("int"))
+        days = self._read("nation", ["n_nationkey"]).select(F.explode(F.sequence(first, F.date_add(first, 3))).alias("d"))
+        return days.where(F.unix_date("d") % 11 != 5)
 
     # -- lookups --------------------------------------------------------------------------------------
     def _values(self, rows, schema: str) -> DataFrame:

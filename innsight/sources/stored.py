@@ -54,6 +54,12 @@ def store_sources(src, path: str) -> StoredSources:
     return StoredSources(src.spark, path, schemas)
 
 
+def store_by_month(bookings: DataFrame, path: str) -> DataFrame:
+    """Write bookings as one folder per month (``inserted_at``) and return a reader over them."""
+    bookings.write.mode("overwrite").partitionBy("inserted_at").parquet(path)
+    return bookings.sparkSession.read.schema(bookings.schema).parquet(path)
+
+
 class CatalogSources:
     """The lodging tables of a catalog database (``spark.table(f"{database}.{name}")``), e.g. the production
     tables; a name can be mapped to another table name with ``tables``."""

@@ -8,7 +8,7 @@ import pytest
 from innsight.functions import rules as R
 from innsight.functions.exprs import local_cancel_time, is_late_cancellation, utc_offset_minutes, zero_fill
 from innsight.operators.bookings import stay_nights
-from innsight.operators.channels import FULL_RULES, REDUCED_RULES, classify, ota_label, pivot_aggs, routed_channel
+from innsight.operators.channels import FULL_RULES, REDUCED_RULES, classify, ota_label, pivot_columns, pivot_state
 from innsight.operators.dims import eligible_properties, exclude_keys
 from innsight.operators.policy import effective_payment_type, payment_policy_class, restriction_class
 from innsight.operators.supply import corrected_srns, latest_live_date
@@ -97,14 +97,17 @@ def test_ota_label_map(spark, name, label):
     assert df.select(ota_label("name").alias("l")).first().l == label
 
 
-def test_routed_channel_and_pivot_keep_every_row(spark):
-    rows = [("Agoda", 1), ("Agoda", 2), (None, 4), ("Brand New Channel", 8)]
+def test_pivot_keeps_every_row(spark):
+    """One row per key and label, as the aggregates give them; a label that reads like the NULL label joins it."""
+    rows = [("Agoda", 3), (None, 4), ("Brand New Channel", 8), ("Another", 16), ("0", 32), (R.UNLISTED_CHANNEL, 64)]
     df = spark.createDataFrame(rows, "booking_source string, urn int")
     chans = ("Agoda", R.UNLISTED_CHANNEL, "0")
-    out = (df.withColumn("_ch", routed_channel("booking_source", chans, "0"))
-           .groupBy().agg(*pivot_aggs("_ch", chans, ("urn",))).first().asDict())
-    assert out == {"Agoda_urn": 3, f"{R.UNLISTED_CHANNEL}_urn": 8, "0_urn": 4}
+    state = df.groupBy().agg(*pivot_state("booking_source", chans, ("urn",), "0"))
+    out = pivot_columns(state, chans, ("urn",), "0").first().asDict()
+    assert out == {"Agoda_urn": 3, f"{R.UNLISTED_CHANNEL}_urn": 88, "0_urn": 36}
     assert sum(out.values()) == sum(u for _, u in rows)
+    bare = df.groupBy().agg(*pivot_state("booking_source", (R.UNLISTED_CHANNEL,), ("urn",), "0"))
+    assert pivot_columns(bare, (R.UNLISTED_CHANNEL,), ("urn",), "0").first().asDict() == {f"{R.UNLISTED_CHANNEL}_urn": 127}
 
 
 # -- dimension filters -------------------------------------------------------------------------------------

@@ -33,6 +33,31 @@ def test_first_level_aggregates_combine_map_side(spark):
     assert re.search(r"HashAggregate\(keys=\[property_code.*partial_sum", plan)
 
 
+@pytest.mark.parametrize("name", ["room_nights_daily", "room_nights_by_channel", "realization_by_channel"])
+def test_stays_are_not_expanded_to_nights(spark, name):
+    """A stay is two rows (Expand) into the aggregate of changes; the only sequence is of the days between the changes
+    of a key, above the running sums."""
+    lines = plan_text(QUERIES[name](spark, SF_CHECK)).splitlines()
+    # the calendar table of the test data is made from the nations' keys
+    sequences = [i for i, line in enumerate(lines) if "Generate explode(sequence(" in line and "n_nationkey" not in line]
+    assert len(sequences) == 1
+    fill = sequences[0]
+    window = next(i for i, line in enumerate(lines) if "Window [" in line)
+    expand = next(i for i, line in enumerate(lines) if "Expand [" in line)
+    assert fill < window < expand  # children come below
+
+
+@pytest.mark.parametrize("name", ["channel_pivot", "cancellation_pivot", "channel_group_rollup", "report_wide"])
+def test_pivots_keep_few_aggregates(spark, name):
+    df = QUERIES[name](spark, SF_CHECK)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if re.search(r"(?:^|[-+: ])Aggregate \[", line)]
+    # the roll-up query reads no channel's column, so no map is kept for it
+    assert ("map_from_entries(collect_list(" in plan) == (name != "channel_group_rollup") and aggregates
+    for line in aggregates:
+        assert len(re.findall(r"\b(?:sum|max|min|count|collect_list)\(", line)) <= 20, line
+
+
 def test_scans_are_pruned_and_filtered(spark):
     df = QUERIES["room_nights_daily"](spark, SF_CHECK)
     plan = plan_text(df)
@@ -50,12 +75,33 @@ def test_live_date_of_the_report_is_a_hash_aggregate(spark):
     assert "Window" not in plan and "SortAggregate" not in plan and re.search(r"HashAggregate.*partial_max", plan)
 
 
-@pytest.mark.parametrize("name,key", [("latest_live_date", "property_code"), ("active_policies", "hotel_id")])
-def test_latest_rows_are_found_by_a_hash_aggregate(spark, name, key):
-    """Raw rows are reduced to the latest time by a hash aggregate; only rows of that time are sorted for ties."""
+@pytest.mark.parametrize("name", ["latest_live_date", "active_policies"])
+def test_latest_rows_take_one_scan_and_one_row_per_key_and_task(spark, name):
+    """The history is read once and not joined; a limit of one row per key stands below the exchange too."""
     plan = plan_text(QUERIES[name](spark, SF_CHECK))
-    assert re.search(rf"HashAggregate\(keys=\[{key}#\d+L?\], functions=\[partial_max", plan)
-    assert not re.search(rf"SortAggregate\(key=\[{key}#\d+L?\]", plan)
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    limits = [m.start() for m in re.finditer(r"WindowGroupLimit .*row_number\(\), 1, (?:Partial|Final)", plan)]
+    exchange = plan.index("Exchange hashpartitioning")
+    assert len(limits) == 2 and limits[0] < exchange < limits[1]
+
+
+@pytest.mark.parametrize("name", ["payment_policy_class", "restriction_class"])
+def test_classes_come_from_one_parse_per_distinct_text(spark, name):
+    """One parse, over distinct texts; the rows get their class by a join."""
+    plan = QUERIES[name](spark, SF_CHECK)._jdf.queryExecution().optimizedPlan().toString()
+    parses = [line for line in plan.splitlines() if re.search(r"parse_?json", line, re.I)]
+    assert len(parses) == 1 and len(re.findall(r"parse_?json", parses[0], re.I)) == 1
+    assert re.search(r"Aggregate \[.*__text#\d+\]", parses[0]) and "get_json_object" not in plan and "Join" in plan
+
+
+def test_months_of_the_run_prune_the_folders_that_are_read(spark):
+    plan = plan_text(QUERIES["bookings_of_run_months"](spark, SF_CHECK))
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan), plan
+
+
+def test_the_calendar_reads_no_fact(spark):
+    plan = plan_text(QUERIES["calendar_spine"](spark, SF_CHECK))
+    assert "orders" not in plan and "lineitem" not in plan
 
 
 def test_first_booking_is_reduced_below_the_join(spark):
