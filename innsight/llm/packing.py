@@ -17,111 +17,185 @@ import os
 import re
 import zlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import released, ship, stored
 
 WINDOW = 4096
-#: Pieces in a worker's memo before it becomes the old one (about 250 bytes each, and two memos at most).
-_MEMO_PIECES = 600_000
+#: Pieces and bytes that a task remembers, and texts and characters encoded at once.
+_MEMO_PIECES, _MEMO_BYTES, _TEXTS, _CHARS = 1_000_000, 40 << 20, 1024, 4_000_000
 _SUM = operator.itemgetter(0)
 PIECE_SCHEMA = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 #: Letters of one word, then marks that neither join a word nor begin a contraction.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_MARKS = r"[!-&(-/:-@\[-`{-~]*$"
+_PLAIN = _LETTERS + _MARKS
+_BREAK = re.compile("[ \n]")
+
+
+@functools.lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """(tokenizer, whether a text's ids are those of its pieces between spaces, how a lower-cased word of Latin letters
+    is spelt for the tokenizer's model, or None if its ids aren't the model's)."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    tok = Tokenizer.from_file(path)
+    ids = [tok.encode(x, add_special_tokens=False).ids for x in ("A b", "a", "b", "the,x", "the", ",", "x")]
+    by_piece = ids[0] == ids[1] + ids[2] and ids[3] == ids[4] + ids[5] + ids[6]
+    # how the tokenizer writes letters for its model: a character for each byte of theirs
+    spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    spelt = str.maketrans({chr(c): spell.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)})
+    by_model = by_piece and all(
+        [t.id for t in tok.model.tokenize(x.translate(spelt))] == tok.encode(x, add_special_tokens=False).ids
+        for x in ("a", "the", "restaurant", "être", "größe", "años", "ÿþ".lower()))
+    return tok, by_piece, spelt if by_model else None
+
+
+@dataclass
+class Memo:
+    """Pieces and their ids as columns: ``ids[first[i]:first[i] + size[i]]`` are those of ``pieces[i]``."""
+
+    pieces: pa.LargeStringArray
+    size: np.ndarray
+    first: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def empty(cls) -> Memo:
+        return cls(pa.array([], pa.large_string()), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4"))
+
+    def with_more(self, pieces: pa.LargeStringArray, size: np.ndarray, ids: np.ndarray) -> Memo:
+        first = len(self.ids) + np.cumsum(size) - size
+        return Memo(pa.concat_arrays([self.pieces, pieces]), np.concatenate((self.size, size)),
+                    np.concatenate((self.first, first)), np.concatenate((self.ids, ids)))
+
+    def only(self, at: np.ndarray) -> Memo:
+        size = self.size[at]
+        return Memo(self.pieces.take(pa.array(at)), size, np.cumsum(size) - size, self.ids[_places(self.first[at], size)])
+
+    def full(self) -> bool:
+        return len(self.pieces) > _MEMO_PIECES or self.pieces.nbytes + self.ids.nbytes + 16 * len(self.size) > _MEMO_BYTES
+
+
+def _places(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``first[i]`` to ``first[i] + size[i] - 1`` of every i, one after the other."""
+    stop = np.cumsum(size)
+    out = np.repeat(first - (stop - size), size)
+    out += np.arange(len(out))
+    return out
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer of lower-cased words with word ends, kept per piece between spaces.
 
     The library splits at white space and between letters and marks whatever stands around them, so a text's ids
-    are those of its pieces, one after the other, and a piece's are those of its word and its marks."""
+    are those of its pieces, one after the other. Texts, pieces and what is remembered of them are Arrow and NumPy
+    columns; only pieces not met before go through the library. An encoder belongs to a task and its memory goes with
+    it; when the memo is full, the pieces of the last texts stay."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        ids = [self._ids(x) for x in ("A b", "a", "b", "the,x", "the", ",", "x")]
-        self.by_piece = ids[0] == ids[1] + ids[2] and ids[3] == ids[4] + ids[5] + ids[6] and self.ends[ids[4][-1]]
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}  # the memo before this one; what is met again moves over
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tok.encode(text, add_special_tokens=False).ids
-
-    def _recall(self, piece: str) -> bool:
-        """Whether the piece's ids are in the memo, brought back from the old one if need be."""
-        if piece in self.memo:
-            return True
-        if (ids := self.old.get(piece)) is None:
-            return False
-        self.memo[piece] = ids
-        return True
-
-    def _learn(self, pieces: list[str]) -> None:
-        for x, e in zip(pieces, self.tok.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.memo[x] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Ids of words of letters alone: encoded in one text, cut after each word's last token."""
-        for a in range(0, len(words), 2000):
-            part = words[a:a + 2000]
-            ids = np.array(self._ids(" ".join(part)), dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part):
-                self._learn(part)
-                continue
-            raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
-            self.memo.update((w, raw[x:y]) for w, x, y in zip(part, at, at[1:]))
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Each whole text's ids as little-endian unsigned 32-bit numbers, without special tokens added."""
+        self.tok, self.by_piece, self.spelt = _tokenizer(path)
+        self.memo = Memo.empty()
+
+    def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(size, ids) of pieces, encoded apart."""
+        ids = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.array([len(x) for x in ids], dtype=np.int64), np.array([y for x in ids for y in x], dtype="<u4")
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(size, ids) of lower-cased words of Latin letters: the model's, as nothing in them is parted or joined."""
+        if self.spelt is None:
+            return self._one_by_one(words)
+        tokenize, spelt = self.tok.model.tokenize, self.spelt
+        found = [[t.id for t in tokenize(w if w.isascii() else w.translate(spelt))] for w in words]
+        return np.array([len(x) for x in found], dtype=np.int64), np.array([y for x in found for y in x], dtype="<u4")
+
+    def _learn(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Remember pieces not met before, and return their places in the memo: words with marks after them are learnt
+        by distinct words and distinct marks, others one by one."""
+        is_plain = pc.match_substring_regex(pieces, _PLAIN)
+        plain, others = pieces.filter(is_plain), pieces.filter(pc.invert(is_plain))
+        marks = pc.replace_substring_regex(plain, _LETTERS, "").dictionary_encode()
+        words = pc.utf8_lower(pc.replace_substring_regex(plain, _MARKS, "")).dictionary_encode()
+        w_size, w_ids = self._words(words.dictionary.to_pylist())
+        m_size, m_ids = self._one_by_one(marks.dictionary.to_pylist())
+        w, m = words.indices.to_numpy(), marks.indices.to_numpy()
+        w_first, m_first = np.cumsum(w_size) - w_size, len(w_ids) + np.cumsum(m_size) - m_size
+        first = np.stack((w_first[w], m_first[m]), axis=1).ravel()
+        size = np.stack((w_size[w], m_size[m]), axis=1)
+        ids = np.concatenate((w_ids, m_ids))[_places(first, size.ravel())]
+        held, plain_at = len(self.memo.pieces), is_plain.to_numpy(zero_copy_only=False)
+        self.memo = self.memo.with_more(plain, size.sum(1), ids).with_more(others, *self._one_by_one(others.to_pylist()))
+        places = np.empty(len(pieces), dtype=np.int64)
+        places[plain_at] = held + np.arange(len(plain))
+        places[~plain_at] = held + len(plain) + np.arange(len(others))
+        return places
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        column = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")  # a line break only separates
+        pieces = pc.split_pattern(column, " ")
+        coded = pieces.flatten().dictionary_encode()
+        distinct = coded.dictionary
+        at = pc.fill_null(pc.index_in(distinct, self.memo.pieces), -1).to_numpy().astype(np.int64)
+        missing = at < 0
+        if missing.any():
+            at[missing] = self._learn(distinct.filter(pa.array(missing)))
+        codes = at[coded.indices.to_numpy()]
+        size = self.memo.size[codes]
+        every = self.memo.ids[_places(self.memo.first[codes], size)]
+        bounds = np.concatenate(([0], np.cumsum(size)))[pieces.offsets.to_numpy()].tolist()
+        if self.memo.full():
+            self.memo = self.memo.only(at)
+        return [every[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Each whole text's ids (little-endian unsigned 32-bit), without special tokens added."""
         if not self.by_piece:
-            return [np.array(e.ids, dtype="<u4").tobytes()
+            return [np.array(e.ids, dtype="<u4")
                     for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
-        memo = self.memo
-        if len(memo) > _MEMO_PIECES:
-            self.memo, self.old = {}, memo
-            memo = self.memo
-        memo[""] = b""
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]  # a line break only separates, as a space does
-        found = [list(map(memo.get, p)) for p in pieces]
-        missing = [(p, f, [i for i, x in enumerate(f) if x is None]) for p, f in zip(pieces, found) if None in f]
-        plain, others = [], set()
-        for x in {p[i] for p, _, at in missing for i in at}:
-            if self._recall(x):
-                continue
-            if m := _PLAIN.fullmatch(x):
-                plain.append((x, m[1].lower(), m[2]))
-            else:
-                others.add(x)
-        others.update(marks for marks in {marks for _, _, marks in plain} if not self._recall(marks))
-        self._learn(list(others))
-        self._learn_words([w for w in {w for _, w, _ in plain} if not self._recall(w)])
-        memo.update((x, memo[w] + memo[marks]) for x, w, marks in plain)
-        for p, f, at in missing:
-            for i in at:
-                f[i] = memo[p[i]]
-        return [b"".join(f) for f in found]
-
-
-@functools.lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held, owners, chars = [], [], 0
+
+        def take() -> None:
+            for i, ids in zip(owners, self._encode(held) if held else []):
+                out[i].append(ids)
+            held.clear()
+            owners.clear()
+
+        for i, text in enumerate(texts):
+            for part in _parts(text):
+                held.append(part)
+                owners.append(i)
+                chars += len(part)
+                if chars > _CHARS:
+                    take()
+                    chars = 0
+        take()
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
+
+
+def _parts(text: str) -> Iterator[str]:
+    """The text, or its parts of about ``_CHARS`` characters between breaks."""
+    a = 0
+    while len(text) - a > _CHARS and (m := _BREAK.search(text, a + _CHARS)):
+        yield text[a:m.start()]
+        a = m.end()
+    yield text[a:]
 
 
 def token_bytes(texts: Sequence[str], path: str) -> list[bytes]:
     """Each whole text's ids by the tokenizer in ``path``, as ``Encoder.encode`` gives them."""
-    return _encoder(path).encode(texts)
+    return [x.tobytes() for x in Encoder(path).encode(texts)]
 
 
 def cut(n: int, window: int = WINDOW, grain: int = 512) -> list[tuple[int, int]]:
@@ -131,18 +205,23 @@ def cut(n: int, window: int = WINDOW, grain: int = 512) -> list[tuple[int, int]]
 
 
 def _pieces(path: str, end_id: int, window: int, grain: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(path)
         for b in batches:
-            for i in range(0, len(b), 256):
-                part = b.iloc[i:i + 256]
-                rows = []
-                for doc_id, ids in zip(part["doc_id"], token_bytes(part["text"].tolist(), path)):
-                    ids += end
-                    n = len(ids) // 4
-                    rows += [(doc_id, a, k, zlib.crc32(ids[4 * a:4 * (a + k)]), n) for a, k in cut(n, window, grain)]
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            for i in range(0, b.num_rows, _TEXTS):
+                part = b.slice(i, _TEXTS)
+                rows: list[list] = [[], [], [], [], []]
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist())):
+                    ids = np.concatenate((ids, end))
+                    for a, k in cut(len(ids), window, grain):
+                        for column, x in zip(rows, (doc_id, a, k, zlib.crc32(ids[a:a + k]), len(ids))):
+                            column.append(x)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), *[pa.array(x, pa.int64()) for x in rows[1:]]],
+                                                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        del encoder
+        released()
     return run
 
 
@@ -215,7 +294,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
     result; columns other than id and text are not read."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    pieces = stored(texts.mapInPandas(_pieces(tokenizer_path, end_id, window, grain), PIECE_SCHEMA)
+    pieces = stored(texts.mapInArrow(_pieces(tokenizer_path, end_id, window, grain), PIECE_SCHEMA)
                     .withColumn("piece", F.monotonically_increasing_id()), "pieces")
     total = pieces.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / (group_windows * window)))
