@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, ship, stored, word_count
@@ -66,14 +66,12 @@ def leaf_draws(counts: Sequence[int], n_shards: int, shard: int, seed: int) -> t
     return first, counts
 
 
-def _leaf_table(counts: Sequence[int], n_shards: int, seed: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for shard in b["id"].tolist():
-                first, number = leaf_draws(counts, n_shards, shard, seed)
-                yield pd.DataFrame({"shard": shard, "source_no": np.arange(len(counts)), "first": first,
-                                    "number": number})
-    return run
+def leaf_table(spark: SparkSession, counts: Sequence[int], n_shards: int, seed: int) -> DataFrame:
+    """(shard, source_no, first, number): the leaves' draws. They follow from the counts per source, which the driver
+    has, and are at most as many as shards times sources; no Python worker is started for them."""
+    rows = [(shard, i, a, n) for shard in range(n_shards)
+            for i, (a, n) in enumerate(zip(*(x.tolist() for x in leaf_draws(counts, n_shards, shard, seed)))) if n]
+    return spark.createDataFrame(rows, "shard long, source_no int, first long, number long")
 
 
 def _source_totals(sized: DataFrame) -> list[tuple[str | None, int]]:
@@ -106,7 +104,6 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_passes: float = 2.0, cycle
     words, so the plan's size follows the number of sources, not that of documents. A block is a hash bucket;
     its documents are never gathered, and only those of a source's last block are put in order, by their sizes."""
     spark = docs.sparkSession
-    ship(spark)
     sized = stored(docs.select(*_sized_columns(id_col, source_col, text_col, seed)), "sizes")
     totals = dict(_source_totals(sized))
     goals = targets(totals, default_weights(list(totals), cycle), share, max_passes)
@@ -141,9 +138,7 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_passes: float = 2.0, cycle
     counts = [0] * len(names)
     for r in draws.groupBy("source_no").agg(F.count("*").alias("n")).collect():  # one row per source
         counts[r["source_no"]] = r["n"]
-    leaves = (spark.range(n_shards).mapInPandas(_leaf_table(counts, n_shards, seed),
-                                                "shard long, source_no int, first long, number long")
-              .where("number > 0")
+    leaves = (leaf_table(spark, counts, n_shards, seed)
               .select("shard", "source_no", F.explode(F.expr("sequence(first, first + number - 1)")).alias("draw")))
     drawn = (draws.join(leaves, ["source_no", "draw"]).groupBy("source_no", "block")
              .agg(F.sort_array(F.collect_list(F.struct("shard", "whole"))).alias("takes")))  # at most 3 each
@@ -220,6 +215,7 @@ def mix(docs: DataFrame, seed: int = 11, n_shards: int = 64, id_col: str = "doc_
     """The mixed documents, with the columns of ``docs``: a row for each time a document is taken, dealt to output
     partitions by shard and shuffled within. A document taken in part has its text cut after that many words and,
     if ``length_col`` is named, its length there. Documents that the mix doesn't take, and those without words, go."""
+    ship(docs.sparkSession)
     plan = stored(plan_mix(docs, seed=seed, n_shards=n_shards, id_col=id_col, source_col=source_col,
                            text_col=text_col, **settings), "mix")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
