@@ -1,7 +1,6 @@
 import hashlib
 import json
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -37,6 +36,12 @@ def test_layouts_become_canonical_turns(spark):
         ({"prompt": 12, "completion": True}, "prompt", [("user", "12"), ("assistant", "true")]),
         ({"prompt": {"text": "q"}, "completion": "a"}, None, None),
         ({"foo": "q"}, None, None),
+        ({"id": 7, "prompt": "q", "meta": {"a": 1, "b": "x"}, "completion": "a", "tags": ["x"]}, "prompt", want),
+        ({"a b": 1, "messages": [{"role": "user", "content": "q", "name": "n", "weight": 1},
+                                 {"role": "assistant", "content": "a"}], "source": "s"}, "messages", want),
+        ({"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}], "id": "x"}, "conversations", want),
+        ({"turns": [{"role": "gpt", "text": "q"}]}, "turns", [("gpt", "q")]),
+        ({"messages": [], "prompt": "q", "completion": "a"}, None, None),
         ([1, 2], None, None),
     ]
     got = canonical(spark, [json.dumps(r) for r, _, _ in records] + ["{no json", None, ""])
@@ -61,9 +66,8 @@ def test_round_trip_and_mask(spark):
     convs = [[("user", a), ("assistant", b), (c, a + b)] for a in TRICKY for b in TRICKY
              for c in ("system", "ro\nle%0A<|im_end|>", "")]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(convs)], f"id long, turns {cf.TURNS}")
-    formatted, spans = cf.format_turns(F.col("turns"))
-    out = df.select("id", formatted.alias("f"), spans.alias("s")).select(
-        "id", "f", cf.read_turns(F.col("f")).alias("t"), cf.read_loss(F.col("f"), F.col("s")).alias("l"))
+    out = cf.with_format(df).select("id", F.col("formatted").alias("f"), cf.read_turns(F.col("formatted")).alias("t"),
+                                    cf.read_loss(F.col("formatted"), F.col("loss")).alias("l"))
     for r in out.collect():
         assert [tuple(t) for t in r.t] == convs[r.id]
         assert r.l == [t for role, t in convs[r.id] if role == "assistant"]
@@ -75,8 +79,7 @@ def test_round_trip_and_mask(spark):
                           st.text(st.sampled_from("<|\\im_endstar>\n $a"), max_size=30)), max_size=6))
 def test_round_trip_property(spark, turns):
     df = spark.createDataFrame([(turns,)], f"turns {cf.TURNS}")
-    formatted, _ = cf.format_turns(F.col("turns"))
-    r = df.select(formatted.alias("f")).select("f", cf.read_turns(F.col("f")).alias("t")).first()
+    r = cf.with_format(df).select(cf.read_turns(F.col("formatted")).alias("t")).first()
     assert [tuple(t) for t in r.t] == turns
 
 
@@ -117,12 +120,61 @@ def test_main_path_runs_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_the_query_has_no_parser_limit(spark):
-    """Spark's JSON parser gives null above 20 million characters in a text or 128 MB in all."""
+def test_the_query_goes_through_the_fingerprint_join_and_no_parser(spark):
+    """Field paths of the rows' structs are hashed and joined to the mapping table; no JSON with its limits."""
+    import re
+
     from innsight.llm.queries import op3_chat_formatting
 
-    plan = op3_chat_formatting(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString().lower()
-    assert "collect_list" in plan and "json" not in plan and "variant" not in plan
+    plan = op3_chat_formatting(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in plan and "json" not in plan.lower() and "variant" not in plan.lower()
+    assert re.search(r"xxhash64\(.*OBJECT<.*AS fingerprint", plan)
+    assert re.search(r"BroadcastHashJoin \[fingerprint#\d+L\], \[fingerprint#\d+L\]", plan)
+
+
+def test_roles_are_read_back_as_the_rows_have_them(spark):
+    import duckdb
+
+    from innsight.llm.sql import ORACLE_SQL
+
+    rows = [(1, 0, "human", "q"), (1, 1, "gpt", "a"), (1, 2, "assistant", "b"), (2, 0, "Assistant", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: tuple(r)[1:] for r in cf.digests(cf.format_conversations(df)).collect()}
+    assert got == {c: brute_digest([r[1:] for r in rows if r[0] == c]) for c in (1, 2)}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    found = {r[0]: r[1:] for r in con.execute(ORACLE_SQL["op3_chat_formatting"]).fetchall()}
+    assert {c: found[c] for c in (1, 2)} == got
+
+
+def test_places_of_many_turns(spark):
+    turns = [("assistant" if i % 3 else "user", "x" * (i % 7)) for i in range(1100)]
+    df = spark.createDataFrame([(turns,), ([],), (None,)], f"turns {cf.TURNS}")
+    rows = cf.with_format(df).select("formatted", "loss").collect()
+    text, mask = rows[0]
+    assert len(mask) == 1100 and tuple(rows[1]) == ("", []) and tuple(rows[2]) == (None, None)
+    for (role, said), m in zip(turns, mask):
+        assert text[m.turn:].startswith(cf.START) and text[m.start:].startswith(said + cf.END)
+        assert m.length == (len(said) if role == "assistant" else None)
+
+
+def test_time_grows_with_the_turns(spark):
+    """Twice the turns of one conversation take about twice the time (a square would be four times)."""
+    import time
+
+    def seconds(n):
+        turns = spark.range(n).select(
+            F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+            F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+            F.concat(F.lit("text of some length, <|im_end|>, number "), F.col("id").cast("string")).alias("text"))
+        began = time.perf_counter()
+        r = cf.digests(cf.format_conversations(turns)).first()
+        assert r.n_turns == n
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert min(seconds(100_000), seconds(100_000)) <= 2.5 * max(seconds(50_000), 0.5)
 
 
 def test_structs_format_as_json_records_do(spark):
@@ -132,7 +184,14 @@ def test_structs_format_as_json_records_do(spark):
     assert key(cf.format_conversations(turns)) == key(cf.format_chats(cf.conversation_records(turns)))
 
 
-def test_a_long_record_that_is_not_parsed_is_an_error(spark):
-    text = F.concat(F.lit('{"prompt": "'), F.repeat(F.lit("a"), 20_100_000), F.lit('", "completion": "b"}'))
-    with pytest.raises(Exception, match="bytes can't be parsed"):
-        cf.format_chats(spark.range(1).select("id", text.alias("record"))).select("layout", F.length("formatted")).collect()
+def test_long_records_are_read_like_short_ones(spark):
+    """The variant parser gives null for a text of over 20 million characters."""
+    shapes = [('{"id": 1, "prompt": "', '", "completion": "b"}', "prompt", 2),
+              ('{"messages": [{"role": "user", "name": "x", "content": "', '"}]}', "messages", 1),
+              ('{"prompt": "', "", None, 0), ('{"other": "', '"}', None, 0)]
+    for n, tried in ((20, shapes), (20_100_000, shapes[1:3])):
+        for head, tail, layout, turns in tried:
+            record = F.concat(F.lit(head), F.repeat(F.lit("a"), n), F.lit(tail))
+            r = cf.canonical_turns(spark.range(1).select("id", record.alias("record"))).select(
+                "layout", F.size("turns").alias("n"), F.length(F.get("turns", F.lit(0))["text"]).alias("chars")).first()
+            assert (r.layout, r.n, r.chars) == ((layout, turns, n) if layout else (None, None, None))
