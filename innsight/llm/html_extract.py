@@ -1,10 +1,13 @@
 """Main text of HTML pages by composite text density.
 
-A page's tags become a tree. Elements that are never article text by their tag, role or class (menus, forms,
-scripts, reader comments and so on) are cut off first. Every node left has a density: characters per tag, lowered by
-the share of characters and tags in links. A node's density sum adds its children's densities. The node with the
-largest sum is the core; the smallest density on the path from it to the body is the page's threshold. From the body
-down, a node of at least that density contributes its subtree of the largest density sum.
+A page's tags become a tree. Scripts, form fields, media and hidden elements are cut off first. Elements that by their
+tag, role or class are menus, forms, notices, reader comments and so on are cut off too, but only while the rest of the
+page keeps the main text: one that holds several times the text of all the rest is a wrapper of the article with an
+unlucky name, and stays, and what is inside it is judged by itself. Every node left has a density: characters per tag,
+lowered by the share of characters and tags in links. A node's density sum adds its children's densities. The node with
+the largest sum is the core; the smallest density on the path from it to the body is the page's threshold. From the body
+down, a node of at least that density contributes its subtree of the largest density sum. The main heading beside or
+above the core belongs to it.
 """
 
 from __future__ import annotations
@@ -45,10 +48,12 @@ CLOSES |= {"li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd
            "th": frozenset({"td", "th", "p"}), "option": frozenset({"option"})}
 CONTAINERS = frozenset("html body div article section main aside header footer nav table ul ol dl form blockquote "
                        "figure details fieldset".split())
-#: Elements without article text.
-BOILERPLATE_TAGS = frozenset(
-    "head script style noscript template nav footer aside form button select option textarea input iframe object "
-    "embed svg canvas audio video map dialog menu title xmp noframes".split())
+#: Elements that never hold article text.
+NO_TEXT_TAGS = frozenset(
+    "head script style noscript template button select option textarea input iframe object embed svg canvas audio video "
+    "map title xmp noframes".split())
+#: Elements around a page's article that are cut off while the rest keeps the main text.
+BOILERPLATE_TAGS = frozenset("nav footer aside form dialog menu".split())
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar "
     "tablist".split())
@@ -59,8 +64,16 @@ BOILERPLATE_NAMES = frozenset(
     "sidebar sidebars sidenav aside cookie cookies consent gdpr notice notices notification alert popup modal "
     "overlay newsletter subscribe subscription signup login search searchform form share sharing social related "
     "recommended comment comments commentlist respond replies disqus widget widgets copyright skip hidden".split())
-#: Such words only outside an article.
+#: Tags and words that are never around an article: readers' comments, say, may well be longer than it is.
+NEVER_WRAPPERS = frozenset(
+    "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer foot cookie cookies consent gdpr "
+    "comment comments commentlist respond replies disqus copyright".split())
+#: Such words only outside an article, and not beside a word for an article's own parts.
 PAGE_NAMES = frozenset("header head top bottom".split())
+ARTICLE_NAMES = frozenset("article post entry story content".split())
+#: A possible wrapper stays if it has more than so many times the text of the rest of the page.
+WRAPPER_RATIO = 5
+KEEP, WRAPPER, GONE = range(3)
 #: Elements that hold a paragraph or heading of their own.
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _KEPT = frozenset("html body main article".split())
@@ -121,27 +134,32 @@ def parse(page: str) -> Node:
     return root
 
 
-def is_boilerplate(node: Node, in_article: bool) -> bool:
-    """Whether the element, by tag, role, class or id, holds no article text. Page headers go; an article's own
-    header stays."""
+def kind_of(node: Node, in_article: bool) -> int:
+    """What the element is by tag, role, class or id: KEEP; WRAPPER, boilerplate unless it is around the article; or GONE,
+    without article text in any case. Page headers go; an article's own header stays."""
+    if node.tag in NO_TEXT_TAGS:
+        return GONE
+    found = KEEP
     if node.tag in BOILERPLATE_TAGS or node.tag == "header" and not in_article:
-        return True
+        found = GONE if node.tag in NEVER_WRAPPERS else WRAPPER
     if not node.attrs or node.tag in _KEPT:
-        return False
+        return found
     for name, *values in _ATTR.findall(node.attrs):
         value, name = "".join(values).lower(), name.lower()
-        if name == "role" and value in BOILERPLATE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return GONE
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return GONE
+        if name == "role" and value in BOILERPLATE_ROLES:
+            found = max(found, WRAPPER)
         if name in ("class", "id"):
             for token in value.split():
                 words = _NAME.findall(token)
                 if words and words[0] not in _NEGATION and not BOILERPLATE_NAMES.isdisjoint(words):
-                    return True
-                if not in_article and not PAGE_NAMES.isdisjoint(words):
-                    return True
-    return False
+                    found = max(found, WRAPPER if NEVER_WRAPPERS.isdisjoint(words) else GONE)
+                if not in_article and not PAGE_NAMES.isdisjoint(words) and ARTICLE_NAMES.isdisjoint(words):
+                    found = max(found, WRAPPER)
+    return found
 
 
 def _in_order(root: Node) -> list[Node]:
@@ -155,12 +173,53 @@ def _in_order(root: Node) -> list[Node]:
 
 
 def cut_boilerplate(root: Node) -> None:
-    todo = [(root, False)]
+    """Take boilerplate out of the tree. Wrappers of the article are told from boilerplate by the text outside links that
+    they have and the rest of the page has. A page that marks its article outside of them has none."""
+    kinds: dict[Node, int] = {root: KEEP}
+    nodes, todo = [], [(root, False)]
     while todo:
         node, in_article = todo.pop()
+        nodes.append(node)
         in_article = in_article or node.tag in ("article", "main")
-        node.items = [x for x in node.items if isinstance(x, str) or not is_boilerplate(x, in_article)]
+        for x in node.items:
+            if isinstance(x, Node):
+                kinds[x] = kind_of(x, in_article)
+        node.items = [x for x in node.items if isinstance(x, str) or kinds[x] != GONE]
         todo += [(x, in_article) for x in node.items if isinstance(x, Node)]
+    own: dict[Node, int] = {}  # text of each node, without its boilerplate
+    every: dict[Node, int] = {}  # and with what might be wrappers
+    for node in reversed(nodes):
+        children = [x for x in node.items if isinstance(x, Node)]
+        text = sum(len(_SPACE.sub(" ", x).strip(" ")) for x in node.items if isinstance(x, str))
+        link = node.tag == "a"
+        own[node] = 0 if link else text + sum(own[x] for x in children if kinds[x] == KEEP)
+        every[node] = 0 if link else text + sum(every[x] for x in children)
+    rest, cut = own[root], _outermost(root, kinds)
+    marked = any(x.tag in ("article", "main") and own[x] for x in _kept(root, kinds))
+    while cut and not marked:
+        x = max(cut, key=every.__getitem__)  # the first of equals
+        if every[x] <= WRAPPER_RATIO * rest:
+            break
+        kinds[x] = KEEP
+        rest += own[x]
+        cut = [n for n in cut if n is not x] + _outermost(x, kinds)
+    for node in nodes:
+        node.items = [x for x in node.items if isinstance(x, str) or kinds[x] == KEEP]
+
+
+def _kept(top: Node, kinds: dict[Node, int]) -> list[Node]:
+    """Nodes that aren't inside boilerplate."""
+    out, todo = [], [top]
+    while todo:
+        node = todo.pop()
+        out.append(node)
+        todo += [x for x in node.items if isinstance(x, Node) and kinds[x] == KEEP]
+    return out
+
+
+def _outermost(top: Node, kinds: dict[Node, int]) -> list[Node]:
+    """Boilerplate below ``top`` that isn't inside other boilerplate, in no order that matters but the same each time."""
+    return [x for node in _kept(top, kinds) for x in node.items if isinstance(x, Node) and kinds[x] != KEEP]
 
 
 def measure(root: Node) -> None:
@@ -214,6 +273,8 @@ def content_nodes(root: Node) -> list[Node]:
     dense = [x for x in nodes if x.density >= threshold]
     chosen = {core, *(best[x] for x in dense if any(isinstance(c, Node) for c in x.items)),
               *(x for x in dense if x.tag in PARAGRAPHS)}
+    if (title := _title_before(core, body)) is not None:
+        chosen.add(title)
     out, todo = [], [body]
     while todo:  # a chosen node's subtree is taken whole, so what is chosen inside it needs no mark
         x = todo.pop()
@@ -224,6 +285,25 @@ def content_nodes(root: Node) -> list[Node]:
     return out
 
 
+def _title_before(core: Node, body: Node) -> Node | None:
+    """The nearest main heading that stands before the core beside it or beside an element around it; a short one is
+    never as dense as the text below it."""
+    node = core
+    while node is not body:
+        before = []
+        for x in node.parent.items:
+            if x is node:
+                break
+            if isinstance(x, Node):
+                before.append(x)
+        for x in reversed(before):
+            heading = next((n for n in _in_order(x) if n.tag == "h1"), None)
+            if heading is not None and x.chars == heading.chars > 0:
+                return heading
+        node = node.parent
+    return None
+
+
 def _text(nodes: list[Node]) -> str:
     """Texts of the subtrees: white space inside a block is one space, blocks are joined by one space."""
     parts: list[str] = []
@@ -243,8 +323,7 @@ def _text(nodes: list[Node]) -> str:
 
 
 def main_text(page: str | None) -> str:
-    """The page's main text; empty for null, empty and textless pages. Where cutting boilerplate off leaves no
-    text, the page has none."""
+    """The page's main text; empty for null, empty and textless pages."""
     if not page:
         return ""
     root = parse(page)

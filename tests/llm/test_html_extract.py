@@ -39,6 +39,81 @@ def test_page_without_an_article_element():
     assert he.main_text(x).endswith(" ".join(PLAIN)) and "Other story" not in he.main_text(x)
 
 
+SIX = "".join(f"<p>{p} Number {i}.</p>" for i in range(2) for p in P)
+SIX_TEXT = " ".join(f"{p} Number {i}." for i in range(2) for p in PLAIN)
+
+
+def test_wrappers_with_unlucky_names_keep_their_article():
+    head, foot = f"<header>Site</header>{NAV}", "<footer>&copy; me</footer>"
+    comments = "<div class='comments'><p>" + "A reader says something quite long about it. " * 40 + "</p></div>"
+    for body in (f"<form id=f>{head}<h1>Title here</h1><div>{SIX}</div>{LINKS}{foot}</form>",
+                 f"{head}<div class='content related'><h1>Title here</h1>{SIX}</div>{LINKS}{foot}",
+                 f"{head}<div class='share-wrapper'><article><h1>Title here</h1>{SIX}</article></div>{comments}{foot}",
+                 f"{head}<div class='notice-of-award'><h1>Title here</h1>{SIX}</div>{foot}",
+                 f"{head}<form><div class='sidebar'><div class='notice'><h1>Title here</h1>{SIX}</div></div></form>{foot}",
+                 f"{head}<div><div class='article-header'><h1>Title here</h1></div><div>{SIX}</div></div>{LINKS}{foot}"):
+        assert he.main_text(page(body)) == "Title here " + SIX_TEXT
+    # the heading outside, the text in a box with a notice's name
+    assert SIX_TEXT in he.main_text(page(f"{head}<h1>Title here</h1><div class='notice-of-award'>{SIX}</div>{foot}"))
+
+
+def test_boilerplate_longer_than_the_article_stays_cut():
+    comments = "<div class='comments'><p>" + "A reader says something quite long about it. " * 200 + "</p></div>"
+    notice = "<div class='cookie-notice'><p>" + "We value your privacy and want to say so at length. " * 40 + "</p></div>"
+    assert he.main_text(page(f"{NAV}{notice}<article><h1>Title here</h1>{BODY}</article>{comments}")) == WANT
+    hidden = "<div style='display: none'><p>" + "Not to be seen. " * 200 + "</p></div>"
+    assert he.main_text(page(f"{hidden}<div><h1>Title here</h1><p>{P[0]}</p></div>")) == "Title here " + PLAIN[0]
+
+
+def test_densities_equal_brute_force_on_small_trees():
+    """Counts by walking each subtree anew, densities by the formula, the core by trying every node."""
+    import random
+    import re
+
+    def walk(node, in_link):
+        chars = tags = link_chars = link_tags = 0
+        in_link = in_link or node.tag == "a"
+        for x in node.items:
+            if isinstance(x, str):
+                n = len(re.sub(r"[ \t\n\f\r]+", " ", x).strip(" "))
+                chars += n
+                link_chars += n if in_link else 0
+            else:
+                c, t, lc, lt = walk(x, in_link)
+                chars, tags, link_chars = chars + c, tags + t + 1, link_chars + lc
+                link_tags += lt + (1 if in_link and x.tag != "a" else 0)
+        return chars, tags, link_chars, link_tags + (node.tag == "a")
+
+    rng = random.Random(4)
+
+    def tree(depth):
+        kids = "".join(tree(depth - 1) for _ in range(rng.randrange(0, 4))) if depth else ""
+        tag = rng.choice(["div", "section", "b", "span", "a"] if depth < 3 else ["div", "section"])
+        return f"<{tag}>{'word ' * rng.randrange(0, 9)}{kids}{'x' * rng.randrange(0, 4)}</{tag}>"
+
+    for _ in range(60):
+        root = he.parse(f"<body>{tree(4)}{tree(3)}</body>")
+        he.measure(root)
+        nodes = he._in_order(root)
+        _, _, lc, _ = walk(root, False)
+        share = lc / max(1, walk(root, False)[0])
+        density = {}
+        for x in nodes:
+            inside = any(p.tag == "a" for p in _ancestors(x))
+            c, t, lc, lt = walk(x, False)
+            if not inside:
+                assert (x.chars, x.tags, x.link_chars) == (c, t, lc)
+                density[x] = he.composite_density(c, t, lc, x.link_tags, share)
+                assert abs(x.density - density[x]) < 1e-9
+            assert abs(x.total - sum(k.density for k in x.items if isinstance(k, he.Node))) < 1e-9
+
+
+def _ancestors(node):
+    while node.parent is not None:
+        node = node.parent
+        yield node
+
+
 def test_end_tags_left_out():
     x = page(f"{NAV}<article><h1>Title here</h1><p><b>{P[0]}<br><p>{P[1]}<p>{P[2]}</article><div class=ad>buy")
     assert he.main_text(x) == WANT
