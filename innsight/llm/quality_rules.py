@@ -1,8 +1,10 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule is a predicate that rejects a text. On a sample, every rule's time per text and its rejection rate are
-measured; the cascade then runs the rules by rejections per second, most first, and stops at a text's first
-rejection. The order changes the work, never the verdict: a text is kept if no rule rejects it.
+Each rule is a predicate that rejects a text, by measures of it that are taken when first asked for. On a sample, every
+rule's rejection rate and its marginal time are measured, that is the time beside what is measured of every text anyway;
+the cascade then runs the rules by rejections per second, most first, and stops at a text's first rejection: rules after
+it, and the measures that only they need, cost nothing. The order changes the work, never the verdict: a text is kept if
+no rule rejects it.
 """
 
 from __future__ import annotations
@@ -39,6 +41,14 @@ class Text:
                 raise AttributeError(name) from None
         return known[name]
 
+    def take(self, names: Sequence[str]) -> list:
+        """These measures, taken now if they weren't."""
+        return [getattr(self, n) for n in names]
+
+    def taken(self) -> frozenset[str]:
+        """The measures taken so far."""
+        return frozenset(self._known)
+
 
 def _dup_lines(t: Text) -> int:
     lines = [x for x in t.text.split("\n") if _WORD.search(x)]
@@ -92,25 +102,33 @@ METHOD_RULES = (
 )
 
 
-def order_rules(texts: Sequence[str | None], rules: Sequence[Rule]) -> list[tuple[Rule, float, float]]:
+def order_rules(texts: Sequence[str | None], rules: Sequence[Rule],
+                given: Sequence[str] = ()) -> list[tuple[Rule, float, float]]:
     """Rules with (seconds per text, share rejected) on a sample, by rejections per second, most first.
 
-    Every rule is timed on texts of its own, so that none profits from what another has measured. Without a
-    sample, and among equals, the given order holds."""
+    A rule's time is marginal: measures in ``given`` are taken of every text anyway and are there before the clock starts.
+    Otherwise every rule has texts of its own, so that none profits from what another has measured. Without a sample,
+    and among equals, the given order holds."""
     found = []
     for r in rules:
+        fresh = [Text(t) for t in texts]
+        for t in fresh:
+            t.take(given)
         began = time.perf_counter()
-        rejected = sum(r.rejects(Text(t)) for t in texts)
+        rejected = sum(map(r.rejects, fresh))
         cost = (time.perf_counter() - began) / max(1, len(texts))
         found.append((r, cost, rejected / max(1, len(texts))))
     return sorted(found, key=lambda x: -x[2] / max(x[1], 1e-9))
 
 
 def sample_texts(docs: DataFrame, text_col: str = "text", n: int = 300, max_chars: int = 100_000) -> list[str]:
-    """At most ``n`` texts for the estimates (texts over ``max_chars`` are left out of them). The sample serves
-    the order of the rules alone; which documents are kept doesn't depend on it."""
-    return [r[0] for r in docs.select(F.col(text_col).alias("text")).where(F.length("text") <= max_chars)
-            .limit(n).collect()]
+    """At most ``n`` texts for the estimates, those with the smallest digests, so spread over the whole table (texts over
+    ``max_chars`` are left out of them). The sample serves the order of the rules alone; which documents are kept doesn't
+    depend on it."""
+    text = F.col(text_col)
+    sample = (docs.select(text.alias("text"), F.xxhash64(F.lit("quality sample"), text).alias("digest"))
+              .where(F.length("text") <= max_chars).orderBy("digest", "text").limit(n))
+    return [r["text"] for r in sample.collect()]
 
 
 def first_rejection(t: Text, rules: Sequence[Rule]) -> str | None:
@@ -118,9 +136,22 @@ def first_rejection(t: Text, rules: Sequence[Rule]) -> str | None:
     return next((r.name for r in rules if r.rejects(t)), None)
 
 
-def cascade_order(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text") -> list[Rule]:
+def cascade_order(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text", given: Sequence[str] = ()) -> list[Rule]:
     """``rules`` in the order in which the cascade runs them over ``docs``."""
-    return [r for r, _, _ in order_rules(sample_texts(docs, text_col), rules)]
+    return [r for r, _, _ in order_rules(sample_texts(docs, text_col), rules, given)]
+
+
+#: The measures that ``judge`` returns of every text.
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def judgement(t: Text, base: Sequence[Rule], ordered: Sequence[Rule]) -> list:
+    """The returned measures, base_failed and kept. All rules run in ``ordered`` up to the first that rejects; only a text
+    that another rule than a base rule rejects is asked for the rest of those, as base_failed is returned too."""
+    measures = t.take(MEASURES)
+    rejection = first_rejection(t, ordered)
+    failed = rejection is not None and (rejection in {r.name for r in base} or first_rejection(t, base) is not None)
+    return [*measures, failed, rejection is None]
 
 
 def keep(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + METHOD_RULES, text_col: str = "text") -> DataFrame:
@@ -143,23 +174,16 @@ def judge(docs: DataFrame, base: Sequence[Rule] = BASE_RULES, rules: Sequence[Ru
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with the base measures, base_failed and kept.
 
-    The measures are asked of every document; the cascade runs ``rules`` on those that pass the ``base`` rules.
-    Null and empty texts have no words and fail; rows with null or repeated ids stay rows of their own; columns
+    The returned measures are taken of every document. All rules, the base ones among them, are ordered by their marginal
+    cost given those, and run up to the first rejection, so what only a later rule needs isn't measured. Null and empty texts have no words and fail; rows with null or repeated ids stay rows of their own; columns
     other than id and text are not read."""
     ship(docs.sparkSession)
-    ordered = cascade_order(docs, rules, text_col)
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    ordered = cascade_order(docs, [*base, *rules], text_col, MEASURES)
 
-    @F.pandas_udf(", ".join(f"{n} long" for n in names) + ", base_failed boolean, kept boolean")
+    @F.pandas_udf(", ".join(f"{n} long" for n in MEASURES) + ", base_failed boolean, kept boolean")
     def judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
-            rows = []
-            for x in s:
-                t = Text(x)
-                failed = first_rejection(t, base) is not None
-                rows.append([getattr(t, n) for n in names]
-                            + [failed, not failed and first_rejection(t, ordered) is None])
-            yield pd.DataFrame(rows, columns=[*names, "base_failed", "kept"])
+            yield pd.DataFrame([judgement(Text(x), base, ordered) for x in s], columns=[*MEASURES, "base_failed", "kept"])
 
     return (docs.select(F.col(id_col).alias("doc_id"), judged(F.col(text_col)).alias("q"))
             .select("doc_id", "q.*"))

@@ -68,6 +68,40 @@ def test_short_circuit():
     assert qr.first_rejection(qr.Text("x"), [qr.Rule("first", lambda t: True), later]) == "first"
 
 
+def test_cascade_saves_evaluations():
+    """Rules after the first rejection aren't evaluated, and what only they need isn't measured."""
+    from collections import Counter
+
+    calls = Counter()
+
+    def counted(r):
+        return qr.Rule(r.name, lambda t: calls.update([r.name]) or r.rejects(t))
+
+    base, rules = [counted(r) for r in qr.BASE_RULES], [counted(r) for r in qr.METHOD_RULES]
+    short, good = "too few words", " ".join(f"word{i}" for i in range(60))
+    symbols = good + " # $ % & | < > * #" * 3
+    ordered = [r for r, _, _ in qr.order_rules([short] * 6 + [symbols] * 3 + [good], [*base, *rules], qr.MEASURES)]
+    assert ordered[0].name == "too_short" and ordered[1].name == "symbols_per_word"
+    calls.clear()
+    texts = [qr.Text(t) for t in [short] * 10 + [symbols] * 5 + [good] * 2]
+    found = [qr.judgement(t, base, ordered)[-2:] for t in texts]
+    assert found == [[True, False]] * 10 + [[False, False]] * 5 + [[False, True]] * 2
+    # a text that another rule rejects is asked for the base rules left, as base_failed is returned
+    assert calls["symbols_per_word"] == 7 and calls["word_length"] == calls["repeated_lines"] == 2
+    assert calls["too_short"] <= 17 + 5 and calls["repeated_windows"] <= 7
+    assert all(("n_lines" in t.taken()) == (i >= 15) for i, t in enumerate(texts))
+    calls.clear()
+    assert [qr.first_rejection(qr.Text(t), ordered) for t in [short] * 10] == ["too_short"] * 10
+    assert calls == {"too_short": 10}
+
+
+def test_sample_is_spread_over_the_table(docs_of):
+    rows = [(i, f"text number {i}") for i in range(2000)]
+    ids = {int(t.split()[-1]) for t in qr.sample_texts(docs_of(rows))}
+    assert len(ids) == 300 and min(ids) < 100 and max(ids) > 1900
+    assert ids == {int(t.split()[-1]) for t in qr.sample_texts(docs_of(rows[::-1]))}
+
+
 def test_query_against_brute_force(spark):
     from innsight.llm.queries import op5_quality_rules, table
 
