@@ -22,7 +22,6 @@ from .common import ship, stored
 from .components import components
 
 BITS = 64
-_DIGEST = "__text_digest"
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -113,11 +112,14 @@ def near_duplicates_removed(docs: DataFrame, shingle: int = 3, max_bits: int = 2
                             text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id stays (among
     rows of that id, one with the smallest text digest), with all its columns. Null ids come last."""
-    digest = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # whole, whatever the names
+    rows = rows.select("row", F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"))
+    rows = rows.withColumn("digest", F.xxhash64(F.coalesce("text", F.lit(""))))
     # null ids come last by the flag before the id
-    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("digest"))
-    classes = simhash_components(docs.select(row.alias("doc_id"), F.col(text_col).alias("text")), shingle, max_bits)
-    first = classes.select("component_id.id", "component_id.digest").distinct()
-    rows = docs.withColumn(_DIGEST, digest)
-    kept = rows.join(first, rows[id_col].eqNullSafe(first["id"]) & (rows[_DIGEST] == first["digest"]), "left_semi")
-    return kept.dropDuplicates([id_col, _DIGEST]).select(*docs.columns)
+    key = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    classes = simhash_components(rows.select(key.alias("doc_id"), "text"), shingle, max_bits)
+    first = classes.select(F.col("component_id.id").alias("first_id"),
+                           F.col("component_id.digest").alias("first_digest")).distinct()
+    kept = rows.drop("text").join(first, F.col("id").eqNullSafe(F.col("first_id"))
+                                  & (F.col("digest") == F.col("first_digest")), "left_semi")
+    return kept.dropDuplicates(["id", "digest"]).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

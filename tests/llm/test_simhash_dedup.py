@@ -120,3 +120,14 @@ def test_no_pairs_inside_a_group_of_copies(spark, docs_of):
     assert sd.links(fps, 2).count() == 0
     got = sd.simhash_components(docs).agg(F.countDistinct("component_id"), F.max("component_id")).first()
     assert tuple(got) == (1, 0)
+
+
+def test_removal_keeps_columns_of_any_name(spark):
+    from innsight.llm import simhash_dedup as sd
+
+    text = " ".join(f"word{i}" for i in range(40))
+    df = spark.createDataFrame([(1, text, "a", 1, 2), (2, text, "b", 3, 4), (None, text, "c", 5, 6), (3, None, "d", 7, 8)],
+                               "doc_id long, text string, `a.dot` string, __text_digest int, `row` int")
+    got = sd.near_duplicates_removed(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [(1, text, "a", 1, 2), (3, None, "d", 7, 8)]
