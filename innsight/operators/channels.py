@@ -138,11 +138,12 @@ def pivot_state(channel: str, channels: Sequence[str], measures: Sequence[str],
 
 
 def pivot_columns(df: DataFrame, channels: Sequence[str], measures: Sequence[str], null_label: str,
-                  skip: frozenset[str] = frozenset()) -> DataFrame:
+                  skip: frozenset[str] = frozenset(), shape: Callable[[str, str], str] = lambda m, value: value) -> DataFrame:
     """``df`` with :func:`pivot_state` aggregates as ``<channel>_<measure>`` columns, 0 when absent; ``null_label`` is
     the column of the NULL label. Names in ``skip``, which other columns have, are left out.
 
-    Each label is looked up once per row. The expressions are given as SQL text: a report has a few hundred of them,
+    ``shape(measure, value)`` is the output form of a value, as SQL; it is taken of the values that a row has, before the
+    0 of absent channels, so most cells of a wide pivot cost a null check. Each label is looked up once per row. The expressions are given as SQL text: a report has a few hundred of them,
     and one expression per call keeps building the plan cheap on the driver."""
     listed = [c for c in channels if c != R.UNLISTED_CHANNEL]
     state = sql_name(CHANNEL_MAP)
@@ -154,10 +155,11 @@ def pivot_columns(df: DataFrame, channels: Sequence[str], measures: Sequence[str
         for m in measures:
             if f"{c}_{m}" in skip:
                 continue
-            value = f"coalesce(`__c{i}`.{sql_name(m)}, 0)"
+            value = f"`__c{i}`.{sql_name(m)}"
             if c == null_label:
-                value += f" + coalesce(`__c_null`.{sql_name(m)}, 0)"
-            columns.append(f"{value} AS {sql_name(f'{c}_{m}')}")
+                null = f"`__c_null`.{sql_name(m)}"
+                value = f"coalesce({value} + {null}, {value}, {null})"
+            columns.append(f"coalesce({shape(m, value)}, 0) AS {sql_name(f'{c}_{m}')}")
     return found.selectExpr(*keep, *columns)
 
 

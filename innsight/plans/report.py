@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions import rules as R
 from ..functions.exprs import label_lookup, zero_fill
@@ -91,6 +92,14 @@ def _rollup_names(measures) -> frozenset[str]:
     return group_names("OTA", measures) | group_names("Growth", measures)
 
 
+MONEY = DecimalType(38, 6)
+
+
+def _shaped(measure: str, value: str) -> str:
+    """Output form of a pivot's value: money as ``typed_sql`` gives it, counts as they are."""
+    return f"CAST(round({value}, 6) AS {MONEY.simpleString()})" if "gmv" in measure else value
+
+
 def pivot_after_shuffle(rows: DataFrame, placed: bool = False) -> DataFrame:
     """Hash the narrow per-channel rows on (property, day) before pivoting them, unless they are ``placed`` so already.
 
@@ -117,7 +126,7 @@ def demand_daily_wide(by_channel: DataFrame, channels: Sequence[str], rollups: b
         rolled = _rollup_names(DEMAND_ROLLUP)
     state = pivot_after_shuffle(rows, placed).groupBy(KEY, "date").agg(
         *demand_totals_aggs(), *pivot_state("booking_source", chans, R.DEMAND_MEASURES, R.DEMAND_NULL_CHANNEL), *groups)
-    return pivot_columns(state, chans, R.DEMAND_MEASURES, R.DEMAND_NULL_CHANNEL, rolled)
+    return pivot_columns(state, chans, R.DEMAND_MEASURES, R.DEMAND_NULL_CHANNEL, rolled, _shaped)
 
 
 def observed_demand_channels(src, p: ReportParams) -> DataFrame:
@@ -151,7 +160,7 @@ def cancellation_daily_wide(real_by_channel: DataFrame, observed_channels: DataF
         rolled = _rollup_names(CANCEL_ROLLUP)
     state = pivot_after_shuffle(rows, placed).groupBy(KEY, "date").agg(
         *pivot_state("booking_source", chans, R.CANCELLATION_MEASURES, R.REALIZATION_NULL_CHANNEL), *groups)
-    return pivot_columns(state, chans, R.CANCELLATION_MEASURES, R.REALIZATION_NULL_CHANNEL, rolled)
+    return pivot_columns(state, chans, R.CANCELLATION_MEASURES, R.REALIZATION_NULL_CHANNEL, rolled, _shaped)
 
 
 def report_column_kinds(channels: Sequence[str] = R.DEFAULT_CHANNELS) -> list[tuple[str, str]]:
@@ -186,8 +195,9 @@ def typed_sql(name: str, kind: str) -> str:
 
 
 def select_typed(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
-    """Project and type ``(column, kind)`` pairs in one ``selectExpr``."""
-    return df.selectExpr(*[typed_sql(c, k) for c, k in columns])
+    """Project and type ``(column, kind)`` pairs in one ``selectExpr``; values that are rounded already stay as they are."""
+    done = {f.name for f in df.schema.fields if f.dataType == MONEY}
+    return df.selectExpr(*[sql_name(c) if c in done else typed_sql(c, k) for c, k in columns])
 
 
 # -- the report ---------------------------------------------------------------------------------------
