@@ -30,7 +30,7 @@ from .common import released, ship, stored
 
 WINDOW = 4096
 #: Pieces and bytes that a task remembers, and texts and characters encoded at once.
-_MEMO_PIECES, _MEMO_BYTES, _TEXTS, _CHARS = 1_000_000, 40 << 20, 1024, 4_000_000
+_MEMO_PIECES, _MEMO_BYTES, _TEXTS, _CHARS = 500_000, 24 << 20, 512, 2_000_000
 _SUM = operator.itemgetter(0)
 PIECE_SCHEMA = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
 
