@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (ann, centroid_clustering, chat_format, decontamination, html_extract, license_scan, mixing, packing,
                quality_rules, simhash_dedup, spelling, token_counts, toxicity)
-from .common import scratch
+from .common import released, scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,9 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
-    return toxicity.fit(toxicity.training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    model = toxicity.fit(toxicity.training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    released()  # what the driver fitted with
+    return model
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

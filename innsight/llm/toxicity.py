@@ -12,8 +12,6 @@ clean sentences (multiple-instance SVM).
 
 from __future__ import annotations
 
-import functools
-import hashlib
 import re
 import unicodedata
 from collections import Counter
@@ -23,10 +21,10 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import released, ship
 
 MAX_GAP = 3
 CHANCE = 14.0
@@ -37,12 +35,14 @@ WINDOW = 16
 #: other scripts' letters share 29 to 31.
 CLASSES = 32
 _CLASS = {c: i + 1 for i, c in enumerate("abcdefghijklmnopqrstuvwxyz^$")}
+_ASCII = np.array([0, *(_CLASS.get(chr(c)) or 29 + c % 3 for c in range(1, 128))])
 _STEPS = [(g, h) for g, h in product(range(1, MAX_GAP + 1), repeat=2)]
 _SINGLES = re.compile(r"(?<!\w)\w(?:[\W_]+\w(?!\w)){2,}")
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)")
 _DIGITS = str.maketrans("013457", "oieast")
-#: Segments whose score a worker remembers before it starts anew.
-_MEMO = 600_000
+_BUCKETS = 1 << 22
+#: Words whose score a task remembers before it starts anew.
+_MEMO = 300_000
 
 
 def letters(word: str) -> str:
@@ -73,10 +73,9 @@ def segments_of(word: str) -> list[str]:
 
 
 def _codes(segments: Sequence[str]) -> np.ndarray:
-    out = np.zeros((len(segments), WINDOW + 2 * MAX_GAP), dtype=np.int32)
-    for i, s in enumerate(segments):
-        out[i, :len(s)] = [_CLASS.get(c) or 29 + ord(c) % 3 for c in s]
-    return out
+    width = WINDOW + 2 * MAX_GAP
+    points = np.array(segments, dtype=f"<U{width}").view("<u4").reshape(len(segments), width)
+    return np.where(points < 128, _ASCII[points & 127], 29 + points % 3).astype(np.int32)
 
 
 def subsequences(segments: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,8 +110,8 @@ def kernel(segments: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
     used[0] = False
     norm_l = np.sqrt(np.maximum((lw ** 2).sum(1), 1e-12))
     out = np.zeros((len(segments), len(landmarks)))
-    for a in range(0, len(segments), 1024):
-        i, w = subsequences(segments[a:a + 1024])
+    for a in range(0, len(segments), 256):  # rows of all subsequences times landmarks, so few at once
+        i, w = subsequences(segments[a:a + 256])
         norm = np.sqrt(np.maximum((w ** 2).sum(1), 1e-12))
         row, col = np.nonzero(used[i])
         if len(row):
@@ -181,9 +180,9 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 3e-3) ->
 
 
 def _stems(segment: str) -> set[str]:
-    """Its substrings of four to six letters; a shorter segment is its own stem."""
-    segment = segment.strip("^$")
-    return {segment[i:i + n] for n in (4, 5, 6) for i in range(len(segment) - n + 1)} or {segment}
+    """Its substrings of five and six characters. A word's begin and end count as characters, so letters that many clean
+    words hold inside may still tell a toxic word where they begin or end one."""
+    return {segment[i:i + n] for n in (5, 6) for i in range(len(segment) - n + 1)} or {segment}
 
 
 def _tell_tale(toxic: list[str], in_clean: Counter, suspicious: set[str], clean: int) -> dict[str, int]:
@@ -198,10 +197,15 @@ def _tell_tale(toxic: list[str], in_clean: Counter, suspicious: set[str], clean:
             if st := set().union(*(_stems(x) for x in segments_of(w) if x in suspicious)):
                 yield hash((tuple(words[max(0, i - 1):i]), tuple(words[i + 1:i + 2]))), st
 
+    least = CHANCE / np.log((len(toxic) + clean) / len(toxic))  # so many toxic and no clean ones, at odds of e^-CHANCE
+    # a table of counts by hash, never too low, leaves out most stems before any is kept by name
+    bound = np.zeros(_BUCKETS, dtype=np.int32)
+    for text in toxic:
+        found = {hash(s) % _BUCKETS for _, st in hits(text) for s in st}
+        bound[np.fromiter(found, np.int64, len(found))] += 1
     in_docs: Counter = Counter()
     for text in toxic:
-        in_docs.update(set().union(*(st for _, st in hits(text))))
-    least = CHANCE / np.log((len(toxic) + clean) / len(toxic))  # so many toxic and no clean ones, at odds of e^-CHANCE
+        in_docs.update({s for _, st in hits(text) for s in st if bound[hash(s) % _BUCKETS] >= least})
     often = {s for s, n in in_docs.items() if n >= least}
     del in_docs
     neighbours: dict[str, set[int]] = {s: set() for s in often}
@@ -326,12 +330,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean:
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .where(F.length("text") <= max_chars)
              .join(F.broadcast(ids[0].union(ids[1])), "id"))
-    rows = texts.select("y", "digest", "text").collect()
-    out = []
-    for y in (0, 1):
-        of = sorted({(r["digest"], r["text"]) for r in rows if r["y"] == y})[:bound[y]]
-        out += [(text, y) for _, text in of]
-    return out
+    # repeated rows are one, and the bounds hold before anything comes to the driver
+    order = Window.partitionBy("y").orderBy("digest", "text")
+    rows = (texts.select("y", "digest", "text").distinct().withColumn("nth", F.row_number().over(order))
+            .where(F.col("nth") <= F.when(F.col("y") == 1, toxic).otherwise(clean))
+            .where(F.col("nth") <= max(bound)).select("y", "text").collect())
+    return [(r["text"], r["y"]) for r in rows]
 
 
 def held_out(doc_id):
@@ -353,26 +357,18 @@ def score_texts(texts: Sequence[str | None], model: Model, memo: dict[str, float
     return model.probability(np.array(worst, dtype=float))
 
 
-@functools.lru_cache(maxsize=1)
-def _memo_of(model: bytes) -> dict[str, float]:
-    return {}
-
-
-def _worker_memo(model: Model) -> dict[str, float]:
-    """The memo that this worker's tasks share for the model."""
-    return _memo_of(hashlib.sha256(model.table.tobytes() + repr((model.bias, model.floor)).encode()).digest())
-
-
 def _scorer(spark, model: Model):
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo = _worker_memo(shared.value)
+        memo: dict[str, float] = {}  # a task's own: it goes with the task
         for s in texts:
             parts = [score_texts(s.iloc[i:i + 200].tolist(), shared.value, memo) for i in range(0, len(s), 200)]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+        memo.clear()
+        released()
 
     return score
 

@@ -123,5 +123,5 @@ def test_query_on_the_held_out_fold(spark):
     told = [(labels[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in labels]
     toxic = [p for y, p in told if y]
     clean = [p for y, p in told if not y]
-    assert np.mean(toxic) >= 0.75 and np.mean(clean) <= 0.05  # some rows are labelled toxic without an insult
+    assert np.mean(toxic) >= 0.9 and np.mean(clean) <= 0.03  # 6 of the 97 rows labelled toxic hold no insult
     assert all(r.predicted == int(r.score >= 0.5) for r in got)
