@@ -98,7 +98,7 @@ def test_cascade_saves_evaluations():
 def test_sample_is_spread_over_the_table(docs_of):
     rows = [(i, f"text number {i}") for i in range(2000)]
     ids = {int(t.split()[-1]) for t in qr.sample_texts(docs_of(rows))}
-    assert len(ids) == 300 and min(ids) < 100 and max(ids) > 1900
+    assert 200 < len(ids) <= 600 and min(ids) < 100 and max(ids) > 1900
     assert ids == {int(t.split()[-1]) for t in qr.sample_texts(docs_of(rows[::-1]))}
 
 
