@@ -135,6 +135,38 @@ def test_report_never_shuffles_the_wide_rows(spark):
     assert max(widths) < 40 < len(df.columns)
 
 
+def test_report_makes_the_wide_columns_once_above_the_joins(spark):
+    """The joins carry the channel maps; labels are looked up in them above the last join."""
+    lines = QUERIES["report_wide"](spark, SF_CHECK)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    last_join = next(i for i, line in enumerate(lines) if re.search(r"(?:^|[-+: ])Join ", line))  # children come below
+    more = [(i, int(n)) for i, line in enumerate(lines) for n in re.findall(r"\.\.\. (\d+) more fields", line)]
+    assert max(n for i, n in more if i < last_join) > 150 and all(n < 40 for i, n in more if i >= last_join)
+
+
+def test_report_pivots_in_the_sessions_partitions(spark):
+    """AQE sees narrow rows, so it must not merge the partitions that the wide rows are made in."""
+    plan = plan_text(QUERIES["report_wide"](spark, SF_CHECK))
+    assert len(re.findall(r"hashpartitioning\(property_code#\d+, date#\d+, 8\), REPARTITION_BY_NUM", plan)) == 2
+
+
+def test_supply_is_one_aggregation_by_property_and_day(spark):
+    """Sums by status, the maximum over all statuses (0 and NULL too), NULL rooms and codes, a day out of the window."""
+    import datetime as dt
+
+    from innsight.params import DEFAULT_PARAMS
+    from innsight.plans.report import supply_with_contracted
+
+    day = dt.date(1998, 5, 1)
+    rows = [("A", day, 1, 3, 8), ("A", day, 1, 4, 9), ("A", day, 2, None, 5), ("A", day, 0, 7, 99), ("A", day, None, 7, 98),
+            ("B", day, 5, 1, 2), (None, day, 3, 2, None), ("A", dt.date(1997, 5, 1), 1, 1, 1)]
+    df = supply_with_contracted(spark.createDataFrame(
+        rows, "property_code string, d date, hotel_status int, sellable_rooms int, total_contracted_rooms int"), DEFAULT_PARAMS)
+    plan = plan_text(df)
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(
+        [("A", day, 1, 7, 99), ("A", day, 2, None, 99), (None, day, 3, 2, None)], key=str)
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+
+
 def test_report_partitions_second_level_on_property_and_day(spark):
     plan = plan_text(QUERIES["report_wide"](spark, SF_CHECK))
     keyed = re.findall(r"Exchange hashpartitioning\(property_code#\d+, date#\d+, \d+\)", plan)
