@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from innsight.plans.ordered import file_positions, write_ordered_csv
+from innsight.plans.ordered import file_positions, stored_rows, write_ordered_csv
 from innsight.plans.publish import POINTER, current_version, publish, read_published
 
 
@@ -76,6 +76,37 @@ def test_ordered_files_read_in_key_order(spark):
     assert all(keys[r.position] == (r.k, -1 if r.j is None else r.j) for r in placed)
 
 
+def test_stored_rows_are_made_once_for_an_ordered_write(spark):
+    """The sample of the sort and the sort itself read the stored rows; what made them runs once."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 900, 1, 3).withColumnRenamed("id", "k").mapInArrow(count, "k long")
+    folder = tempfile.mkdtemp(prefix="innsight-ordered-")
+    rows = stored_rows(df, f"{folder}/rows")
+    write_ordered_csv(rows, f"{folder}/out", ("k",), rows_per_file=100)
+    assert made.value == 900 and rows.schema == df.schema
+    assert [r.position for r in file_positions(spark, f"{folder}/out", df.schema).orderBy("k").collect()] == list(range(900))
+
+
+def test_ordered_files_of_report_rows_sort_the_stored_rows(spark, monkeypatch):
+    from innsight.plans import queries
+
+    plans = []
+
+    def write(df, *args, **kw):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write_ordered_csv(df, *args, **kw)
+
+    monkeypatch.setattr(queries, "write_ordered_csv", write)
+    assert queries.QUERIES["report_ordered_files"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(plans) == 1 and "Join" not in plans[0]
+
+
 def test_ordered_files_of_one_and_no_rows(spark):
     for n in (0, 1):
         path = tempfile.mkdtemp(prefix="innsight-ordered-") + "/out"
