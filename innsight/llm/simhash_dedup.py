@@ -77,12 +77,15 @@ def signatures(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 
 def links(distinct: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b), a < b: all pairs of distinct fingerprints within ``max_bits`` bits, each once."""
+    """(a, b), a < b: all pairs of distinct fingerprints within ``max_bits`` bits, each once.
+
+    Both sides are shuffled, whatever Spark takes their size for: it counts an explode's rows as its input's, so it would
+    broadcast an index of up to 66 entries for each fingerprint by the size of the fingerprints alone."""
     index = signatures(distinct, max_bits)
     left, right = (index.select(F.col("fp").alias(n), "variant", "rest", F.col("side").alias(f"side_{n}"))
                    for n in "ab")
     met = left.where("side_a IS NULL OR side_a = 0").join(
-        right.where("side_b IS NULL OR side_b = 1"), ["variant", "rest"])
+        right.where("side_b IS NULL OR side_b = 1").hint("merge"), ["variant", "rest"])
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     return (met.where(((F.col("side_a") == 0) & (F.col("side_b") == 1))
                       | (F.col("side_a").isNull() & F.col("side_b").isNull() & (F.col("a") < F.col("b"))))

@@ -58,6 +58,16 @@ def test_every_link_is_found(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_the_index_is_never_broadcast(spark, tmp_path):
+    """The exploded index is many times what Spark takes it for, however small the fingerprints' own file is."""
+    spark.range(3000).selectExpr("id * 7919 * 104729 AS fp").write.parquet(f"{tmp_path}/fps")
+    found = sd.links(spark.read.parquet(f"{tmp_path}/fps"), 2)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    found.collect()  # the plan that ran, after Spark has seen the sizes
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components(spark):
     rng = random.Random(1)
     pairs = [(i, i + 1) for i in range(0, 40)] + [(100, 99), (99, 100), (7, 7)]
