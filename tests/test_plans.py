@@ -9,7 +9,7 @@ import pytest
 
 from innsight.plans.queries import QUERIES
 
-from conftest import SF_CHECK
+from conftest import SF_CHECK, SF_SMOKE
 
 
 def plan_text(df) -> str:
@@ -143,6 +143,62 @@ def test_report_makes_the_wide_columns_once_above_the_joins(spark):
     assert max(n for i, n in more if i < last_join) > 150 and all(n < 40 for i, n in more if i >= last_join)
 
 
+def test_codes_rows_repeat_rows_as_plain_joins_do(spark):
+    """Codes with several properties, names and payment types, equal ones too, and codes without some of them."""
+    from innsight.plans.report import code_rows, repeated, with_attributes
+
+    def of(rows, schema):
+        return spark.createDataFrame(rows, f"property_code string, {schema}")
+
+    props = spark.createDataFrame([(c,) for c in ("A", "A", "B", "C", "C", "C", "D")], "property_code string")
+    attributes = of([("A", "x", "c", "z"), ("A", "x", "c", "z"), ("A", "y", None, "z"), ("B", "x", "c", "z"), (None, "q", "c", "z")],
+                    "hotel_name string, city_name string, zone_name string")
+    payment = of([("A", "Prepaid"), ("A", "Postpaid"), ("A", "Prepaid"), ("C", None), ("C", "Rest"), (None, "Rest")],
+                 "payment_type_when_policy_applied string")
+    live = of([("A", "2"), ("C", None), (None, "3")], "live_date2 string")
+    days = of([("A", 1), ("A", 2), ("A", 2), ("B", 3), ("C", 4), ("D", 5), ("E", 6), (None, 7)], "v int")
+    plain = (days.join(props, "property_code").join(attributes, "property_code", "left")
+             .join(payment, "property_code", "left").join(live, "property_code", "left"))
+    got = repeated(with_attributes(days.join(code_rows(props, attributes, payment, live), "property_code")), plain.columns[2:])
+    assert got.columns == plain.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_rows_of_shared_codes_are_multiplied_after_the_last_shuffle(spark):
+    """Five properties to a code give a code's days 25 rows and more: none of them is shuffled or joined on."""
+    from pyspark.sql import functions as F
+
+    from innsight.params import DEFAULT_PARAMS
+    from innsight.plans.report import report_wide
+    from innsight.sources.fixtures import LodgingSources
+
+    class Shared(LodgingSources):
+        @property
+        def hotel_dim(self):
+            return LodgingSources.hotel_dim.func(self).withColumn("__n", F.explode(F.sequence(F.lit(1), F.lit(5)))).select(
+                "*", F.concat("hotel_name", F.col("__n").cast("string")).alias("__name"),
+                (F.col("hotel_id") + (F.col("__n") - 1) * 1_000_000).alias("__id")).drop("hotel_name", "hotel_id", "__n") \
+                .withColumnsRenamed({"__name": "hotel_name", "__id": "hotel_id"})
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as tables too large for it
+        df = report_wide(Shared(spark, SF_SMOKE), DEFAULT_PARAMS)
+        rows = len(df.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows >= 25 * QUERIES["report_wide"](spark, SF_SMOKE).count() > 0
+    shuffled, todo = [], [df._jdf.queryExecution().executedPlan().finalPhysicalPlan()]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        if node.nodeName() == "Exchange":
+            shuffled.append(node.metrics().apply("shuffleRecordsWritten").value())
+    assert shuffled and max(shuffled) < rows / 2
+
+
 def test_report_pivots_in_the_sessions_partitions(spark):
     """AQE sees narrow rows, so it must not merge the partitions that the wide rows are made in."""
     plan = plan_text(QUERIES["report_wide"](spark, SF_CHECK))
