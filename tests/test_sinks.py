@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +94,25 @@ def test_stored_rows_are_made_once_for_an_ordered_write(spark):
     assert [r.position for r in file_positions(spark, f"{folder}/out", df.schema).orderBy("k").collect()] == list(range(900))
 
 
+def test_shuffles_of_stored_rows_go_when_they_are_stored(spark):
+    """What is made of the rows doesn't share the disk with the shuffles that made them; the session keeps its setting."""
+    from innsight.plans.ordered import SHUFFLES_GO
+
+    dirs = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffles():
+        return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(SHUFFLES_GO, None)
+    df = spark.range(20000).groupBy((F.col("id") % 700).alias("k")).agg(F.count("*").alias("n"))
+    rows = stored_rows(df, tempfile.mkdtemp(prefix="innsight-ordered-") + "/rows")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(SHUFFLES_GO, None) == setting
+    assert rows.count() == df.count() == 700
+
+
 def test_ordered_files_of_report_rows_sort_the_stored_rows(spark, monkeypatch):
     from innsight.plans import queries
 
